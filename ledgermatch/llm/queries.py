@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import mixing, packing, quality, token_files, url_filter
+from ledgermatch.llm import fingerprints, mixing, ngram_join, packing, pii, quality, token_files, url_filter
 from ledgermatch.llm.common import WORD, table
 
 
@@ -29,18 +29,30 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, written)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents"), ["doc_id"])
     failed = quality.BASE.rejects(rows["fail_bits"])
     return rows.select("doc_id", *quality.MEASURES, failed.alias("base_failed"), (~quality.PRODUCTION.rejects(rows["fail_bits"])).alias("kept"), "fail_bits")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op6_quality_rules, op9_url_filter)
+    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op5_ngram_jaccard_join, op6_quality_rules, op8_fingerprints, op9_url_filter, op10_pii)
 }
 
 _QUALITY = f"""
