@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import fingerprints, mixing, ngram_join, packing, pii, quality, token_files, url_filter
+from ledgermatch.llm import fingerprints, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_files, url_filter
 from ledgermatch.llm.common import WORD, table
 
 
@@ -29,6 +29,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, written)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -52,7 +56,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op5_ngram_jaccard_join, op6_quality_rules, op8_fingerprints, op9_url_filter, op10_pii)
+    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op4_suffix_array_dedup, op5_ngram_jaccard_join, op6_quality_rules, op8_fingerprints, op9_url_filter, op10_pii)
 }
 
 _QUALITY = f"""
