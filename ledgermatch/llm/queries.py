@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgermatch.llm import fingerprints, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_files, url_filter
+from ledgermatch.llm import fingerprints, licenses, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_files, url_filter
 from ledgermatch.llm.common import WORD, table
 
 
@@ -43,6 +44,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *quality.MEASURES, failed.alias("base_failed"), (~quality.PRODUCTION.rejects(rows["fail_bits"])).alias("kept"), "fail_bits")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths; theirs here are source / language / hundred of ids / id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", docs["source"], docs["lang"], (docs["doc_id"] / 100).cast("long"), docs["doc_id"])
+    return licenses.scan(docs, path)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -56,7 +64,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op4_suffix_array_dedup, op5_ngram_jaccard_join, op6_quality_rules, op8_fingerprints, op9_url_filter, op10_pii)
+    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op4_suffix_array_dedup, op5_ngram_jaccard_join, op6_quality_rules, op7_license_scan, op8_fingerprints, op9_url_filter, op10_pii)
 }
 
 _QUALITY = f"""
