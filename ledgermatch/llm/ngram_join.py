@@ -3,11 +3,13 @@
 1. Sets.  Each text becomes a set of hashed five-word shingles; texts with one set are one class, and only classes go on.
 2. Cells.  Two similar sets share a shingle among the first n - ceil(0.8 n) + 1 of each, in any order common to all sets.  The order
    here is by hash, with shingles that very many texts share put last, so cells of a common passage hold only texts made of it.
-3. Leaders.  In each cell every class is held against the cell's least one; these links collapse groups of near copies, so no
-   group is ever expanded into its pairs.
+3. Leaders.  Each class is held against the least class of its largest cells; these links collapse groups of near copies, so
+   no group is ever expanded into its pairs.
 4. Signature trees.  A cell whose classes are not yet all in one component gets a tree over its classes' bitmaps: a
-   node holds the OR of its token bitmaps and ranges of set size.  A dual traversal drops node pairs whose largest
-   possible overlap is too small, and pairs within a component; what is left is verified on whole sets.
+   node holds the OR of its token bitmaps, ranges of set size and of components.  A dual traversal drops node pairs whose largest
+   possible overlap is too small, and pairs within a component; what is left joins components into clusters, by a spanning forest a cell.
+5. Clusters.  Within a cluster the same traversal runs over bitmaps of the shingles themselves, where overlaps are exact; links that
+   join components come out.  A large cluster is dealt out as pairs of blocks, so no task holds more than two blocks.
 
 All bounds are exact: nothing similar is lost, and no pair counts as a link unless its sets say so.
 
@@ -35,6 +37,8 @@ PERCENT = 80
 #: A shingle that so many texts share is put last in the order; so many such shingles are known at most (the most common ones).
 #: Both bear on speed alone.
 COMMON, COMMON_MOST = 32, 200_000
+#: Cells of a class whose leaders it is held against first (this too bears on speed alone), and classes in a block of a cluster.
+LEADERS, BLOCK = 3, 2_000
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -106,19 +110,20 @@ def describe(docs: DataFrame, common: np.ndarray, key: str = "doc_id", text: str
 class SignatureTree:
     """Bitmaps of one width over items sorted so that like ones are close; each level's nodes cover ``fan`` nodes of the level below.
 
-    ``bits``: items x words (uint64); ``size``: set sizes.  A level holds the OR of bitmaps, the least and largest size,
-    and the largest slack (set size less bits set), which bounds an overlap from the bits two nodes share.
+    ``bits``: items x words (uint64); ``size``: set sizes; ``component``: dense numbers.  A level holds the OR of bitmaps, the least and largest size,
+    the largest slack and the least and largest component.  Slack is set size less bits set, which bounds an overlap from the bits that two
+    nodes share; it is 0 where each bit is one shingle (``exact``), and then bounds between items are the overlaps themselves.
     """
 
-    def __init__(self, bits: np.ndarray, size: np.ndarray, fan: int = 8) -> None:
-        slack = size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+    def __init__(self, bits: np.ndarray, size: np.ndarray, component: np.ndarray, exact: bool = False, fan: int = 8) -> None:
+        slack = np.zeros(len(size), np.int64) if exact else size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
         self.fan = fan
-        self.levels = [(bits, size, size, slack)]
+        self.levels = [(bits, size, size, slack, component, component)]
         while len(bits) > 1:
             at = np.arange(0, len(bits), fan)
             below = self.levels[-1]
             bits = np.bitwise_or.reduceat(bits, at, axis=0)
-            self.levels.append((bits, np.minimum.reduceat(below[1], at), np.maximum.reduceat(below[2], at), np.maximum.reduceat(below[3], at)))
+            self.levels.append((bits, *(f.reduceat(below[k], at) for k, f in enumerate((np.minimum, np.maximum, np.maximum, np.minimum, np.maximum), 1))))
 
     def children(self, level: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end of each node's children one level below."""
@@ -126,12 +131,13 @@ class SignatureTree:
 
 
 def _possible(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray, percent: int) -> np.ndarray:
-    """Whether some pair under nodes i and j can be similar: by size ranges, then by the largest possible overlap."""
+    """Whether some pair under nodes i and j can be a new link: by components, by size ranges, then by the largest possible overlap."""
     least_a, most_a, least_b, most_b = a[1][i], a[2][i], b[1][j], b[2][j]
     fits = (100 * most_a >= percent * least_b) & (100 * most_b >= percent * least_a)
+    fits &= ~((a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j]))
     at = np.flatnonzero(fits)
     words = a[0].shape[1]
-    step = max(1, 4_000_000 // words)
+    step = max(1, 4_000_000 // max(1, words))
     for s in range(0, len(at), step):
         k = at[s : s + step]
         shared = np.bitwise_count(a[0][i[k]] & b[0][j[k]]).sum(axis=1).astype(np.int64)
@@ -161,44 +167,96 @@ def dual_traversal(x: SignatureTree, y: SignatureTree | None, percent: int = PER
                 yield i, j
             continue
         # open the higher node; both when they are level
+        both = la == lb
         if la >= lb:
             low, end = x.children(la, i)
             n = end - low
             j = np.repeat(j, n)
             i = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        if lb > la or (la == lb and lb):
+        if lb > la or both:
             low, end = other.children(lb, j)
             n = end - low
             i = np.repeat(i, n)
             j = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        la, lb = la - (la >= lb), lb - (lb >= la)
+        la, lb = (la - 1, lb - 1) if both else (la - 1, lb) if la > lb else (la, lb - 1)
         if y is None and la == lb:
             i, j = i[i <= j], j[i <= j]
         stack.append((la, lb, i, j))
 
 
-def cell_pairs(cid: np.ndarray, component: np.ndarray, n: np.ndarray, sig: list[bytes], percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a cell's classes in different components that may be similar."""
+class _Forest:
+    """Joins components; tells which pairs join two that weren't."""
+
+    def __init__(self) -> None:
+        self.root: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (up := self.root.setdefault(x, x)) != x:
+            self.root[x] = self.root[up]
+            x = up
+        return x
+
+    def joining(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Places of pairs (a, b) of components that join two."""
+        _, first = np.unique(np.minimum(a, b) * (np.int64(1) << 31) + np.maximum(a, b), return_index=True)
+        out = []
+        for k in first.tolist():
+            x, y = self.find(int(a[k])), self.find(int(b[k]))
+            if x != y:
+                self.root[max(x, y)] = min(x, y)
+                out.append(k)
+        return out
+
+
+def _sorted_items(cid: np.ndarray, component: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Items in the order of a tree's leaves: by component, then by size."""
+    return at[np.lexsort((cid[at], n[at], component[at]))]
+
+
+def cell_links(cid: np.ndarray, component: np.ndarray, n: np.ndarray, sig: list[bytes], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """A spanning forest over the components of a cell, of pairs of classes that may be similar."""
     width = np.array([len(s) for s in sig])
+    dense = np.unique(component, return_inverse=True)[1].astype(np.int64)
     made = {}
     for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        band = (np.log(n[at]) / np.log(1.1)).astype(np.int64)
-        at = at[np.lexsort((cid[at], component[at], band))]
+        at = _sorted_items(cid, dense, n, np.flatnonzero(width == w))
         made[int(w)] = at, np.frombuffer(b"".join(sig[k] for k in at), dtype="<u8").reshape(len(at), -1)
+    forest, out = _Forest(), []
     for w, (at, bits) in made.items():
-        tree = SignatureTree(bits, n[at])
+        tree = SignatureTree(bits, n[at], dense[at])
         joins: list[tuple[SignatureTree | None, np.ndarray]] = [(None, at)]
         if 2 * w in made:  # sizes of similar sets differ by a quarter at most, their widths by a factor of two at most
             more, wide = made[2 * w]
             half = wide.shape[1] // 2
-            joins.append((SignatureTree(wide[:, :half] | wide[:, half:], n[more]), more))
+            joins.append((SignatureTree(wide[:, :half] | wide[:, half:], n[more], dense[more]), more))
         for other, where in joins:
             for i, j in dual_traversal(tree, other, percent):
                 a, b = at[i], where[j]
-                apart = component[a] != component[b]
-                if apart.any():
-                    yield cid[a[apart]], cid[b[apart]]
+                apart = dense[a] != dense[b]
+                a, b = a[apart], b[apart]
+                out += [(int(cid[a[k]]), int(cid[b[k]])) for k in forest.joining(dense[a], dense[b])]
+    return out
+
+
+def cluster_links(cid: np.ndarray, component: np.ndarray, n: np.ndarray, flat: np.ndarray, starts: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that join components within a cluster: pairs of similar sets, by their own shingles (``flat``, from ``starts``)."""
+    item = np.repeat(np.arange(len(cid)), np.diff(starts))
+    token, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count[place] > 1  # a shingle of one set is in no overlap
+    bit = (np.cumsum(count > 1) - 1)[place[shared]]
+    words = max(1, -(-int((count > 1).sum()) // 64))
+    bits = np.zeros((len(cid), words), dtype=np.uint64)
+    np.bitwise_or.at(bits, (item[shared], bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+    dense = np.unique(component, return_inverse=True)[1].astype(np.int64)
+    at = _sorted_items(cid, dense, n, np.arange(len(cid)))
+    tree = SignatureTree(bits[at], n[at], dense[at], exact=True)
+    forest, out = _Forest(), []
+    for i, j in dual_traversal(tree, None, percent):
+        a, b = at[i], at[j]
+        apart = dense[a] != dense[b]
+        a, b = a[apart], b[apart]
+        out += [(int(cid[a[k]]), int(cid[b[k]])) for k in forest.joining(dense[a], dense[b])]
+    return out
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -227,10 +285,10 @@ def _pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar; the sets are made anew from the texts of one row a class."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct().join(classes.select("cid", "h", "digest"), "cid")
-    rows = docs.select(F.xxhash64(docs[key], docs[text]).alias("h"), docs[text].cast("string").alias("t")).join(wanted, "h").select("cid", "digest", "t")
+def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """Whole sets (cid, set) of the classes ``wanted``, made anew from the text of one row a class."""
+    named = wanted.distinct().join(classes.select("cid", "h", "digest"), "cid")
+    rows = docs.select(F.xxhash64(docs[key], docs[text]).alias("h"), docs[text].cast("string").alias("t")).join(named, "h").select("cid", "digest", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,44 +299,98 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(right, pa.bool_())), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))], ["cid", "set"])
 
-    sets = cut(rows.mapInArrow(run, "cid long, set array<long>").dropDuplicates(["cid"]), "ngram-sets")
+    return cut(rows.mapInArrow(run, "cid long, set array<long>").dropDuplicates(["cid"]), "ngram-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
     side = lambda x: sets.select(F.col("cid").alias(x), F.col("set").alias(f"s{x}"))
     overlap = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(similar(overlap, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
-def _tree_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Candidates of all cells.  Rows (token, cid, component, n, sig); a cell is a run of rows in a sorted partition."""
+def _by_runs(frame: DataFrame, keys: list[str], columns: list[str], work) -> DataFrame:
+    """Links (a, b) from ``work(rows)`` for the rows of each key, which are runs of a sorted partition."""
+    k = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            token = rows["token"].to_numpy()
-            edge = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-            cid, component, n = (rows[c].to_numpy() for c in ("cid", "component", "n"))
-            sig = rows["sig"].to_pylist()
-            for s, e in zip(edge, edge[1:], strict=False):
-                for a, b in cell_pairs(cid[s:e], component[s:e], n[s:e], sig[s:e], percent):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            rows = rows.combine_chunks()
+            new = np.zeros(rows.num_rows + 1, dtype=bool)
+            new[[0, -1]] = True
+            for c in range(k):
+                v = rows.column(c).to_numpy()
+                new[1:-1] |= v[1:] != v[:-1]
+            edge = np.flatnonzero(new)
+            links = [x for s, e in zip(edge, edge[1:], strict=False) for x in work(rows.slice(s, e - s))]
+            if links:
+                a, b = np.array(links, dtype=np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token = batch.column("token").to_numpy()
-            last = int(np.searchsorted(token == token[-1], True)) if token[0] != token[-1] else 0
-            if last:  # all cells but the last are whole
-                yield from out(pa.Table.from_batches([*held, batch.slice(0, last)]))
-                held = []
-            elif held and held[-1].column("token")[-1].as_py() != token[0]:
+            same = np.ones(batch.num_rows, dtype=bool)  # as the last row
+            follows = bool(held)
+            for c in range(k):
+                v = batch.column(c).to_numpy()
+                same &= v == v[-1]
+                follows = follows and held[-1].column(c)[-1].as_py() == v[0]
+            last = int(np.argmax(same))
+            if held and not follows:
                 yield from out(pa.Table.from_batches(held))
                 held = []
+            if last:  # all runs but the last are whole
+                yield from out(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
             held.append(batch.slice(last))
         if held:
             yield from out(pa.Table.from_batches(held))
 
-    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return mixed.select("token", "cid", "component", "n", "sig").repartition(parts, "token").sortWithinPartitions("token", "cid").mapInArrow(run, "a long, b long").distinct()
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.select(*keys, *columns).repartition(parts, *keys).sortWithinPartitions(*keys, "cid").mapInArrow(run, "a long, b long")
+
+
+def _cell_work(percent: int):
+    def work(rows: pa.Table) -> list[tuple[int, int]]:
+        cid, component, n = (rows[c].to_numpy() for c in ("cid", "component", "n"))
+        return cell_links(cid, component, n, rows["sig"].to_pylist(), percent)
+
+    return work
+
+
+def _cluster_work(percent: int):
+    def work(rows: pa.Table) -> list[tuple[int, int]]:
+        cid, component, n = (rows[c].to_numpy() for c in ("cid", "component", "n"))
+        sets = [x.values.to_numpy().view(np.uint64) for x in rows["set"].combine_chunks()] if rows.num_rows else []
+        starts = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+        return cluster_links(cid, component, n, np.concatenate(sets), starts, percent)
+
+    return work
+
+
+def _joined_by_trees(live: DataFrame, members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """Links between components that the leaders left apart."""
+    of = lambda df: df.join(members, F.col("cid") == F.col("id"), "left").withColumn("component", F.coalesce("component", "cid")).drop("id")
+    placed = of(live.where(F.col("size") >= 2).select("token", "cid"))
+    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
+    mixed = placed.join(apart, "token").join(classes.select("cid", "n", "sig"), "cid")
+    maybe = cut(_by_runs(mixed, ["token"], ["cid", "component", "n", "sig"], _cell_work(percent)).distinct(), "ngram-maybe")
+    # components that may be joined, as clusters
+    home = of(classes.select("cid", "n"))
+    ends = home.select(F.col("cid").alias("id"), F.col("component").alias("c"))
+    between = maybe.join(ends.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a").join(ends.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    clusters = cut(connected(between).select(F.col("id").alias("component"), F.col("component").alias("cluster")), "ngram-clusters")
+    rows = cut(home.join(clusters, "component").select("cid", "n", "component", "cluster"), "ngram-clustered")
+    sets = _sets(rows.select("cid"), classes, docs, key, text, width)
+    blocks = rows.groupBy("cluster").agg((F.floor((F.count("*") - 1) / F.lit(BLOCK)) + 1).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "cluster").withColumn("k", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    # a class goes to the tasks of its block with each block
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("k", "other")).withColumn("j", F.greatest("k", "other"))
+    whole = paired.select("cluster", "i", "j", "cid", "component", "n").join(sets, "cid")
+    return cut(_by_runs(whole, ["cluster", "i", "j"], ["cid", "component", "n", "set"], _cluster_work(percent)), "ngram-links")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -291,16 +403,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     cells = classes.select("cid", F.explode("prefix").alias("token"))
     shared = cells.groupBy("token").agg(F.min("cid").alias("leader"), F.count("*").alias("size")).where(F.col("size") >= 2)
     live = cut(cells.join(shared, "token"), "ngram-cells")
-    star = live.where(F.col("cid") != F.col("leader")).select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
-    first = cut(_pruned(star, classes, percent), "ngram-pairs")
-    links = cut(_verified(first, classes, docs, key, text, width, percent), "ngram-links")
-
+    by_size = Window.partitionBy("cid").orderBy(F.col("size").desc(), "token")
+    star = live.where(F.col("cid") != F.col("leader")).withColumn("r", F.row_number().over(by_size)).where(F.col("r") <= LEADERS)
+    first = cut(_pruned(star.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), classes, percent), "ngram-pairs")
+    sets = _sets(first.select(F.col("a").alias("cid")).union(first.select(F.col("b").alias("cid"))), classes, docs, key, text, width)
+    links = cut(_verified(first, sets, percent), "ngram-links")
     members = cut(connected(links), "ngram-members")
-    placed = live.where(F.col("size") >= 3).select("token", "cid").join(members, F.col("cid") == F.col("id"), "left").select("token", "cid", F.coalesce("component", "cid").alias("component"))
-    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
-    mixed = placed.join(apart, "token").join(classes.select("cid", "n", "sig"), "cid")
-    second = cut(_tree_pairs(mixed, percent).join(first, ["a", "b"], "left_anti"), "ngram-pairs")
-    more = cut(_verified(second, classes, docs, key, text, width, percent), "ngram-links")
+    more = _joined_by_trees(live, members, classes, docs, key, text, width, percent)
     if not more.isEmpty():
         members = cut(connected(links.union(more)), "ngram-members")
 
