@@ -20,7 +20,7 @@ def city_centres(register: DataFrame, least: int = 100, digits: int = 4) -> Data
 
 def match_register(register: DataFrame, matches: DataFrame, parcels: DataFrame, centres: DataFrame | None = None) -> DataFrame:
     """One row per register row: the match, or why there is none."""
-    theirs = parcels.groupBy(F.col("uid").alias("matched_uid")).agg(*[F.min_by(c, "row_idx").alias(f"gis_{n}") for c, n in (("owner", "owner_name"), ("mobile", "mobile"), ("locality", "locality")) if c in parcels.columns])
+    theirs = parcels.groupBy(F.col("uid").alias("matched_uid")).agg(*[F.min_by(c, "row_idx").alias(f"gis_{n}") for c, n in (("owner_name", "owner_name"), ("mobile", "mobile"), ("locality", "locality")) if c in parcels.columns])
     rows = register.join(matches.drop("confidence"), "pid", "left").join(theirs, "matched_uid", "left")
     reason: Column = F.lit("UNMATCHED")
     if "latitude" in register.columns:

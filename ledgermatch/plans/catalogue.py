@@ -1,10 +1,482 @@
-"""The library's queries over the driver's tables, and the same results in SQL."""
+"""The library's queries over the driver's tables, and the same results in SQL.
+
+The driver has no registers or parcels: customers stand for parcels, urgent orders for claims, events for meters, suppliers for a second list of
+names.  Each query applies the library's operators to whole tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgermatch.functions import geo, similarity, text
+from ledgermatch.operators import change, matching, quality, register, schema, spatial, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- SQL for shared expressions ---------------------------------------------------------------------------------------------
+
+#: RE2's \s is ASCII; names here are ASCII.
+def _sql_name(c: str) -> str:
+    out = f"trim(lower(coalesce({c}, '')))"
+    for h in text.HONORIFICS:
+        out = f"replace({out}, '{h}', ' ')"
+    return f"trim(regexp_replace(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def _sql_words(c: str) -> str:
+    return f"list_distinct(list_filter(string_split({c}, ' '), lambda x: x <> ''))"
+
+
+def _sql_ratio(a: str, b: str) -> str:
+    x, y = _sql_words(a), _sql_words(b)
+    return f"(CASE WHEN {a} <> '' AND {b} <> '' THEN CAST(trunc(len(list_intersect({x}, {y})) / len(list_distinct(list_concat({x}, {y}))) * 100) AS INTEGER) ELSE 0 END)"
+
+
+def _phone(key: Column) -> Column:
+    """Phone text made from a key: some valid, some not."""
+    return F.concat(F.lit("+91-"), (F.lit(6000000000) + key * 7919 % 4000000007).cast("string"), F.when(key % 5 == 0, F.lit(".0")).otherwise(F.lit("")))
+
+
+_SQL_PHONE = "'+91-' || CAST(6000000000 + {k} * 7919 % 4000000007 AS VARCHAR) || CASE WHEN {k} % 5 = 0 THEN '.0' ELSE '' END"
+_SQL_NORMAL = "right(regexp_replace(regexp_replace(trim({c}), '\\.0$', ''), '[^0-9]', '', 'g'), 10)"
+
+# --- scalars ----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT c_custkey, {_SQL_NORMAL.format(c='(' + _SQL_PHONE.format(k='c_custkey') + ')')} AS phone, regexp_matches({_SQL_NORMAL.format(c='(' + _SQL_PHONE.format(k='c_custkey') + ')')}, '^[6-9][0-9]{{9}}$') AS valid FROM customer")
+def normalize_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "customer").select("c_custkey", text.normalize_phone(_phone(F.col("c_custkey"))).alias("phone"))
+    return df.withColumn("valid", text.valid_phone(F.col("phone")))
+
+
+@query(f"SELECT p_partkey, {_sql_name("'Mrs. ' || p_name || ', Late ' || p_brand || ' S/O ' || p_type")} AS name FROM part")
+def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit("Mrs. "), F.col("p_name"), F.lit(", Late "), F.col("p_brand"), F.lit(" S/O "), F.col("p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.normalize_name(raw).alias("name"))
+
+
+@query("""SELECT c_custkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower('Metro ' || c_mktsegment || ', Block ' || CAST(c_custkey % 40 AS VARCHAR) || 'B (' || c_name || ')'),
+  '\\bmetro\\b', ' ', 'g'), '\\bblock\\s*\\d+[a-z]?\\b', ' ', 'g'), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS locality FROM customer""")
+def normalize_locality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit("Metro "), F.col("c_mktsegment"), F.lit(", Block "), (F.col("c_custkey") % 40).cast("string"), F.lit("B ("), F.col("c_name"), F.lit(")"))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.normalize_locality(raw, "Metro").alias("locality"))
+
+
+@query("""WITH t AS (SELECT s_suppkey, s_name, 'SHOP-' || CAST(s_suppkey AS VARCHAR) || 'A' AS a, CAST(s_suppkey AS VARCHAR) || '/' || CAST(s_suppkey % 7 AS VARCHAR) AS b FROM supplier)
+SELECT s_suppkey, translate(regexp_replace(upper(trim(s_name || '-' || b || '.0')), '\\.0$', ''), '-/_ ', '') AS identifier,
+  CASE WHEN s_suppkey % 2 = 0 THEN regexp_extract(a, '(SHOP[\\-\\s]?\\d+[A-Z]*)', 1) ELSE regexp_extract(upper(b || ' road'), '(\\d+[A-Z]?\\/?\\d*)', 1) END AS house FROM t""")
+def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey").cast("string")
+    b = F.concat(k, F.lit("/"), (F.col("s_suppkey") % 7).cast("string"))
+    house = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("shop-"), k, F.lit("a"))).otherwise(F.concat(b, F.lit(" road")))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", text.clean_identifier(F.concat("s_name", F.lit("-"), b, F.lit(".0"))).alias("identifier"), text.house_number(house).alias("house"))
+
+
+@query("""SELECT doc_id, len(w) AS n_tokens, w[1] AS first_token FROM (
+  SELECT doc_id, list_filter(string_split(trim(regexp_replace(translate(lower(trim(text)), ',.\\-/()'';:"_#|', '              '), '\\s+', ' ', 'g')), ' '), lambda x: length(x) >= 2) AS w FROM documents)""")
+def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = text.tokenize(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", w.alias("w")).select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.get("w", F.lit(0)).alias("first_token"))
+
+
+@query("""SELECT c_custkey, CASE WHEN s = '' THEN 'UNKNOWN' WHEN regexp_matches(s, 'VAC|PLOT|VANC') THEN 'VACANT'
+  WHEN regexp_matches(s, 'BUIL|BUIT|BIU|TIN SHED|UNDER CONSTRUCT|RESIDENTIAL|SINGLE OWNER') THEN 'BUILT_UP' WHEN contains(s, 'GREEN') THEN 'GREEN_BELT' WHEN contains(s, 'PARK') THEN 'PARK'
+  WHEN contains(s, 'NON') THEN 'NON_PRODUCTIVE' ELSE 'OTHER' END AS status FROM (SELECT c_custkey, upper(trim(c_mktsegment)) AS s FROM customer)""")
+def present_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", text.present_status(F.col("c_mktsegment")).alias("status"))
+
+
+_PAIRS = "SELECT a.p_partkey AS a, b.p_partkey AS b, {x} AS x, {y} AS y FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey"
+_SQL_PAIRS = _PAIRS.format(x=_sql_name("a.p_name"), y=_sql_name("b.p_name"))
+
+
+def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_brand", "p_size", "p_partkey", text.normalize_name(F.col("p_name")).alias("n"), text.normalize_name(F.col("p_type")).alias("t"))
+    q = p.select("p_brand", "p_size", F.col("p_partkey").alias("b"), F.col("n").alias("y"), F.col("t").alias("yt"))
+    return p.withColumnsRenamed({"p_partkey": "a", "n": "x", "t": "xt"}).join(q, ["p_brand", "p_size"]).where("a < b")
+
+
+@query(f"SELECT a, b, {_sql_ratio('x', 'y')} AS score FROM ({_SQL_PAIRS})")
+def token_set_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_pairs(spark, sf_dir).select("a", "b", similarity.token_set_ratio(F.col("x"), F.col("y")).alias("score"))
+
+
+_SQL_TYPED = _PAIRS.format(x=_sql_name("a.p_name"), y=_sql_name("b.p_name") + " AS y, " + _sql_name("a.p_type") + " AS xt, " + _sql_name("b.p_type")).replace(" AS y FROM", " AS yt FROM")
+_SQL_SCORED = f"SELECT a, b, {_sql_ratio('x', 'y')} AS o, {_sql_ratio('xt', 'yt')} AS g, x, y FROM ({_SQL_TYPED})"
+
+
+@query(f"""SELECT a, b, CASE WHEN o >= 60 AND g >= 60 THEN 'VERIFIED_BOTH' WHEN o >= 75 AND g >= 30 THEN 'VERIFIED_OWNER+GUARD' WHEN g >= 75 AND o >= 30 THEN 'VERIFIED_GUARD+OWNER' WHEN greatest(o, g) >= 90 THEN 'STRONG_SINGLE' END AS name_tag,
+  CASE WHEN o >= 60 AND g >= 60 THEN o + g WHEN o >= 75 AND g >= 30 THEN o + g WHEN g >= 75 AND o >= 30 THEN o + g WHEN greatest(o, g) >= 90 THEN greatest(o, g) ELSE 0 END AS name_value,
+  CASE WHEN o >= 60 AND g >= 60 THEN 'ELEC_BOTH' WHEN o >= 80 AND g >= 30 THEN 'ELEC_OWNER+GUARD' WHEN o >= 90 THEN 'ELEC_OWNER_STRONG' END AS meter_tag FROM ({_SQL_SCORED})""")
+def tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _part_pairs(spark, sf_dir).select("a", "b", similarity.token_set_ratio(F.col("x"), F.col("y")).alias("o"), similarity.token_set_ratio(F.col("xt"), F.col("yt")).alias("g"))
+    n, m = similarity.name_tier(F.col("o"), F.col("g")), similarity.meter_tier(F.col("o"), F.col("g"))
+    return s.select("a", "b", n["tag"].alias("name_tag"), F.coalesce(n["value"], F.lit(0)).alias("name_value"), m["tag"].alias("meter_tag"))
+
+
+@query(f"""WITH s AS (SELECT a, b, CASE WHEN x <> '' AND y <> '' THEN round(len(list_intersect({_sql_words('x')}, {_sql_words('y')})) / greatest(len({_sql_words('x')}), len({_sql_words('y')})) * 100, 2) ELSE 0.0 END AS t, CASE WHEN x <> '' AND x = y THEN 100.0 ELSE 0.0 END AS e, CAST(g AS DOUBLE) AS g FROM ({_SQL_SCORED}))
+SELECT a, b, round(CASE WHEN t > 0 OR e > 0 OR g > 0 THEN (CASE WHEN e > 0 THEN e * 25 ELSE 0 END + CASE WHEN t > 0 THEN t * 10 ELSE 0 END + CASE WHEN g > 0 THEN g * 10 ELSE 0 END) / (CASE WHEN e > 0 THEN 25 ELSE 0 END + CASE WHEN t > 0 THEN 10 ELSE 0 END + CASE WHEN g > 0 THEN 10 ELSE 0 END) ELSE 0.0 END, 2) AS score FROM s""")
+def weighted_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _part_pairs(spark, sf_dir)
+    scores = {
+        "address": similarity.exact_match(F.col("x"), F.col("y")),
+        "owner_tokens": similarity.token_overlap(text.words(F.col("x")), text.words(F.col("y"))),
+        "guardian": similarity.token_set_ratio(F.col("xt"), F.col("yt")).cast("double"),
+    }
+    return p.select("a", "b", similarity.weighted_score(scores).alias("score"))
+
+
+# --- geodesy ----------------------------------------------------------------------------------------------------------------
+
+_SQL_UTM = """
+WITH c AS (SELECT c_custkey, 20 + (c_custkey % 1500) / 100.0::DOUBLE AS lat, 73 + (c_custkey % 499) / 100.0::DOUBLE AS lon FROM customer),
+z AS (SELECT *, CAST(trunc((lon + 180) / 6) AS INTEGER) + 1 AS zone, radians(lat) AS phi, 0.0066943799901413165::DOUBLE AS e2 FROM c),
+q AS (SELECT *, e2 / (1 - e2) AS ep2, radians(lon - ((zone - 1) * 6 - 177)) AS lam FROM z),
+r AS (SELECT *, 6378137.0::DOUBLE / sqrt(1 - e2 * sin(phi) * sin(phi)) AS n, tan(phi) * tan(phi) AS t, ep2 * cos(phi) * cos(phi) AS cc, cos(phi) * lam AS a,
+  6378137.0::DOUBLE * ((1 - e2/4 - 3*e2*e2/64 - 5*e2*e2*e2/256) * phi - (3*e2/8 + 3*e2*e2/32 + 45*e2*e2*e2/1024) * sin(2*phi) + (15*e2*e2/256 + 45*e2*e2*e2/1024) * sin(4*phi) - (35*e2*e2*e2/3072) * sin(6*phi)) AS m FROM q),
+u AS (SELECT *, 0.9996::DOUBLE * n * (a + (1-t+cc)*a*a*a/6 + (5-18*t+t*t+72*cc-58*ep2)*a*a*a*a*a/120) + 500000 AS e,
+  0.9996::DOUBLE * (m + n*tan(phi)*(a*a/2 + (5-t+9*cc+4*cc*cc)*a*a*a*a/24 + (61-58*t+t*t+600*cc-330*ep2)*a*a*a*a*a*a/720)) AS nn FROM r)
+"""
+
+
+def _coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    df = table(spark, sf_dir, "customer").select("c_custkey", (20 + (k % 1500) / 100.0).alias("lat"), (73 + (k % 499) / 100.0).alias("lon"))
+    return df.withColumn("zone", geo.utm_zone(F.col("lon"))).withColumn("utm", geo.wgs84_to_utm(F.col("lat"), F.col("lon"), F.col("zone")))
+
+
+@query(_SQL_UTM + "SELECT c_custkey, zone, round(e, 3) AS easting, round(nn, 3) AS northing FROM u")
+def utm_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coordinates(spark, sf_dir).select("c_custkey", "zone", F.round("utm.easting", 3).alias("easting"), F.round("utm.northing", 3).alias("northing"))
+
+
+@query(_SQL_UTM + "SELECT c_custkey, round(lat, 6) AS lat, round(lon, 6) AS lon FROM u")
+def utm_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward and back: the inverse returns where it began."""
+    df = _coordinates(spark, sf_dir)
+    back = geo.utm_to_wgs84(F.col("utm.easting"), F.col("utm.northing"), F.col("zone"))
+    return df.select("c_custkey", F.round(back["lat"], 6).alias("lat"), F.round(back["lon"], 6).alias("lon"))
+
+
+def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box for each supplier: 10 to 49 wide on a lattice."""
+    k = F.col("s_suppkey")
+    x, y, w = (k * 37 % 1000).cast("double"), (k * 91 % 1000).cast("double"), (10 + k % 40).cast("double")
+    return table(spark, sf_dir, "supplier").select(k.alias("uid"), k.alias("row_idx"), geo.box(x, y, x + w, y + w).alias("rings"))
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    return table(spark, sf_dir, "events").select(k.alias("point_id"), (k * 13 % 1050).cast("double").alias("x"), (k * 29 % 1050).cast("double").alias("y"))
+
+
+_SQL_BOXES = "b AS (SELECT s_suppkey AS uid, CAST(s_suppkey * 37 % 1000 AS DOUBLE) AS x0, CAST(s_suppkey * 91 % 1000 AS DOUBLE) AS y0, CAST(10 + s_suppkey % 40 AS DOUBLE) AS w FROM supplier), p AS (SELECT event_id AS point_id, CAST(event_id * 13 % 1050 AS DOUBLE) AS x, CAST(event_id * 29 % 1050 AS DOUBLE) AS y FROM events)"
+
+
+@query(f"WITH {_SQL_BOXES} SELECT point_id, uid, w * w AS area FROM p JOIN b ON x BETWEEN x0 AND x0 + w AND y BETWEEN y0 AND y0 + w QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY w * w, uid) = 1")
+def grid_point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.points_in_polygons(_points(spark, sf_dir), _boxes(spark, sf_dir), 50.0)
+
+
+@query(f"""WITH {_SQL_BOXES}, u AS (SELECT DISTINCT x, y FROM p), d AS (SELECT x, y, uid, sqrt(greatest(x0 - x, 0, x - x0 - w) ** 2 + greatest(y0 - y, 0, y - y0 - w) ** 2) AS d FROM u, b),
+m AS (SELECT * FROM d QUALIFY rank() OVER (PARTITION BY x, y ORDER BY d) = 1) SELECT point_id, uid, round(d, 6) AS distance FROM p JOIN m USING (x, y)""")
+def nearest_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.nearest_polygons(_points(spark, sf_dir), _boxes(spark, sf_dir), 64.0, lambda df: df.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df).withColumn("distance", F.round("distance", 6))
+
+
+@query(None)
+def buffer_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clipping by a disc is not SQL; the tests hold it against exact areas."""
+    return spatial.largest_overlaps(_points(spark, sf_dir), _boxes(spark, sf_dir), 30.0).withColumn("overlap", F.round("overlap", 6))
+
+
+@query(None)
+def locality_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    houses = table(spark, sf_dir, "customer").select(F.concat_ws("-", "c_mktsegment", F.col("c_nationkey").cast("string")).alias("locality"), (k * 13 % 907).cast("double").alias("x"), (k * 29 % 911).cast("double").alias("y"))
+    return spatial.locality_shapes(houses)
+
+
+# --- matching ---------------------------------------------------------------------------------------------------------------
+
+
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urgent orders as a register: ids and phones of their customers, garbled now and then."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    rows = o.where(F.col("o_orderpriority") == "1-URGENT").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    k, n = F.col("o_orderkey"), F.col("c_custkey")
+    key = F.concat(F.lit("C-"), n.cast("string"))
+    return rows.select(
+        k.cast("string").alias("pid"), k.alias("row_idx"), key.alias("customer_id"),
+        F.when(k % 4 == 0, F.concat(F.lit("C-"), n.cast("string"), F.lit(".0"))).otherwise("").alias("surveyid"),
+        F.when(k % 4 == 1, F.concat(F.lit("OLD/"), n.cast("string"))).otherwise("").alias("oldpropertyid"),
+        F.lit("").alias("propertyid"),
+        F.when(k % 4 == 2, _phone(n)).otherwise("").alias("mobileno"), F.lit("").alias("all_mobilenos"),
+        F.when(k % 3 == 0, F.concat(F.lit("Mr "), F.col("c_name"))).otherwise(F.col("c_mktsegment")).alias("ownername"), F.col("c_mktsegment").alias("guardianname"), F.col("c_nationkey").cast("string").alias("localityname"),
+    )
+
+
+def _parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("c_custkey")
+    key = F.concat(F.lit("C-"), n.cast("string"))
+    return table(spark, sf_dir, "customer").select(
+        key.alias("uid"), n.alias("row_idx"), F.concat(F.lit("OLD-"), n.cast("string")).alias("uid_old"), F.lit("").alias("property_id"),
+        _phone(n).alias("mobile"), F.lit("").alias("mobile2"), F.col("c_name").alias("owner_name"), F.col("c_mktsegment").alias("guardian"), F.col("c_nationkey").cast("string").alias("locality"),
+        F.when(n % 10 == 0, "Religious").otherwise("No").alias("exempt"), F.when(n % 3 == 0, "vacant plot").otherwise("Buildup").alias("present_status"),
+    )
+
+
+_SQL_CLAIMS = f"""
+r AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, o_orderkey AS row_idx, o_orderkey % 4 AS kind, c_custkey AS c, {_sql_name("CASE WHEN o_orderkey % 3 = 0 THEN 'Mr ' || c_name ELSE c_mktsegment END")} AS owner_n, {_sql_name('c_mktsegment')} AS guardian_n, CAST(c_nationkey AS VARCHAR) AS locality_n
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT'),
+g AS (SELECT c_custkey, 'C-' || CAST(c_custkey AS VARCHAR) AS uid, c_custkey AS row_idx, {_SQL_NORMAL.format(c='(' + _SQL_PHONE.format(k='c_custkey') + ')')} AS phone, {_sql_name('c_name')} AS o, {_sql_name('c_mktsegment')} AS g, CAST(c_nationkey AS VARCHAR) AS locality_n, c_custkey % 10 = 0 AS exempt, c_custkey % 3 = 0 AS vacant FROM customer)
+"""
+_SQL_DIRECT = "direct AS (SELECT pid, 'C-' || CAST(c AS VARCHAR) AS matched_uid, CASE kind WHEN 0 THEN 'DIRECT_SURVEY_ID' ELSE 'DIRECT_OLD_UID' END AS match_method, CAST(100 AS DOUBLE) AS confidence FROM r WHERE kind IN (0, 1))"
+_SQL_JUNK = "({p} = '' OR len(list_distinct(string_split({p}, ''))) <= 2 OR {p} IN ('1234567890', '0123456789', '9876543210') OR NOT regexp_matches({p}, '^[6-9][0-9]{{9}}$'))"
+_SQL_PHONES = f"""
+held AS (SELECT *, count(*) OVER (PARTITION BY phone) AS n FROM g WHERE NOT {_SQL_JUNK.format(p='phone')}),
+pairs AS (SELECT r.pid, held.uid, held.row_idx, greatest({_sql_ratio('owner_n', 'held.o')}, {_sql_ratio('guardian_n', 'held.g')}) AS s FROM r JOIN g own ON own.c_custkey = r.c JOIN held ON held.phone = own.phone WHERE kind = 2 AND held.n <= 5),
+picked AS (SELECT *, count(*) OVER (PARTITION BY pid) AS n, row_number() OVER (PARTITION BY pid ORDER BY s DESC, row_idx) AS k FROM pairs),
+phones AS (SELECT pid, uid AS matched_uid, CASE WHEN n = 1 THEN 'TEXT_MOBILE' WHEN s >= 40 THEN 'TEXT_MOBILE+NAME' ELSE 'TEXT_MOBILE_WEAK' END AS match_method, CAST(s AS DOUBLE) AS confidence FROM picked WHERE k = 1 AND (n = 1 OR s > 0))
+"""
+_SQL_NAMES = f"""
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY locality_n ORDER BY row_idx) AS k FROM g) WHERE k <= 500),
+named AS (SELECT r.pid, near.uid, near.k, {_sql_ratio('owner_n', 'near.o')} AS os, {_sql_ratio('guardian_n', 'near.g')} AS gs FROM r JOIN near ON near.locality_n = r.locality_n WHERE pid NOT IN (SELECT pid FROM direct) AND pid NOT IN (SELECT pid FROM phones)),
+tiered AS (SELECT *, CASE WHEN os >= 60 AND gs >= 60 THEN 'VERIFIED_BOTH' WHEN os >= 75 AND gs >= 30 THEN 'VERIFIED_OWNER+GUARD' WHEN gs >= 75 AND os >= 30 THEN 'VERIFIED_GUARD+OWNER' WHEN greatest(os, gs) >= 90 THEN 'STRONG_SINGLE' END AS tag,
+  CASE WHEN (os >= 60 AND gs >= 60) OR (os >= 75 AND gs >= 30) OR (gs >= 75 AND os >= 30) THEN os + gs ELSE greatest(os, gs) END AS v FROM named),
+names AS (SELECT pid, uid AS matched_uid, 'TEXT_NAME_' || tag AS match_method, CAST(v AS DOUBLE) AS confidence FROM tiered WHERE tag IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pid ORDER BY v DESC, k) = 1)
+"""
+_SQL_MATCHES = f"WITH {_SQL_CLAIMS}, {_SQL_DIRECT}, {_SQL_PHONES}, {_SQL_NAMES}, matches AS (SELECT * FROM direct UNION ALL SELECT * FROM phones UNION ALL SELECT * FROM names)"
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return matching.prepared(_claims(spark, sf_dir), "ownername", "guardianname", "localityname"), matching.prepared(_parcels(spark, sf_dir), "owner_name", "guardian", "locality")
+
+
+def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    r, p = _prepared(spark, sf_dir)
+    none = spark.createDataFrame([], "locality string, other string")
+    layers = [lambda left: matching.direct_ids(left, p), lambda left: matching.phones(left, p), lambda left: matching.names_and_localities(left, p, none)]
+    return r, p, matching.cascade(r, layers)
+
+
+@query(f"WITH {_SQL_CLAIMS}, {_SQL_DIRECT} SELECT * FROM direct")
+def direct_id_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.direct_ids(*_prepared(spark, sf_dir))
+
+
+@query(f"WITH {_SQL_CLAIMS}, {_SQL_PHONES} SELECT * FROM phones")
+def phone_join_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.phones(*_prepared(spark, sf_dir))
+
+
+@query(_SQL_MATCHES + " SELECT * FROM names")
+def name_locality_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matches(spark, sf_dir)[2].where(F.col("match_method").startswith("TEXT_NAME"))
+
+
+@query(_SQL_MATCHES + " SELECT pid, COALESCE(m.matched_uid, '') AS matched_uid, COALESCE(m.match_method, 'UNMATCHED') AS match_method, COALESCE(c_name, '') AS gis_owner_name, 'PT:' || pid AS property_uid FROM r LEFT JOIN matches m USING (pid) LEFT JOIN customer ON m.matched_uid = 'C-' || CAST(c_custkey AS VARCHAR)")
+def cascade_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, p, m = _matches(spark, sf_dir)
+    return register.match_register(r, m, p).select("pid", "matched_uid", "match_method", "gis_owner_name", "property_uid")
+
+
+_SQL_PARCELS = """parcels AS (SELECT uid, CASE WHEN exempt THEN 'EXEMPT' WHEN m IS NOT NULL THEN 'MATCHED' ELSE 'POTENTIAL' END AS status, CASE WHEN exempt THEN 'EXEMPT' WHEN m IS NOT NULL THEN 'IN_TAX_NET' ELSE 'SUSPECTED' END AS tax_status,
+  CASE WHEN vacant THEN 'VACANT' ELSE 'BUILT_UP' END AS present_status, 'GIS:' || uid AS property_uid FROM g LEFT JOIN (SELECT DISTINCT matched_uid AS m FROM matches) ON m = uid)"""
+
+
+def _parcel_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, p, m = _matches(spark, sf_dir)
+    return register.parcel_register(p, m).select("uid", "status", "tax_status", "present_status", "property_uid")
+
+
+@query(f"{_SQL_MATCHES}, {_SQL_PARCELS} SELECT * FROM parcels")
+def parcel_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parcel_register(spark, sf_dir)
+
+
+@query(f"{_SQL_MATCHES}, {_SQL_PARCELS} SELECT uid, property_uid FROM parcels WHERE tax_status = 'SUSPECTED' AND present_status = 'BUILT_UP'")
+def set1_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return register.actionable(_parcel_register(spark, sf_dir)).select("uid", "property_uid")
+
+
+@query(f"{_SQL_MATCHES} SELECT uid, exempt FROM g WHERE uid NOT IN (SELECT matched_uid FROM matches)")
+def unclaimed_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, p, m = _matches(spark, sf_dir)
+    return register.unclaimed(p, m).select("uid", text.exempt(F.col("exempt")).alias("exempt"))
+
+
+@query(f"{_SQL_MATCHES} SELECT COALESCE(match_method, 'UNMATCHED') AS match_method, count(*) AS n FROM r LEFT JOIN matches USING (pid) GROUP BY 1")
+def layer_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, p, m = _matches(spark, sf_dir)
+    return register.counts(register.match_register(r, m, p), "match_method")
+
+
+_SQL_SUMMARY = f"""{_SQL_MATCHES}, {_SQL_PARCELS}, totals AS (SELECT t.*, total_mseva - matched_count AS unmatched_count, total_gis - total_gis_exempted AS total_gis_taxable, round(matched_count / total_mseva * 100, 2) AS match_rate FROM (
+  SELECT (SELECT count(*) FROM r) AS total_mseva, (SELECT count(*) FROM matches) AS matched_count, (SELECT count(DISTINCT matched_uid) FROM matches) AS unique_gis_matched,
+  count(*) AS total_gis, count(*) FILTER (tax_status = 'EXEMPT') AS total_gis_exempted, count(*) FILTER (tax_status = 'SUSPECTED') AS potential_defaulters FROM parcels) t)"""
+
+
+@query(f"{_SQL_SUMMARY} SELECT * FROM totals")
+def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, p, m = _matches(spark, sf_dir)
+    return register.summary(register.match_register(r, m, p), register.parcel_register(p, m))
+
+
+_RULES = ("register_rows", "register_key_blank", "register_key_unique", "register_key_form", "matched_total", "parcel_rows", "parcel_key_blank", "parcel_key_unique", "parcel_key_form", "tax_status_known", "suspected_total")
+
+
+@query("SELECT unnest([" + ", ".join(f"'{r}'" for r in _RULES) + "]) AS rule, true AS ok")
+def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outputs of one run agree in every rule."""
+    r, p, m = _matches(spark, sf_dir)
+    made, parcels = register.match_register(r, m, p), register.parcel_register(p, m)
+    return register.reconcile(made, parcels, register.summary(made, parcels))
+
+
+@query("""WITH m AS (SELECT year(o_orderdate) AS y, count(*) AS n_orders, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS n_done, round(sum(o_totalprice), 2) AS volume FROM orders GROUP BY 1),
+l AS (SELECT y, field, CAST(v AS DOUBLE) AS v FROM (SELECT y, CAST(n_orders AS DOUBLE) AS n_orders, CAST(n_done AS DOUBLE) AS n_done, volume FROM m) UNPIVOT (v FOR field IN (n_orders, n_done, volume)))
+SELECT a.field, a.v AS now, b.v AS before, round(abs(a.v - b.v) / abs(b.v) * 100, 2) AS change FROM l a JOIN l b ON a.field = b.field AND a.y = 1998 AND b.y = 1997 WHERE b.v <> 0 AND round(abs(a.v - b.v) / abs(b.v) * 100, 2) > 0.5""")
+def anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    year = lambda y: table(spark, sf_dir, "orders").where(F.year("o_orderdate") == y).agg(F.count("*").alias("n_orders"), F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("n_done"), F.round(F.sum("o_totalprice"), 2).alias("volume"))
+    return register.anomalies(year(1998), year(1997), ("n_orders", "n_done", "volume"), 0.5)
+
+
+@query(f"""WITH w AS (SELECT p_partkey, {_sql_name('p_name')} AS n FROM part), f AS (SELECT p_partkey, n, CASE WHEN length(split_part(n, ' ', 1)) >= 3 THEN split_part(n, ' ', 1) END AS w FROM w),
+s AS (SELECT a.p_partkey AS pid, b.p_partkey AS meter_idx, {_sql_ratio('a.n', 'b.n')} AS o FROM f a JOIN f b ON a.w = b.w WHERE b.p_partkey % 2 = 0)
+SELECT CAST(pid AS BIGINT) AS pid, meter_idx, o AS value FROM s WHERE o >= 90 QUALIFY row_number() OVER (PARTITION BY pid ORDER BY o DESC, meter_idx) = 1""")
+def first_word_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", text.normalize_name(F.col("p_name")).alias("owner_n"))
+    meters = p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("meter_idx"), "owner_n", F.lit("").alias("relative_n"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    asked = p.select(F.col("p_partkey").alias("pid"), "owner_n", F.lit("").alias("guardian_n"))
+    return matching.meter_candidates(asked, meters).select("pid", "meter_idx", F.col("tier.value").alias("value"))
+
+
+@query(f"""WITH a AS (SELECT DISTINCT {_sql_name('p_name')} AS locality FROM part), b AS (SELECT DISTINCT {_sql_name("p_name || ' ' || p_type")} AS other FROM part)
+SELECT locality, other FROM a, b WHERE len(list_intersect({_sql_words('locality')}, {_sql_words('other')})) / len({_sql_words('locality')}) >= 0.7""")
+def locality_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return matching.crosswalk(p.select(text.normalize_name(F.col("p_name")).alias("locality_n")), p.select(text.normalize_name(F.concat_ws(" ", "p_name", "p_type")).alias("locality_n")))
+
+
+# --- vectors ----------------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS match_id, list_inner_product(a.e, b.e) AS s FROM v a, v b WHERE a.vec_id % 50 = 0)
+SELECT query_id, match_id, round(s, 4) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, match_id) <= 20""")
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return vectors.top_k(e.where("vec_id % 50 = 0"), e).select("query_id", "match_id", F.round("score", 4).alias("score"))
+
+
+@query(None)
+def token_sort_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _part_pairs(spark, sf_dir)
+    distinct = pairs.select("x", "y").distinct().withColumn("score", F.round(similarity.token_sort_ratio("x", "y"), 4))
+    return pairs.join(distinct, ["x", "y"]).select("a", "b", "score")
+
+
+@query(None)
+def unicode_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = text.clean_text(F.col("text"), decompose=True)
+    return table(spark, sf_dir, "documents").select("doc_id", F.length(cleaned).alias("n"), F.md5(cleaned).alias("digest"))
+
+
+# --- aggregates, change, quality --------------------------------------------------------------------------------------------
+
+
+@query("""WITH o AS (SELECT *, round(o_totalprice / 100000) AS lat, CAST(o_custkey % 7 AS DOUBLE) AS lon, CASE WHEN o_orderstatus = 'O' THEN 'APPROXIMATE' ELSE 'ROOFTOP' END AS g FROM orders),
+c AS (SELECT DISTINCT round(lat, 4) AS lat, round(lon, 4) AS lon FROM o WHERE g = 'APPROXIMATE' GROUP BY o.lat, o.lon HAVING count(*) >= 100)
+SELECT o_orderkey, EXISTS (SELECT 1 FROM c WHERE c.lat = round(o.lat, 4) AND c.lon = round(o.lon, 4)) AS centre FROM o""")
+def city_centre_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") / 100000).alias("latitude"), (F.col("o_custkey") % 7).cast("double").alias("longitude"), F.when(F.col("o_orderstatus") == "O", "APPROXIMATE").otherwise("ROOFTOP").alias("geocode_accuracy"))
+    c = register.city_centres(o).withColumn("centre", F.lit(True))
+    return o.withColumns({"lat4": F.round("latitude", 4), "lon4": F.round("longitude", 4)}).join(c, ["lat4", "lon4"], "left").select("o_orderkey", F.coalesce("centre", F.lit(False)).alias("centre"))
+
+
+_SQL_MODE = "SELECT p_brand AS locality, arg_min(p_type, s) AS mapped FROM (SELECT p_brand, p_type, row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_type) AS s FROM part GROUP BY 1, 2) GROUP BY 1"
+
+
+@query(_SQL_MODE)
+def mode_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return change.mode_crosswalk(table(spark, sf_dir, "part").select(F.col("p_brand").alias("locality"), F.col("p_type").alias("gis_locality")))
+
+
+@query("""WITH n AS (SELECT c_mktsegment AS locality, CAST(sum(l_linenumber) AS BIGINT) AS estimated_new_buildings FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+u AS (SELECT c_mktsegment AS locality, count(*) AS k FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority <> '1-URGENT' GROUP BY 1)
+SELECT locality, estimated_new_buildings, COALESCE(k, 0) AS unmatched_paying_citizens, greatest(estimated_new_buildings - COALESCE(k, 0), 0) AS estimated_true_defaulters FROM n LEFT JOIN u USING (locality)""")
+def change_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderpriority", F.col("c_mktsegment").alias("locality"))
+    new = table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("locality", F.col("l_linenumber").cast("long").alias("est_bldgs"))
+    none = spark.createDataFrame([], "locality string, mapped string")
+    return change.change_buckets(new, o.where(F.col("o_orderpriority") != "1-URGENT"), none)
+
+
+@query("SELECT user_id, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1")
+def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema.keep_first(table(spark, sf_dir, "events").withColumn("k", F.col("user_id").cast("string")), "k", "event_id").select("user_id", "event_id", "ts")
+
+
+@query("SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 50 OFFSET 100")
+def paginate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema.page(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id", 100, 50)
+
+
+@query("""WITH s AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS d FROM orders), a AS (SELECT avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS d FROM customer)
+SELECT (SELECT count(*) FROM orders, s WHERE abs(o_totalprice - m) > 1.5 * d) AS o_totalprice""")
+def outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return change.outlier_counts(table(spark, sf_dir, "orders"), "o_totalprice", spread=1.5)
+
+
+@query("SELECT CAST(trunc((median(73 + (c_custkey % 499) / 100.0::DOUBLE) + 180) / 6) AS INTEGER) + 1 + 32600 AS epsg FROM customer")
+def median_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _coordinates(spark, sf_dir).agg(F.median("lon").alias("lon"), F.median("lat").alias("lat"))
+    return c.select(geo.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg"))
+
+
+@query("""WITH t AS (SELECT count(*) AS n FROM documents) SELECT field, filled, n_distinct, round(filled / n * 100, 2) AS pct FROM t, (SELECT 'lang' AS field, count(nullif(trim(lang), '')) AS filled, count(DISTINCT nullif(trim(lang), '')) AS n_distinct FROM documents
+UNION ALL SELECT 'source', count(nullif(trim(source), '')), count(DISTINCT nullif(trim(source), '')) FROM documents UNION ALL SELECT 'n_chars', count(n_chars), count(DISTINCT n_chars) FROM documents)""")
+def fill_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.fill_rates(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
+
+
+@query("SELECT round(avg(CASE WHEN length(trim(c_name)) >= 10 THEN 1.0 ELSE 0.0 END), 6) AS coverage FROM customer")
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").agg(F.round(matching.phone_coverage(table(spark, sf_dir, "customer"), "c_name"), 6).alias("coverage"))
+
+
+@query("""WITH a AS (SELECT DISTINCT right(CAST(6000000000 + c_custkey * 3 AS VARCHAR), 10) AS p FROM customer), b AS (SELECT DISTINCT right(CAST(6000000000 + o_custkey * 2 AS VARCHAR), 10) AS p FROM orders)
+SELECT (SELECT count(*) FROM a) AS ours, (SELECT count(*) FROM b) AS theirs, (SELECT count(*) FROM a JOIN b USING (p)) AS shared""")
+def phone_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "customer").select((F.lit(6000000000) + F.col("c_custkey") * 3).cast("string").alias("a"))
+    b = table(spark, sf_dir, "orders").select((F.lit(6000000000) + F.col("o_custkey") * 2).cast("string").alias("b"))
+    return quality.phone_overlap(a, b, "a", "b")
+
+
+@query("""WITH px AS (SELECT l_partkey % 50 AS x, l_suppkey % 50 AS y, l_tax * 1000 AS cloud, l_quantity AS nir, l_discount * 100 + 1 AS red, l_linenumber * 5.0::DOUBLE AS swir FROM lineitem),
+c AS (SELECT x, y, median(nir) AS nir, median(red) AS red, median(swir) AS swir FROM px WHERE cloud < 20 GROUP BY x, y)
+SELECT x, y, round((nir - red) / (nir + red), 6) AS ndvi, round((swir - nir) / (swir + nir), 6) AS ndbi, ((swir - nir) / (swir + nir) > 0.1 AND (nir - red) / (nir + red) < 0.4) AS built FROM c""")
+def ndvi_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    px = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 50).alias("x"), (F.col("l_suppkey") % 50).alias("y"), (F.col("l_tax") * 1000).alias("cloud"), F.col("l_quantity").alias("nir"), (F.col("l_discount") * 100 + 1).alias("red"), (F.col("l_linenumber") * 5.0).alias("swir"))
+    c = change.composite(px, ["nir", "red", "swir"])
+    ndvi, ndbi = change.normalised_difference(F.col("nir"), F.col("red")), change.normalised_difference(F.col("swir"), F.col("nir"))
+    return c.select("x", "y", F.round(ndvi, 6).alias("ndvi"), F.round(ndbi, 6).alias("ndbi"), change.built_mask(2015, ndbi, ndvi).alias("built"))
