@@ -29,6 +29,11 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def exact_sum(x: Column) -> Column:
+    """A sum of doubles that doesn't depend on the order of rows: of decimals with six places."""
+    return F.sum(x.cast("decimal(38,6)")).cast("double")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, cap: float = CAP) -> DataFrame:
     """Adds ``target`` to one row a source (source, source_size).
 
@@ -67,8 +72,8 @@ def dual(counts: DataFrame, goals: DataFrame, cap: float = CAP, rounds: int = 40
     for _ in range(rounds):
         free = tilted < cap
         sums = counts.join(state, "sid").groupBy("sid").agg(
-            F.sum(F.col("n") * F.col("size") * tilted).alias("got"),
-            F.sum(F.when(free, F.col("n") * F.col("size") * z * tilted).otherwise(0.0)).alias("slope"),
+            exact_sum(F.col("n") * F.col("size") * tilted).alias("got"),
+            exact_sum(F.when(free, F.col("n") * F.col("size") * z * tilted).otherwise(0.0)).alias("slope"),
         )
         step = state.join(sums, "sid")
         off = F.col("got") - F.col("target")
@@ -102,7 +107,7 @@ def rates(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     rows = cut(docs.select(docs[key].alias("key"), *named, docs[source].cast("string").alias("source"), size_of(docs[text]).alias("size")), "mix-sizes")
     counts = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     mass = F.col("n") * F.col("size")
-    per = counts.groupBy("source").agg(F.sum(mass).cast("long").alias("source_size"), F.sum(mass.cast("double") * F.col("size")).alias("source_squares"), F.sum("n").alias("docs"))
+    per = counts.groupBy("source").agg(F.sum(mass).cast("long").alias("source_size"), exact_sum(mass.cast("double") * F.col("size")).alias("source_squares"), F.sum("n").alias("docs"))
     # a name without nulls for the joins: the source's behind a mark
     sid = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
     goals = cut(targets(per.select("source", "source_size"), weights, share, cap).withColumn("sid", sid).join(per.select(sid.alias("sid"), "source_squares", "docs"), "sid").drop("source"), "mix-goals")
