@@ -254,7 +254,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     shards = max(parts, volume // SHARD_BYTES + 1)
 
     # occurrences: whole segments of a repeated content, and those that wait for their shard
-    placed = each.select("h", "anchor", "content", "start", "size").join(shared.select("anchor", "content", "n", "kinds"), ["anchor", "content"])
+    placed = cut(each.select("h", "anchor", "content", "start", "size").join(shared.select("anchor", "content", "n", "kinds"), ["anchor", "content"]), "suffix-placed")
     whole = placed.where(F.col("n") >= 2).select("h", F.col("start").alias("from"), (F.col("start") + F.col("size")).alias("to"))
     waiting = placed.where((F.col("n") == 1) & (F.col("kinds") >= 2)).select("h", "anchor", "content", "start")
 
@@ -263,7 +263,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
         F.col("first.h").alias("h"),
         F.struct("anchor", "content", F.col("first.start").alias("start"), F.col("first.size").alias("size"), F.col("first.place").alias("place"), (F.col("n") >= 2).alias("many"), (F.col("kinds") >= MANY).alias("split")).alias("w"),
     ).groupBy("h").agg(F.collect_list("w").alias("wanted"))
-    involved = placed.select("h").distinct().join(wanted, "h", "full")
+    involved = placed.select("h").union(local.select("h")).distinct().join(wanted, "h", "full")
     # texts that lose something or lend bytes, fetched once; repeated rows are one text here
     texts = cut(rows.select("h", "t").join(involved, "h").dropDuplicates(["h"]).select("h", "t", "wanted"), "suffix-texts")
     payloads = texts.where(F.col("wanted").isNotNull()).select("t", "wanted").mapInArrow(lambda b: _payloads(b, shards, length), "shard long, anchor long, content long, base long, many boolean, bytes binary")
@@ -273,9 +273,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
 
     spans = local.union(whole).union(partly).distinct()
     by_text = spans.groupBy("h").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
-    # texts whose repeats are all their own aren't among those fetched
-    alone = rows.select("h", "t").join(local.select("h").distinct().join(involved.select("h"), "h", "left_anti"), "h").dropDuplicates(["h"])
-    losing = texts.select("h", "t").union(alone).join(by_text, "h").mapInArrow(_cut_texts, "h long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    losing = texts.select("h", "t").join(by_text, "h").mapInArrow(_cut_texts, "h long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     losing = losing if with_bytes else losing.drop("kept")
     intact = [F.octet_length("t").cast("long").alias("n_bytes"), F.sha2("t", 256).alias("whole_sha256")]
     more = [F.encode("t", "utf-8").alias("whole")] if with_bytes else []
