@@ -93,4 +93,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
 FROM failed
 """
 
-ORACLES: dict[str, str] = {"op6_quality_rules": _QUALITY, "op9_url_filter": url_filter.oracle()}
+_NGRAM = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
+), ways AS (
+  SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM words UNION SELECT reach.x, ways.y FROM reach JOIN ways ON reach.y = ways.x
+)
+SELECT doc_id, COALESCE(n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id FROM words LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": _NGRAM, "op6_quality_rules": _QUALITY, "op9_url_filter": url_filter.oracle()}
