@@ -112,4 +112,4 @@ WITH RECURSIVE words AS (
 SELECT doc_id, COALESCE(n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id FROM words LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": _NGRAM, "op6_quality_rules": _QUALITY, "op9_url_filter": url_filter.oracle()}
+ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": _NGRAM, "op6_quality_rules": _QUALITY, "op7_license_scan": licenses.oracle(), "op9_url_filter": url_filter.oracle()}
