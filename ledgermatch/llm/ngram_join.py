@@ -68,10 +68,13 @@ def common_shingles(docs: DataFrame, text: str = "text", width: int = WIDTH) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(0), width))
-            token, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
-            often = n >= 4
-            yield pa.RecordBatch.from_arrays([pa.array(token[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["token", "n"])
+            flat = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch.column(0), width)])
+            flat.sort()
+            # sets hold a shingle once, so a run of four is four texts; longer runs are counted from their first place
+            head = np.flatnonzero(flat[3:] == flat[:-3]) if len(flat) > 3 else np.zeros(0, np.int64)
+            token, n = np.unique(flat[head], return_counts=True)
+            del flat
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64) + 3)], ["token", "n"])
 
     counted = docs.select(docs[text].cast("string").alias("t")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counted.where(F.col("n") >= COMMON).orderBy(F.col("n").desc(), "token").limit(COMMON_MOST).select("token").collect()

@@ -91,11 +91,11 @@ def measure_text(text: str | None) -> tuple[int, ...]:
     return (n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), n_lines, n_lines - len(lines), repeated, text.count("!"))
 
 
-def _measured(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+def _measured(batches: Iterator[pa.RecordBatch], text_at: int, drop: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [measure_text(t.as_py()) for t in batch.column(text_at)]
         columns = zip(*rows, strict=True) if rows else [()] * len(MEASURES)
-        kept = [(batch.schema.field(i), batch.column(i)) for i in range(batch.num_columns) if i != text_at]
+        kept = [(batch.schema.field(i), batch.column(i)) for i in range(batch.num_columns) if i != text_at or not drop]
         added = [(pa.field(name, pa.int64()), pa.array(c, pa.int64())) for name, c in zip(MEASURES, columns, strict=True)]
         yield pa.RecordBatch.from_arrays([a for _, a in kept + added], schema=pa.schema([f for f, _ in kept + added]))
 
@@ -108,7 +108,10 @@ def ledger(docs: DataFrame, keep: list[str], text: str = "text", rules: tuple[Ru
     rows = docs.select(*keep, docs[text].alias("__text"))
     schema = T.StructType([f for f in rows.schema if f.name != "__text"] + [T.StructField(m, T.LongType()) for m in MEASURES])
     at = len(keep)
-    measured = rows.mapInArrow(lambda batches: _measured(batches, at), schema)
+    return _with_bits(rows.mapInArrow(lambda batches: _measured(batches, at, True), schema), rules)
+
+
+def _with_bits(measured: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     bits = F.lit(0).cast("long")
     for r in rules:
         bits = bits + F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long")
@@ -116,11 +119,15 @@ def ledger(docs: DataFrame, keep: list[str], text: str = "text", rules: tuple[Ru
 
 
 def apply_policy(docs: DataFrame, policy: Policy = PRODUCTION, text: str = "text") -> DataFrame:
-    """The documents that the policy keeps, with their own columns unchanged (the text is carried through the pass once)."""
+    """The documents that the policy keeps, with their own columns unchanged."""
+    from pyspark.sql import types as T
+
     cols = docs.columns
-    renamed = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], docs[text].alias("__judged"))
-    kept = ledger(renamed, [f"c{i}" for i in range(len(cols))], "__judged").where(~policy.rejects(F.col("fail_bits")))
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
+    at = cols.index(text)
+    renamed = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
+    schema = T.StructType([*renamed.schema, *[T.StructField(m, T.LongType()) for m in MEASURES]])
+    judged = _with_bits(renamed.mapInArrow(lambda batches: _measured(batches, at, False), schema), RULES)
+    return judged.where(~policy.rejects(F.col("fail_bits"))).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def ablation(rows: DataFrame, policy: Policy = PRODUCTION, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -68,7 +68,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     return words, np.searchsorted(start, offsets).astype(np.int64)
 
 
-def shingle_sets(column: pa.Array, width: int = 5, chunk_bytes: int = 4_000_000) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, width: int = 5, chunk_bytes: int = 1_000_000) -> Iterator[np.ndarray]:
     """For each text its sorted distinct shingle hashes (uint64).
 
     A text of fewer than ``width`` words has its whole word sequence as one shingle; one without words has none.

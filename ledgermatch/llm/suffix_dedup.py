@@ -30,7 +30,7 @@ from ledgermatch.llm.suffix_arrays import common_prefixes, join_strings, suffix_
 
 LENGTH = 400
 GRAM = 24
-CHUNK = 4_000_000
+CHUNK = 1_500_000
 SHARD_BYTES = 1_500_000
 #: Contents of an anchor from which it is dealt out again, and into how many parts of anchor places.
 MANY, PARTS = 1_000, 8

@@ -19,9 +19,9 @@ import pyarrow as pa
 from ledgermatch.llm.shingles import string_buffers
 
 #: Pieces a worker remembers.
-MEMO = 700_000
+MEMO = 350_000
 #: Bytes of text that are cut at a time.
-CHUNK = 6_000_000
+CHUNK = 3_000_000
 
 _SPACE, _LINE, _LETTER, _PUNCTUATION, _DIGIT, _APOSTROPHE, _OTHER = range(7)
 _CLASS = np.full(256, _OTHER, dtype=np.uint8)
