@@ -114,7 +114,9 @@ def rates(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     lam = dual(counts.where(F.col("size") > 0).select(sid.alias("sid"), "size", "n"), goals, cap)
     tilt = F.exp(F.least(F.col("lam") * F.col("size") / F.col("scale"), F.lit(float(np.log(cap)))))
     rate = F.when((F.col("size") == 0) | (F.col("target") == 0), 0.0).when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(tilt)
-    return rows.select("key", "h", "g", "size", sid.alias("sid")).join(goals.join(lam, "sid", "left"), "sid").select("key", "h", "g", "size", "sid", "source_size", "target", "docs", rate.alias("rate"))
+    # a rate for each (source, size), so that a source's documents are dealt out by size and not all to one task
+    table = counts.select(sid.alias("sid"), "size").join(goals.join(lam, "sid", "left"), "sid").select("sid", "size", "source_size", "target", "docs", rate.alias("rate"))
+    return rows.select("key", "h", "g", "size", sid.alias("sid")).join(table, ["sid", "size"]).select("key", "h", "g", "size", "sid", "source_size", "target", "docs", "rate")
 
 
 def copies(rated: DataFrame, per_bucket: int = 5_000) -> DataFrame:
