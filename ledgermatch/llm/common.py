@@ -11,6 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch to Python workers: whole texts, few at a time, so that a worker's memory doesn't follow the table.
+BATCH_BYTES = 8_000_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on Arrow batches where it is above BATCH_BYTES; never raises it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower().rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def scratch(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
@@ -35,6 +47,7 @@ def cut(frame: DataFrame, name: str) -> DataFrame:
 
     Unlike a local checkpoint the table outlives executors, and unlike ``checkpoint()`` the rows are computed once.
     """
+    small_batches(frame.sparkSession)
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut
+from ledgermatch.llm.common import cut, small_batches
 from ledgermatch.llm.components import connected
 from ledgermatch.llm.shingles import shingle_sets
 
@@ -64,19 +64,20 @@ def signature(hashes: np.ndarray) -> bytes:
 
 
 def common_shingles(docs: DataFrame, text: str = "text", width: int = WIDTH) -> np.ndarray:
-    """Hashes of very common shingles, sorted.  Counts are gathered where a batch has a shingle at least four times."""
+    """Hashes of very common shingles, sorted.  Counts are gathered where a batch has a shingle at least three times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch.column(0), width)])
             flat.sort()
-            # sets hold a shingle once, so a run of four is four texts; longer runs are counted from their first place
-            head = np.flatnonzero(flat[3:] == flat[:-3]) if len(flat) > 3 else np.zeros(0, np.int64)
+            # sets hold a shingle once, so a run of three is three texts; longer runs are counted from their first place
+            head = np.flatnonzero(flat[2:] == flat[:-2]) if len(flat) > 2 else np.zeros(0, np.int64)
             token, n = np.unique(flat[head], return_counts=True)
             del flat
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64) + 3)], ["token", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64) + 2)], ["token", "n"])
 
     counted = docs.select(docs[text].cast("string").alias("t")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    small_batches(docs.sparkSession)
     rows = counted.where(F.col("n") >= COMMON).orderBy(F.col("n").desc(), "token").limit(COMMON_MOST).select("token").collect()
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import WORD
+from ledgermatch.llm.common import WORD, small_batches
 
 _WORD = re.compile(WORD)
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -104,6 +104,7 @@ def ledger(docs: DataFrame, keep: list[str], text: str = "text", rules: tuple[Ru
     """One row per document: the columns ``keep``, the MEASURES and ``fail_bits``."""
     from pyspark.sql import types as T
 
+    small_batches(docs.sparkSession)
     keep = [c for c in dict.fromkeys(keep) if c not in (*MEASURES, "fail_bits")]
     rows = docs.select(*keep, docs[text].alias("__text"))
     schema = T.StructType([f for f in rows.schema if f.name != "__text"] + [T.StructField(m, T.LongType()) for m in MEASURES])
@@ -122,6 +123,7 @@ def apply_policy(docs: DataFrame, policy: Policy = PRODUCTION, text: str = "text
     """The documents that the policy keeps, with their own columns unchanged."""
     from pyspark.sql import types as T
 
+    small_batches(docs.sparkSession)
     cols = docs.columns
     at = cols.index(text)
     renamed = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)])
