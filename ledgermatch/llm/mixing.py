@@ -4,7 +4,8 @@ Document ``i`` of source ``s`` gets the rate ``r_i`` that keeps sum(r log r - r)
 sum(size_i * r_i) = target_s and 0 <= r_i <= cap.  The dual has one variable a source and the solution is an exponential
 tilt, r_i = min(cap, exp(lambda_s * z_i)) with z_i = size_i / mean size of the source's words.  Newton iterations on the convex
 dual run for all sources at once as aggregations over the counts of (source, size), which hold all the dual needs;
-a bracket guards them, and each iteration ends in a written table.  Rates are then rounded to copies by error diffusion over
+a bracket, found by doubling lambda and halved when Newton is slow, guards them, and each iteration ends in a written table.  They run
+until every source meets the tolerance; a source that can't meet it is an error.  Rates are then rounded to copies by error diffusion over
 buckets of documents from the largest down, so what a source takes stays within the smallest documents of its target.
 
 Defined results: a null or empty text has size 0 and takes nothing.  The null source is a source, the last one.  A source
@@ -29,9 +30,9 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def exact_sum(x: Column) -> Column:
-    """A sum of doubles that doesn't depend on the order of rows: of decimals with six places."""
-    return F.sum(x.cast("decimal(38,6)")).cast("double")
+def exact_sum(x: Column, places: int = 6) -> Column:
+    """A sum of doubles that doesn't depend on the order of rows: of decimals with so many places."""
+    return F.sum(x.cast(f"decimal(38,{places})")).cast("double")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, cap: float = CAP) -> DataFrame:
@@ -59,32 +60,42 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def dual(counts: DataFrame, goals: DataFrame, cap: float = CAP, rounds: int = 40, tolerance: float = 1e-9) -> DataFrame:
+def dual(counts: DataFrame, goals: DataFrame, cap: float = CAP, patience: int = 8, tolerance: float = 1e-9) -> DataFrame:
     """Lambda for each source.  ``counts``: sid, size, n with size over 0; ``goals``: sid, source_size, source_squares, target.
 
-    Sources whose target is all that the cap allows have no finite lambda; their rate is the cap.
+    Sources whose target is all that the cap allows have no finite lambda; their rate is the cap.  After ``patience`` rounds every other
+    step doubles lambda or halves the bracket, so the rounds end: a source whose rates are all at the cap and too little, or whose
+    bracket closes before it meets the tolerance, raises ``ArithmeticError``.
     """
     scale = F.col("source_squares") / F.col("source_size")
     solve = goals.where((F.col("source_size") > 0) & (F.col("target") < cap * F.col("source_size")))
-    state = cut(solve.select("sid", "target", scale.alias("scale"), F.lit(0.0).alias("lam"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"), F.lit(False).alias("done")), "dual")
+    state = cut(solve.select("sid", "target", scale.alias("scale"), F.lit(0.0).alias("lam"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"), F.lit(False).alias("done"), F.lit(False).alias("stuck")), "dual")
     z = F.col("size") / F.col("scale")
     tilted = F.exp(F.least(F.col("lam") * z, F.lit(float(np.log(cap)))))
-    for _ in range(rounds):
+    turn = 0
+    while not state.where(~F.col("done")).isEmpty():
         free = tilted < cap
+        # places enough for the tolerance of a source of few words
         sums = counts.join(state, "sid").groupBy("sid").agg(
-            exact_sum(F.col("n") * F.col("size") * tilted).alias("got"),
-            exact_sum(F.when(free, F.col("n") * F.col("size") * z * tilted).otherwise(0.0)).alias("slope"),
+            exact_sum(F.col("n") * F.col("size") * tilted, 12).alias("got"),
+            exact_sum(F.when(free, F.col("n") * F.col("size") * z * tilted).otherwise(0.0), 12).alias("slope"),
         )
         step = state.join(sums, "sid")
         off = F.col("got") - F.col("target")
         low, high = F.when(off < 0, F.col("lam")).otherwise(F.col("low")), F.when(off > 0, F.col("lam")).otherwise(F.col("high"))
-        newton = F.when(F.col("slope") > 0, F.col("lam") - F.greatest(F.lit(-8.0), F.least(F.lit(8.0), off / F.col("slope"))))
-        middle = F.when(low == float("-inf"), F.col("lam") - 8.0).when(high == float("inf"), F.col("lam") + 8.0).otherwise((low + high) / 2)
-        done = F.abs(off) <= tolerance * F.greatest(F.col("target"), F.lit(1.0))
-        lam = F.when(done | F.col("done"), F.col("lam")).when((newton > low) & (newton < high), newton).otherwise(middle)
-        state = cut(step.select("sid", "target", "scale", lam.alias("lam"), low.alias("low"), high.alias("high"), (done | F.col("done")).alias("done")), "dual")
-        if state.where(~F.col("done")).isEmpty():
-            break
+        newton = F.when(F.col("slope") > 0, F.col("lam") - off / F.col("slope"))
+        reach = F.greatest(F.abs("lam"), F.lit(8.0))
+        middle = F.when(low == float("-inf"), F.col("lam") - reach).when(high == float("inf"), F.col("lam") + reach).otherwise((low + high) / 2)
+        trusted = F.lit(turn < patience or turn % 2 == 0)
+        done = F.col("done") | (F.abs(off) <= tolerance * F.greatest(F.col("target"), F.lit(1.0)))
+        lam = F.when(done, F.col("lam")).when(trusted & (newton > low) & (newton < high), newton).otherwise(middle)
+        # all rates are at the cap and too little, or the bracket has closed
+        stuck = ~done & (((off < 0) & (F.col("slope") == 0)) | (lam <= low) | (lam >= high))
+        state = cut(step.select("sid", "target", "scale", lam.alias("lam"), low.alias("low"), high.alias("high"), done.alias("done"), stuck.alias("stuck")), "dual")
+        failed = state.where("stuck").select("sid", "target", "lam").head(5)
+        if failed:
+            raise ArithmeticError(f"no tilt meets the target of these sources: {failed}")
+        turn += 1
     return state.select("sid", "scale", "lam")
 
 

@@ -140,3 +140,30 @@ def test_mix(spark):
         want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
     assert copies == {k: v for k, v in want.items() if v}
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed_documents(docs(spark, [])).count() == 0
+
+
+def test_dual_with_very_long_documents(spark):
+    sizes = {
+        "one": {230 + i: 250 for i in range(40)} | {1_000_000: 1},
+        "ten": {230 + i: 2500 for i in range(40)} | {2_000_000: 10},
+        "five": {230 + i: 250 for i in range(40)} | {300_000: 5},
+        "few words": {1: 3, 2: 2},
+    }
+    counts, goals = [], []
+    for name, by_size in sizes.items():
+        total, squares = sum(s * n for s, n in by_size.items()), float(sum(s * s * n for s, n in by_size.items()))
+        for part in (0.001, 0.2, 1 / 3, 1.0, 2.5, 2.9, 2.999999):
+            counts += [(f"{name} {part}", s, n) for s, n in by_size.items()]
+            goals.append((f"{name} {part}", total, squares, part * total))
+    got = mixing.dual(spark.createDataFrame(counts, "sid string, size long, n long"), spark.createDataFrame(goals, "sid string, source_size long, source_squares double, target double")).collect()
+    assert len(got) == len(goals)
+    target = {sid: t for sid, _, _, t in goals}
+    for r in got:
+        taken = sum(n * s * min(3.0, float(np.exp(min(r.lam * s / r.scale, 2.0)))) for sid, s, n in counts if sid == r.sid)
+        assert abs(taken - target[r.sid]) <= 1e-6 * target[r.sid], r.sid
+
+
+def test_dual_without_solution(spark):
+    counts, goals = spark.createDataFrame([("a", 5, 1)], "sid string, size long, n long"), spark.createDataFrame([("a", 10, 50.0, 20.0)], "sid string, source_size long, source_squares double, target double")
+    with pytest.raises(ArithmeticError, match="'a'"):
+        mixing.dual(counts, goals)
