@@ -1,13 +1,14 @@
 """Personal data: base patterns, and terms that the corpus shows to reveal what the patterns found, in DataFrame functions alone.
 
 Base spans (emails, IP addresses, payment cards, phone numbers) are protected entities.  Information-theoretic sanitisation then
-looks at the words around them.  For an entity e and a word t near it the corpus gives
+looks at all words of the texts that hold them.  For an entity e and a word t in a text with it the corpus gives
 
     IC(e) = log2(N / n_e)    PMI(t; e) = log2(N * c_te / (c_t * n_e))
 
-with N documents, n_e of them with e, c_t with t, and c_te distinct contexts of e with t.  A word discloses e
-if PMI(t; e) >= ``disclosure`` * IC(e) and c_te >= ``support``: whoever reads it learns nearly all of e.  Copies of one document
-repeat one context, so they are no evidence.  Disclosing words are spans of the kind ``term`` in every document that holds e.
+with N distinct texts, n_e of them with e, c_t with t, and c_te with both.  A word discloses e
+if PMI(t; e) >= ``disclosure`` * IC(e) and c_te >= ``support``: whoever reads it learns nearly all of e.  Exact copies of a text
+are one text in every count; texts that differ at all are several.  Disclosing words are spans of the kind ``term`` in every
+document that holds e.  An entity in fewer than ``support`` distinct texts has no disclosing words.
 
 Defined results: null and empty texts have no spans.  Positions are code points, ends exclusive.  Base matches of a kind are leftmost and
 do not overlap; those that fail their check are dropped and not tried again.  Repeated rows get equal spans.  An
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import WORD, cut
+from ledgermatch.llm.common import cut
 
 #: Each stands for the plain pattern in the comment.  Possessive repeats and lookbehinds keep Java's matcher from recursing and
 #: from trying again inside a run that has failed; the matches are the same.
@@ -35,7 +36,6 @@ PATTERNS = {
 }
 KINDS = (*PATTERNS, "term")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-CONTEXT_CHARS, CONTEXT_WORDS = 120, 6
 DISCLOSURE, SUPPORT = 0.95, 3
 TERM = r"(?<![\p{L}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]{3,}(?<=[\p{L}\p{M}])(?![\p{N}@_])"
 
@@ -64,26 +64,27 @@ def _holds(kind: str, match: Column) -> Column:
 
 
 def _matches(kind: str, text: Column) -> Column:
-    """All matches of a kind, in order: gap before it (characters), the match, a little text on either side."""
+    """All matches of a kind, in order: gap before it (characters), the match."""
     pattern = F.lit(PATTERNS[kind])
     parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    left = lambda p: F.right(p, F.lit(CONTEXT_CHARS))
-    right = lambda p: F.left(p, F.lit(CONTEXT_CHARS))
-    pairs = F.zip_with(found, F.slice(parts, 1, F.size(found)), lambda m, p: F.struct(F.length(p).alias("gap"), m.alias("match"), left(p).alias("before")))
-    return F.zip_with(pairs, F.slice(parts, 2, F.size(found)), lambda x, p: F.struct(x["gap"].alias("gap"), x["match"].alias("match"), x["before"].alias("before"), right(p).alias("after")))
+    return F.zip_with(found, F.slice(parts, 1, F.size(found)), lambda m, p: F.struct(F.length(p).alias("gap"), m.alias("match")))
+
+
+def _text_hash(docs: DataFrame, text: str) -> Column:
+    return F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit("")))
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, spans).  rows: rid, key, h; spans: rid, h, k (the kind's place), start, end, entity, before, after, for base spans that hold."""
+    """(rows, spans).  rows: rid, key, h; spans: rid, h, th (names the text), k (the kind's place), start, end, entity, for base spans that hold."""
     clean = F.coalesce(F.col("t"), F.lit(""))
     # a cheap look before each kind's passes
     hint = {"email": clean.contains("@"), "ip": clean.rlike(r"[0-9]\.[0-9]"), "card": clean.rlike("[0-9][ -]?[0-9]"), "phone": clean.contains("+")}
     found = [F.when(hint[k], _matches(k, clean)).alias(k) for k in PATTERNS]
-    named = docs.select(docs[key].alias("key"), F.xxhash64(docs[key], docs[text]).alias("h"), docs[text].cast("string").alias("t"))
-    rows = cut(named.select(F.monotonically_increasing_id().alias("rid"), "key", "h", *found), "pii-rows")
+    named = docs.select(docs[key].alias("key"), F.xxhash64(docs[key], docs[text]).alias("h"), _text_hash(docs, text).alias("th"), docs[text].cast("string").alias("t"))
+    rows = cut(named.select(F.monotonically_increasing_id().alias("rid"), "key", "h", "th", *found), "pii-rows")
     each = None
     for i, k in enumerate(PATTERNS):
-        one = rows.select("rid", "h", F.lit(i).alias("k"), F.posexplode(k).alias("at", "m"))
+        one = rows.select("rid", "h", "th", F.lit(i).alias("k"), F.posexplode(k).alias("at", "m"))
         each = one if each is None else each.union(one)
     order = Window.partitionBy("rid", "k").orderBy("at")
     end = F.sum(F.col("m.gap") + F.length("m.match")).over(order)
@@ -92,7 +93,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     for i, k in reversed(list(enumerate(PATTERNS))):
         holds = F.when(F.col("k") == i, _holds(k, F.col("m.match"))).otherwise(holds)
     entity = F.concat_ws(":", F.col("k"), F.when(F.col("k").isin(2, 3), _digits(F.col("m.match"))).otherwise(F.lower("m.match")))
-    spans = placed.where(holds).select("rid", "h", "k", "start", "end", entity.alias("entity"), F.col("m.before").alias("before"), F.col("m.after").alias("after"))
+    spans = placed.where(holds).select("rid", "h", "th", "k", "start", "end", entity.alias("entity"))
     return rows.select("rid", "key", "h"), cut(spans, "pii-spans")
 
 
@@ -102,21 +103,21 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def disclosing(docs: DataFrame, rows: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """Rows (entity, term): words near an entity that reveal it, by counts over all documents."""
-    words = lambda c: F.regexp_extract_all(F.col(c), F.lit(WORD), F.lit(0))
-    near = F.concat(F.slice(F.reverse(words("before")), 1, CONTEXT_WORDS), F.slice(words("after"), 1, CONTEXT_WORDS))
-    contexts = spans.select("entity", _terms(F.array_join(near, " ")).alias("terms")).distinct()
-    together = contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("c_te")).where(F.col("c_te") >= support)
+def disclosing(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """Rows (entity, term): words of the texts with an entity that reveal it, by counts over all distinct texts."""
+    holders = spans.select("th", "entity").distinct()
+    # no word is in more texts with an entity than the entity
+    texts_with = holders.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    judged = cut(holders.join(texts_with, "entity"), "pii-judged")
+    if judged.isEmpty():
+        return judged.select("entity", F.lit("").alias("term"))
+    texts = cut(docs.select(_text_hash(docs, text).alias("th"), _terms(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("terms")).dropDuplicates(["th"]), "pii-texts")
+    total = texts.agg(F.count("*").alias("n"))
+    together = judged.join(texts, "th").select("entity", "n_e", F.explode("terms").alias("term")).groupBy("entity", "n_e", "term").agg(F.count("*").alias("c_te")).where(F.col("c_te") >= support)
     together = cut(together, "pii-together")
-    if together.isEmpty():
-        return together.select("entity", "term")
-    docs_with = spans.join(together.select("entity").distinct(), "entity").groupBy("entity").agg(F.countDistinct("rid").alias("n_e"))
-    total = rows.agg(F.count("*").alias("n"))
-    all_words = docs.select(F.explode(_terms(F.coalesce(docs[text].cast("string"), F.lit("")))).alias("term"))
     # counted before the join, so that common words are few rows by then
-    term_docs = all_words.groupBy("term").agg(F.count("*").alias("c_t")).join(together.select("term").distinct(), "term")
-    scored = together.join(docs_with, "entity").join(term_docs, "term").join(F.broadcast(total))
+    term_texts = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("c_t")).join(together.select("term").distinct(), "term")
+    scored = together.join(term_texts, "term").join(F.broadcast(total))
     content = F.log2(F.col("n") / F.col("n_e"))
     pmi = F.log2(F.col("n") * F.col("c_te") / (F.col("c_t") * F.col("n_e")))
     return cut(scored.where((content > 0) & (pmi >= F.lit(disclosure) * content)).select("entity", "term"), "pii-terms")
@@ -137,7 +138,7 @@ def term_spans(docs: DataFrame, spans: DataFrame, terms: DataFrame, key: str = "
 def spans_of(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """Per row: key, h (names key and text) and spans, an array of (k, start, end) in order: base kinds, then terms."""
     rows, spans = find(docs, key, text)
-    terms = disclosing(docs, rows, spans, text, disclosure, support)
+    terms = disclosing(docs, spans, text, disclosure, support)
     base = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("k", "start", "end"))).alias("base"))
     more = term_spans(docs, spans, terms, key, text).groupBy("h").agg(F.sort_array(F.collect_set(F.struct("k", "start", "end"))).alias("more"))
     none = F.array().cast("array<struct<k:int,start:bigint,end:bigint>>")

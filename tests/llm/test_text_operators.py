@@ -220,6 +220,23 @@ def test_pii(spark):
     assert pii.report(frame(spark, [])).count() == 0 and pii.sanitised(frame(spark, [])).count() == 0
 
 
+def test_pii_terms_anywhere_in_the_text(spark):
+    filler = " ".join(f"filler{chr(97 + i)}" for i in range(20))
+    rows = [(i, f"Write to amy@x.org {filler} and topic{w} ends here, yours Quillbert") for i, w in enumerate("abcd")]
+    rows += [(10 + i, f"other plain words {filler} number{w} ends here") for i, w in enumerate("abcdefghijklmnop")]
+    rows += [(40 + i, f"Write to joe@x.org {filler} yours Wendelina") for i in range(5)]
+    rows += [(50, f"Write to joe@x.org {filler} again, yours Wendelina")]
+    rows += [(60 + i, f"{w} Vortimer sends eve@x.org") for i, w in enumerate("abcd")] + [(70 + i, "a note of Vortimer") for i in range(50)]
+    got = {r.doc_id: r for r in pii.report(frame(spark, rows)).collect()}
+    name = rows[0][1].index("Quillbert")
+    assert [got[i].spans.split(",")[-1] for i in range(4)] == [f"term:{name}:{name + 9}"] * 4 and got[0].n_term == 1
+    # five copies and one other text are two texts, less than the support
+    assert all(got[i].n_term == 0 for i in (*range(40, 45), 50))
+    # fifty copies of a text without the entity are one text: c_t = 5 and c_te = n_e = 4 leave the score as if they were one row
+    once = [r for r in rows if not 71 <= r[0]]
+    assert {r.doc_id: r.spans for r in pii.report(frame(spark, once)).collect()} == {i: got[i].spans for i, _ in once}
+
+
 def test_licenses(spark):
     rows = [("a/x/LICENSE", "Released under the MIT License."), ("a/x/y/one", "nothing here at all"), ("a/z", "plain words"), ("a/x/own", "some words that go on and on and then\nLicensed under the Apache License, Version 2.0."), (None, "plain"), ("b/c", None), ("a/x/deep/er/f", ""), ("r", "the license of this story is rather something else entirely")]
     df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
