@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A word: a maximal run of characters other than space and \t-\r.  The same text serves Java, RE2 and Python patterns.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,25 +21,43 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 8_000_000
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's bound on Arrow batches where it is above BATCH_BYTES; never raises it."""
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounds Arrow batches to Python workers by BATCH_BYTES where the session's bound is above it, as long as an action runs."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(name).lower().rstrip("b")
-    if now.isdigit() and int(now) > BATCH_BYTES:
+    before = spark.conf.get(name)
+    now = before.lower().rstrip("b")
+    lower = now.isdigit() and int(now) > BATCH_BYTES
+    if lower:
         spark.conf.set(name, f"{BATCH_BYTES}b")
+    try:
+        yield
+    finally:
+        if lower:
+            spark.conf.set(name, before)
+
+
+def named(docs: DataFrame, key: str, text: str) -> list[Column]:
+    """Two longs that name a row by its key and text.  Together they are 128 bits, so that among 10^12 rows no two names agree by chance."""
+    return [F.xxhash64(docs[key], docs[text]).alias("h"), F.xxhash64(F.lit(7), docs[text], docs[key], F.length(docs[text])).alias("g")]
+
+
+_local: dict[int, str] = {}
 
 
 def scratch(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset a temporary folder stands in, but only in local mode, where all tasks run on this machine.
+    Where it is unset a temporary folder stands in, but only in local mode, where all tasks run on this machine; the session's settings stay as they are.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="ledgermatch-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        where = _local.setdefault(os.getpid(), "")
+        if not where:
+            where = _local[os.getpid()] = "file://" + tempfile.mkdtemp(prefix="ledgermatch-")
+            atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
     return where.rstrip("/") if "://" in where else "file://" + where.rstrip("/")
 
 
@@ -45,12 +69,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut(frame: DataFrame, name: str) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them back: the lineage ends here.
 
-    Unlike a local checkpoint the table outlives executors, and unlike ``checkpoint()`` the rows are computed once.
+    Unlike a local checkpoint the table outlives executors, and unlike ``checkpoint()`` the rows are computed once.  ``release`` deletes it.
     """
-    small_batches(frame.sparkSession)
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    with small_batches(spark):
+        frame.write.parquet(path)
+    made = spark.read.schema(frame.schema).parquet(path)
+    made.scratch_at = path
+    return made
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes tables that ``cut`` wrote, when nothing that is still to run reads them."""
+    for frame in frames:
+        if path := getattr(frame, "scratch_at", None):
+            spark = frame.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

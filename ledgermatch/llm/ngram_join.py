@@ -9,7 +9,10 @@
    node holds the OR of its token bitmaps, ranges of set size and of components.  A dual traversal drops node pairs whose largest
    possible overlap is too small, and pairs within a component; what is left joins components into clusters, by a spanning forest a cell.
 5. Clusters.  Within a cluster the same traversal runs over bitmaps of the shingles themselves, where overlaps are exact; links that
-   join components come out.  A large cluster is dealt out as pairs of blocks, so no task holds more than two blocks.
+   join components come out.
+
+A large cell or cluster is cut into blocks of classes of like sizes and dealt out as pairs of blocks whose sizes allow a link, so no
+task holds more than two blocks; copies grow with the number of blocks, whose size grows with the root of the group's.
 
 All bounds are exact: nothing similar is lost, and no pair counts as a link unless its sets say so.
 
@@ -25,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut, small_batches
+from ledgermatch.llm.common import cut, named, release, small_batches
 from ledgermatch.llm.components import connected
 from ledgermatch.llm.shingles import shingle_sets
 
@@ -37,8 +40,11 @@ PERCENT = 80
 #: A shingle that so many texts share is put last in the order; so many such shingles are known at most (the most common ones).
 #: Both bear on speed alone.
 COMMON, COMMON_MOST = 32, 200_000
-#: Cells of a class whose leaders it is held against first (this too bears on speed alone), and classes in a block of a cluster.
-LEADERS, BLOCK = 3, 2_000
+#: Cells of a class whose leaders it is held against first; this too bears on speed alone.
+LEADERS = 3
+#: Weight of a block of a large cell (bitmaps) or cluster (whole sets), least and most, and shingles that weigh as much as BLOCK classes.
+CELL_BLOCKS, CLUSTER_BLOCKS = (2_000, 20_000), (150, 2_000)
+BLOCK, VOLUME = 2_000, 400_000
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -77,18 +83,18 @@ def common_shingles(docs: DataFrame, text: str = "text", width: int = WIDTH) ->
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64) + 2)], ["token", "n"])
 
     counted = docs.select(docs[text].cast("string").alias("t")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    small_batches(docs.sparkSession)
-    rows = counted.where(F.col("n") >= COMMON).orderBy(F.col("n").desc(), "token").limit(COMMON_MOST).select("token").collect()
-    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
+    with small_batches(docs.sparkSession):
+        rows = counted.where(F.col("n") >= COMMON).orderBy(F.col("n").desc(), "token").limit(COMMON_MOST).select("token").toArrow()
+    return np.sort(rows.column(0).to_numpy().view(np.uint64))
 
 
 def describe(docs: DataFrame, common: np.ndarray, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row: key, h (names the row's key and text), n (set size), digest, prefix, sig."""
+    """Per row: key, h and g (they name the row by key and text), n (set size), digest, prefix, sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digest, sig, prefixes = [], [], [], []
-            for own in shingle_sets(batch.column(2), width):
+            for own in shingle_sets(batch.column(3), width):
                 k = len(own)
                 n.append(k)
                 digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
@@ -104,11 +110,12 @@ def describe(docs: DataFrame, common: np.ndarray, key: str = "doc_id", text: str
             offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
             made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), made, pa.array(sig, pa.binary())], ["key", "h", "n", "digest", "prefix", "sig"])
+            columns = [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(digest, pa.binary()), made, pa.array(sig, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "h", "g", "n", "digest", "prefix", "sig"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(docs[key].alias("key"), F.xxhash64(docs[key], docs[text]).alias("h"), docs[text].cast("string").alias("t"))
-    return rows.mapInArrow(run, f"key {kind}, h long, n long, digest binary, prefix array<long>, sig binary")
+    rows = docs.select(docs[key].alias("key"), *named(docs, key, text), docs[text].cast("string").alias("t"))
+    return rows.mapInArrow(run, f"key {kind}, h long, g long, n long, digest binary, prefix array<long>, sig binary")
 
 
 class SignatureTree:
@@ -291,8 +298,7 @@ def _pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """Whole sets (cid, set) of the classes ``wanted``, made anew from the text of one row a class."""
-    named = wanted.distinct().join(classes.select("cid", "h", "digest"), "cid")
-    rows = docs.select(F.xxhash64(docs[key], docs[text]).alias("h"), docs[text].cast("string").alias("t")).join(named, "h").select("cid", "digest", "t")
+    rows = docs.select(*named(docs, key, text), docs[text].cast("string").alias("t")).join(classes.select("cid", "h", "g", "digest").join(wanted.distinct(), "cid"), ["h", "g"]).select("cid", "digest", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -375,36 +381,72 @@ def _cluster_work(percent: int):
     return work
 
 
+def _weight(n: Column) -> Column:
+    """What a class counts for in a block: one, or more if its set is large."""
+    return F.greatest(F.lit(1.0), n * F.lit(BLOCK / VOLUME))
+
+
+def _dealt(rows: DataFrame, group: str, blocks: tuple[int, int], percent: int) -> DataFrame:
+    """Rows (group, cid, n, component, total) with i and j, the task to work them in, in place of ``total``, the group's weight.
+
+    A small group is one task.  A larger one is cut into blocks of classes of like sizes and dealt as pairs of blocks whose sizes allow a
+    link.  Blocks come from counts of (group, n) and a hash, so no group is sorted or ranked in one task.
+    """
+    least, most = blocks
+    columns = [group, "cid", "n", "component"]
+    zero = F.lit(0).cast("long")
+    small = rows.where(F.col("total") <= least).select(*columns, zero.alias("i"), zero.alias("j"))
+    large = rows.where(F.col("total") > least)
+    if large.isEmpty():
+        return small
+    per = large.groupBy(group, "n").agg((F.count("*") * _weight(F.col("n"))).alias("w"), F.first("total").alias("total"))
+    upto = Window.partitionBy(group).orderBy("n")  # a row a set size, not a class
+    # blocks grow with the root of the group, so that neither tasks nor copies grow with the group itself
+    size = F.least(F.lit(float(most)), F.greatest(F.lit(float(least)), F.lit(4.0) * F.sqrt("total")))
+    per = per.withColumn("from", F.sum("w").over(upto) - F.col("w")).withColumn("size", size)
+    block = lambda share: F.floor((F.col("from") + F.col("w") * share) / F.col("size"))
+    per = cut(per.select(group, "n", "w", "from", "size", block(F.lit(0.0)).alias("first"), block(F.lit(1 - 1e-9)).alias("last")), "ngram-sizes")
+    bounds = per.select(group, F.explode(F.sequence("first", "last")).alias("k"), "n").groupBy(group, "k").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    # a block's partners: itself and later ones (sizes ascend) whose least size is within reach of its largest
+    a = bounds.select(group, F.col("k").alias("i"), F.col("hi").alias("reach"))
+    pairs = a.join(bounds.select(group, F.col("k").alias("j"), "lo"), group).where((F.col("i") <= F.col("j")) & (100 * F.col("reach") >= percent * F.col("lo")))
+    tasks = pairs.select(group, "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("k"))
+    share = F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.lit(1 - 1e-9)
+    placed = large.join(per.drop("first", "last"), [group, "n"]).withColumn("k", block(share))
+    return small.union(placed.join(tasks, [group, "k"]).select(*columns, "i", "j"))
+
+
 def _joined_by_trees(live: DataFrame, members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Links between components that the leaders left apart."""
     of = lambda df: df.join(members, F.col("cid") == F.col("id"), "left").withColumn("component", F.coalesce("component", "cid")).drop("id")
-    placed = of(live.where(F.col("size") >= 2).select("token", "cid"))
-    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
-    mixed = placed.join(apart, "token").join(classes.select("cid", "n", "sig"), "cid")
-    maybe = cut(_by_runs(mixed, ["token"], ["cid", "component", "n", "sig"], _cell_work(percent)).distinct(), "ngram-maybe")
+    placed = of(live.select("token", "cid", "n"))
+    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum(_weight(F.col("n"))).alias("total")).where(F.col("lo") != F.col("hi"))
+    mixed = cut(placed.join(apart.select("token", "total"), "token"), "ngram-mixed")
+    tasks = _dealt(mixed, "token", CELL_BLOCKS, percent).join(classes.select("cid", "sig"), "cid")
+    maybe = cut(_by_runs(tasks, ["token", "i", "j"], ["cid", "component", "n", "sig"], _cell_work(percent)).distinct(), "ngram-maybe")
     # components that may be joined, as clusters
     home = of(classes.select("cid", "n"))
     ends = home.select(F.col("cid").alias("id"), F.col("component").alias("c"))
     between = maybe.join(ends.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a").join(ends.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    clusters = cut(connected(between).select(F.col("id").alias("component"), F.col("component").alias("cluster")), "ngram-clusters")
-    rows = cut(home.join(clusters, "component").select("cid", "n", "component", "cluster"), "ngram-clustered")
+    joined = connected(between).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
+    clusters = cut(joined.union(joined.select("cluster", "cluster").distinct()), "ngram-clusters")
+    rows = home.join(clusters, "component").select("cid", "n", "component", "cluster")
+    rows = cut(rows.join(rows.groupBy("cluster").agg(F.sum(_weight(F.col("n"))).alias("total")), "cluster"), "ngram-clustered")
     sets = _sets(rows.select("cid"), classes, docs, key, text, width)
-    blocks = rows.groupBy("cluster").agg((F.floor((F.count("*") - 1) / F.lit(BLOCK)) + 1).cast("int").alias("blocks"))
-    dealt = rows.join(blocks, "cluster").withColumn("k", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    # a class goes to the tasks of its block with each block
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("k", "other")).withColumn("j", F.greatest("k", "other"))
-    whole = paired.select("cluster", "i", "j", "cid", "component", "n").join(sets, "cid")
-    return cut(_by_runs(whole, ["cluster", "i", "j"], ["cid", "component", "n", "set"], _cluster_work(percent)), "ngram-links")
+    tasks = _dealt(rows, "cluster", CLUSTER_BLOCKS, percent).join(sets, "cid")
+    links = cut(_by_runs(tasks, ["cluster", "i", "j"], ["cid", "component", "n", "set"], _cluster_work(percent)), "ngram-links")
+    release(mixed, maybe, clusters, rows, sets)
+    return links
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row: key, h (names the row), n_shingles and component_id (the least key that links reach from it)."""
+    """Per row: key, h and g (they name the row), n_shingles, component_id (the least key that links reach from it) and component."""
     described = cut(describe(docs, common_shingles(docs, text, width), key, text, width, percent), "ngram-described")
     solid = described.where(F.col("n") > 0)
-    grouped = solid.groupBy("digest").agg(F.min("key").alias("doc"), F.min("h").alias("h"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
-    classes = cut(grouped.withColumn("cid", F.monotonically_increasing_id()), "ngram-classes")
+    grouped = solid.groupBy("digest").agg(F.min("key").alias("doc"), F.min(F.struct("h", "g")).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
+    classes = cut(grouped.select("digest", "doc", "row.h", "row.g", "n", "prefix", "sig").withColumn("cid", F.monotonically_increasing_id()), "ngram-classes")
 
-    cells = classes.select("cid", F.explode("prefix").alias("token"))
+    cells = classes.select("cid", "n", F.explode("prefix").alias("token"))
     shared = cells.groupBy("token").agg(F.min("cid").alias("leader"), F.count("*").alias("size")).where(F.col("size") >= 2)
     live = cut(cells.join(shared, "token"), "ngram-cells")
     by_size = Window.partitionBy("cid").orderBy(F.col("size").desc(), "token")
@@ -412,26 +454,35 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     first = cut(_pruned(star.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), classes, percent), "ngram-pairs")
     sets = _sets(first.select(F.col("a").alias("cid")).union(first.select(F.col("b").alias("cid"))), classes, docs, key, text, width)
     links = cut(_verified(first, sets, percent), "ngram-links")
-    members = cut(connected(links), "ngram-members")
+    release(first, sets)
+    members = connected(links)
     more = _joined_by_trees(live, members, classes, docs, key, text, width, percent)
-    if not more.isEmpty():
-        members = cut(connected(links.union(more)), "ngram-members")
+    release(live)
+    # components are linked by what the trees found: only these are numbered anew
+    tied = members.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)
+    members = connected(tied)
 
     home = classes.select("digest", "cid", "doc").join(members, F.col("cid") == F.col("id"), "left").select("digest", "doc", F.coalesce("component", "cid").alias("component"))
     least = home.groupBy("component").agg(F.min("doc").alias("component_id"))
-    named = home.join(least, "component").select("digest", "component", "component_id")
-    out = described.select("key", "h", "n", "digest").join(named, "digest", "left")
+    placed = home.join(least, "component").select("digest", "component", "component_id")
+    out = described.select("key", "h", "g", "n", "digest").join(placed, "digest", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
-    return out.select(F.col("key").alias(key), "h", F.col("n").alias("n_shingles"), own.alias("component_id"), F.when(F.col("n") > 0, F.col("component")).alias("component"))
+    return out.select(F.col("key").alias(key), "h", "g", F.col("n").alias("n_shingles"), own.alias("component_id"), F.when(F.col("n") > 0, F.col("component")).alias("component"))
 
 
 def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row of each component, the one with the least key; rows without shingles all stay."""
+    """One row of each component, the one with the least key; rows without shingles all stay.
+
+    Of rows with one key and text, which differ in other columns at most, the least by those columns stays.
+    """
     cols = docs.columns
     joined = cut(join(docs, key, text, width, percent), "ngram-joined")
-    solid = joined.where(F.col("n_shingles") > 0).groupBy("component").agg(F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("h"))).alias("first")).select(F.col("first.h").alias("h"))
-    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], F.xxhash64(docs[key], docs[text]).alias("h"))
-    kept = rows.join(solid.distinct(), "h").withColumn("r", F.row_number().over(Window.partitionBy("h").orderBy(F.lit(0)))).where("r = 1")
-    empty = joined.where(F.col("n_shingles") == 0).select("h").distinct()
-    both = kept.drop("r").union(rows.join(empty, "h", "left_semi"))
+    least = F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("h"), F.col("g"))).alias("first")
+    solid = joined.where(F.col("n_shingles") > 0).groupBy("component").agg(least).select("first.h", "first.g")
+    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], *named(docs, key, text))
+    sortable = [F.col(f"c{i}") for i, f in enumerate(docs.schema) if "map<" not in f.dataType.simpleString() and f.name not in (key, text)]
+    order = Window.partitionBy("h", "g").orderBy(*(sortable or [F.lit(0)]))
+    kept = rows.join(solid.distinct(), ["h", "g"]).withColumn("r", F.row_number().over(order)).where("r = 1")
+    empty = joined.where(F.col("n_shingles") == 0).select("h", "g").distinct()
+    both = kept.drop("r").union(rows.join(empty, ["h", "g"], "left_semi").select(kept.drop("r").columns))
     return both.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])

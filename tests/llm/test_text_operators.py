@@ -75,7 +75,8 @@ def test_ngram_join(spark):
 
 
 def test_ngram_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "CELL_BLOCKS", (2, 3))
+    monkeypatch.setattr(ngram_join, "CLUSTER_BLOCKS", (2, 3))
     monkeypatch.setattr(ngram_join, "LEADERS", 0)
     test_ngram_join(spark)
 
@@ -83,7 +84,7 @@ def test_ngram_blocks(spark, monkeypatch):
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.id: r.component for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
+    assert got == {**dict.fromkeys(range(1, 41), 0), 101: 100, 102: 100}
 
 
 @settings(max_examples=150, deadline=None)
@@ -209,9 +210,8 @@ def test_pii(spark):
     for r in pii.report(frame(spark, rows)).collect():
         got[r.doc_id].append((r.spans, r.base_sha256, r.n_card))
     for i, t in rows:
-        if i in (5003, 5004):
-            continue
-        spans = [(k, m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, t or "") if holds(k, m[0])]
+        # no card has 20000 digits and no address ends in its sign; Python's matcher would take minutes to say so
+        spans = [] if i in (5003, 5004) else [(k, m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, t or "") if holds(k, m[0])]
         base = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
         assert any(",".join(x for x in g[0].split(",") if not x.startswith("term")) == base and g[1] == hashlib.sha256(base.encode()).hexdigest() for g in got[i])
     assert "term:4:12" in got[6000][0][0] and "term" in got[6100][0][0]
@@ -230,13 +230,38 @@ def test_pii_terms_anywhere_in_the_text(spark):
     got = {r.doc_id: r for r in pii.report(frame(spark, rows)).collect()}
     name = rows[0][1].index("Quillbert")
     assert [got[i].spans.split(",")[-1] for i in range(4)] == [f"term:{name}:{name + 9}"] * 4 and got[0].n_term == 1
-    # five copies and one other text are two texts, less than the support
-    assert all(got[i].n_term == 0 for i in (*range(40, 45), 50))
+    # five copies and one other text are two texts, less than the support: a name is judged all the same, other words aren't
+    at = rows[20][1].index("Wendelina")
+    assert all(got[i].spans.split(",")[-1] == f"term:{at}:{at + 9}" and got[i].n_term == 1 for i in range(40, 45)) and got[50].n_term == 1
     # fifty copies of a text without the entity are one text: c_t = 5 and c_te = n_e = 4 leave the score as if they were one row
     once = [r for r in rows if not 71 <= r[0]]
     assert {r.doc_id: r.spans for r in pii.report(frame(spark, once)).collect()} == {i: got[i].spans for i, _ in once}
 
 
+def test_pii_scores(spark):
+    import regex
+
+    rng = np.random.default_rng(8)
+    words = [f"word{chr(97 + i)}{chr(97 + i // 2)}" for i in range(12)] + ["Marwick", "Ostrava", "Quillby"]
+    mails = ["a@x.org", "b@x.org", "c@x.org"]
+    rows = [(i, " ".join([*rng.choice(words, 6), *([str(rng.choice(mails))] if i % 3 else []), *rng.choice(words, 2)])) for i in range(90)]
+    rows += [(100 + i, rows[i][1]) for i in range(5)] + [(200, "seen by Zamorin at rare@x.org"), (201, None), (202, "")]
+    df = frame(spark, rows)
+    got = {(r.entity, r.term): (r.n, r.n_e, r.c_t, r.c_te, round(r.content, 9), round(r.pmi, 9)) for r in pii.scores(df, pii.find(df)[1]).collect()}
+    texts = {t or "" for _, t in rows}
+    terms = {t: {x.lower() for x in regex.findall(pii.TERM, t.lower())} for t in texts}
+    names = {t: {x.lower() for x in regex.findall(pii.NAME, t)} for t in texts}
+    want = {}
+    for e in {m[0] for t in texts for m in re.finditer(PLAIN["email"], t)}:
+        held = [t for t in texts if e in t]
+        pool = collections.Counter(w for t in held for w in (terms[t] if len(held) >= pii.SUPPORT else terms[t] & names[t]))
+        for w, c in pool.items():
+            if c >= pii.SUPPORT or len(held) < pii.SUPPORT:
+                c_t = sum(w in terms[t] for t in texts)
+                want["0:" + e, w] = (len(texts), len(held), c_t, c, round(float(np.log2(len(texts) / len(held))), 9), round(float(np.log2(len(texts) * c / (c_t * len(held)))), 9))
+    assert got == want and ("0:rare@x.org", "zamorin") in got
+
+
 def test_licenses(spark):
     rows = [("a/x/LICENSE", "Released under the MIT License."), ("a/x/y/one", "nothing here at all"), ("a/z", "plain words"), ("a/x/own", "some words that go on and on and then\nLicensed under the Apache License, Version 2.0."), (None, "plain"), ("b/c", None), ("a/x/deep/er/f", ""), ("r", "the license of this story is rather something else entirely")]
     df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
