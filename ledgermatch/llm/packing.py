@@ -1,10 +1,10 @@
 """Best-fit packing of token sequences by bin completion, branch and bound, over the histogram of lengths.
 
 Lengths are at most the capacity, so their histogram is a sufficient statistic of bounded size (``capacity`` counts),
-whatever the corpus.  The solver works on it alone: it takes the largest length left, enumerates fillings of the room beside it,
-keeps those that no other dominates (least waste, then fewest and largest items), uses a filling as often as the counts allow, and
-branches over the next best ones; a branch is cut when its bins and the waste bound on the rest can't beat the incumbent.
-The first incumbent is best-fit decreasing.  The search ends at the lower bound or after ``nodes`` nodes; the plan tells its gap.
+whatever the corpus.  The solver works on it alone: it takes the largest length left, enumerates the fillings of the room beside it
+that no other dominates, by least waste, and branches over them and how often each is used; a branch is cut when its bins and the waste bound
+on the rest can't beat the incumbent.  The first incumbent is best-fit decreasing.  The search ends at the lower bound, when nothing is
+left to try, or after ``steps`` steps, its only limit; the plan says which, and ``pack`` logs a plan that isn't proven.
 
 Pieces then take the plan's places by rank within their length.  Ranks come from counts of (length, bucket of a
 hash), so no length, however common, is ranked in one task.
@@ -15,6 +15,7 @@ an empty table gives an empty packing.  Only documents longer than the capacity
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,15 +29,24 @@ from ledgermatch.llm.common import cut
 from ledgermatch.llm.tokens import encoder
 
 CAPACITY = 2048
+#: Steps of the search for a plan, its only limit, and how many of them a node counts for.
+STEPS, NODE = 1_000_000, 30
+#: Nodes of the search remember the sums of every so many lengths, which bounds what a path of nodes holds.
+EVERY = 16
+_log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class Plan:
-    """``patterns``: (lengths in descending order, how many sequences have it).  ``bins`` sequences; no packing has fewer than ``bound``."""
+    """``patterns``: (lengths in descending order, how many sequences have it).  ``bins`` sequences; no packing has fewer than ``bound``.
+
+    ``proven``: no packing has fewer than ``bins``.
+    """
 
     patterns: list[tuple[tuple[int, ...], int]]
     bins: int
     bound: int
+    proven: bool
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -85,115 +95,177 @@ def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[tuple[tuple[i
     return [(items, n) for group in open_bins.values() for items, n in group.items()]
 
 
-def _largest_upto(counts: np.ndarray) -> np.ndarray:
-    """For each x the largest available length of at most x, or 0."""
-    return np.maximum.accumulate(np.where(counts > 0, np.arange(len(counts)), 0))
+def _covers(big: tuple[int, ...], small: tuple[int, ...]) -> bool:
+    """Whether the items of ``small`` fit into bins of the sizes of ``big``, best fit: then ``big`` dominates it."""
+    room = list(big)
+    for x in small:
+        k = min((i for i, r in enumerate(room) if r >= x), key=room.__getitem__, default=None)
+        if k is None:
+            return False
+        room[k] -= x
+    return True
+
+
+def _sums(lengths: list[int], counts: np.ndarray, room: int) -> list[int]:
+    """For each EVERY-th i a bit set of the sums up to ``room`` that items of lengths[i:] make."""
+    mask, now, reach = (1 << (room + 1)) - 1, 1, []
+    for i in range(len(lengths) - 1, -1, -1):
+        x = lengths[i]
+        left, step = min(int(counts[x]), room // x), 1
+        while left:  # by doubling: 1, 2, 4, ... items at once
+            step = min(step, left)
+            now |= now << (x * step) & mask
+            left -= step
+            step *= 2
+        if i % EVERY == 0:
+            reach.append(now)
+    return reach[::-1]
+
+
+class Budget:
+    """Steps left to a search."""
+
+    def __init__(self, steps: int) -> None:
+        self.left = steps
+
+    def spend(self, steps: int = 1) -> bool:
+        """Takes steps; False if there were none left."""
+        self.left -= steps
+        return self.left >= 0
+
 
+def fillings(counts: np.ndarray, room: int, budget: Budget | None = None) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of the room from the available lengths, lazily: by least waste, then by fewest items, then largest first.
 
-def _pair(counts: np.ndarray, upto: np.ndarray, room: int) -> tuple[int, ...]:
-    """The best one or two items for the room: least waste, then fewest and largest."""
-    one = int(upto[room])
-    if one == room or not one:
-        return (one,) if one else ()
-    a = np.flatnonzero(counts[: room + 1])
-    partner = upto[np.minimum(room - a, a)]
-    same = (partner == a) & (counts[a] < 2)
-    partner = np.where(same, np.where(a > 0, upto[np.maximum(a - 1, 0)], 0), partner)
-    total = a + partner
-    i = len(a) - 1 - int(np.argmax(total[::-1]))
-    return (int(a[i]), int(partner[i])) if total[i] > one and partner[i] else (one,)
+    A filling that wastes more, or as much with more items, can't dominate one that comes before it, so each is held against those
+    before it alone.  ``counts`` must be as it was whenever the next filling is asked for.
+    """
+    have = np.flatnonzero(counts[: room + 1])
+    have = have[have > 0]
+    if not len(have):
+        yield ()
+        return
+    budget = budget or Budget(1 << 62)
+    given: list[tuple[int, ...]] = []
+
+    def new(found: tuple[int, ...]) -> bool:
+        budget.spend(len(given))
+        return not any(_covers(g, found) for g in given)
+
+    # most often one or two items fill the room
+    if counts[room]:
+        given.append((room,))
+        yield (room,)
+    other = room - have
+    pair = have[(other <= have) & (other > 0) & (counts[other] > (other == have))]
+    for x in pair[::-1].tolist():
+        found = (x, room - x)
+        if new(found):
+            given.append(found)
+            yield found
+        if budget.left < 0:
+            return
+    budget.spend(len(have))
+    lengths = have[::-1].tolist()
+    reach = _sums(lengths, counts, room)
+    least = lengths[-1]
+
+    def exact(i: int, total: int, items: int, used: int) -> Iterator[tuple[int, ...]]:
+        """So many items of lengths[i:] that make the total, ``used`` of lengths[i] being taken."""
+        if not items:
+            if not total:
+                yield ()
+            return
+        for j in range(i, len(lengths)):
+            x = lengths[j]
+            if x * items < total or not budget.spend():
+                return
+            if x > total or total - x < least * (items - 1) or not reach[j // EVERY] >> total & 1 or (j == i and used >= counts[x]):
+                continue
+            for rest in exact(j, total - x, items - 1, used + 1 if j == i else 1):
+                yield (x, *rest)
+
+    for total in range(room, least - 1, -1):
+        if budget.left < 0:
+            return
+        if not reach[0] >> total & 1:
+            continue
+        for items in range(1, total // least + 1):
+            if total == room and items <= 2:
+                continue
+            for found in exact(0, total, items, 0):
+                if new(found):
+                    given.append(found)
+                    yield found
 
 
-def fillings(counts: np.ndarray, room: int, keep: int = 3, first: int = 24) -> list[tuple[int, ...]]:
-    """Undominated fillings of the room from the available lengths, best first (at most ``keep``).
+def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS) -> Plan:
+    """Packs ``counts[length]`` items of each length from 1 to ``capacity``.
 
-    Greedy prefixes of the largest items, each ended by its best one to three items.
+    A node takes the largest length left, one of its undominated fillings and how many sequences take it, the most first.  Fillings that a node
+    has passed over stay excluded below it as long as the largest length is the same, so no packing is looked at twice.  The search is whole
+    but for ``steps`` (a node counts as NODE of them): when it ends before them without meeting the bound, the incumbent is the best there is.
     """
-    greedy: list[int] = []
-    left = counts.copy()
-    r = room
-    while r > 0:
-        upto = int(_largest_upto(left[: r + 1])[r])
-        if not upto:
-            break
-        n = min(int(left[upto]), r // upto)
-        greedy += [upto] * n
-        left[upto] -= n
-        r -= upto * n
-    found = {tuple(greedy)}
-    for drop in range(1, min(4, len(greedy)) + 1):
-        left = counts.copy()
-        prefix = greedy[: len(greedy) - drop]
-        for x in prefix:
-            left[x] -= 1
-        space = room - sum(prefix)
-        upto = _largest_upto(left)
-        found.add((*prefix, *_pair(left, upto, space)))
-        if any(sum(f) == room for f in found):
-            break
-        for a in np.flatnonzero(left[: space + 1])[::-1][:first]:
-            left[a] -= 1
-            found.add((*prefix, int(a), *_pair(left, _largest_upto(left), space - int(a))))
-            left[a] += 1
-            if sum(max(found, key=sum)) == room:
-                break
-        if any(sum(f) == room for f in found):
-            break
-    ordered = sorted({tuple(sorted(f, reverse=True)) for f in found}, key=lambda f: (-sum(f), len(f), [-x for x in f]))
-    kept: list[tuple[int, ...]] = []
-    for f in ordered:
-        # a filling is dominated by one whose items cover its own one by one
-        if not any(len(f) <= len(g) and all(x <= y for x, y in zip(f, g, strict=False)) for g in kept):
-            kept.append(f)
-    return kept[:keep]
-
-
-def _apply(counts: np.ndarray, items: tuple[int, ...]) -> tuple[np.ndarray, int]:
-    lengths, uses = np.unique(items, return_counts=True)
-    n = int((counts[lengths] // uses).min())
-    after = counts.copy()
-    after[lengths] -= n * uses
-    return after, n
-
-
-def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 6000) -> Plan:
-    """Packs ``counts[length]`` items of each length from 1 to ``capacity``."""
+    budget = Budget(steps)
     counts = np.asarray(counts, dtype=np.int64).copy()
-    sizes = np.arange(len(counts))
     bound = lower_bound(counts, capacity)
     best = best_fit_decreasing(counts, capacity)
     best_bins = sum(n for _, n in best)
+    half = capacity // 2 + 1
+    sizes = np.arange(len(counts))
+    left, large = int(counts @ sizes), int(counts[half:].sum())
     path: list[tuple[tuple[int, ...], int]] = []
-
-    def choices(state: np.ndarray) -> list[tuple[int, ...]]:
-        largest = int(np.flatnonzero(state)[-1])
-        rest = state.copy()
-        rest[largest] -= 1
-        return [(largest, *f) for f in fillings(rest, capacity - largest)]
-
-    stack = [(counts, 0, iter(choices(counts)) if counts.any() else iter(()))]
-    while stack and best_bins > bound and nodes > 0:
-        state, used, options = stack[-1]
-        items = next(options, None)
-        if items is None:
+    used = 0
+
+    def options(barred: frozenset[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], int, frozenset[tuple[int, ...]]]]:
+        """Fillings of a node with their uses and what is barred below."""
+        largest = int(np.flatnonzero(counts)[-1])
+        passed = barred if not barred or next(iter(barred))[0] == largest else frozenset()
+        counts[largest] -= 1
+        found = fillings(counts, capacity - largest, budget)
+        while True:
+            rest = next(found, None)
+            if rest is None:
+                counts[largest] += 1
+                return
+            counts[largest] += 1
+            items = (largest, *rest)
+            if items not in passed:
+                lengths, each = np.unique(items, return_counts=True)
+                most = int((counts[lengths] // each).min())
+                passed = passed | {items}
+                for n in range(most, 0, -1):
+                    yield items, n, passed
+            counts[largest] -= 1
+
+    def take(items: tuple[int, ...], n: int) -> None:
+        nonlocal left, large, used
+        for x in items:
+            counts[x] -= n
+        left -= n * sum(items)
+        large -= n * sum(x >= half for x in items)
+        used += n
+
+    stack = [options(frozenset())] if left else []
+    while stack and best_bins > bound and budget.spend(NODE):
+        choice = next(stack[-1], None)
+        if choice is None:
             stack.pop()
             if path:
+                take(path[-1][0], -path[-1][1])
                 path.pop()
             continue
-        nodes -= 1
-        after, n = _apply(state, items)
-        bins = used + n
-        left = int(after @ sizes)
-        if not left:
-            if bins < best_bins:
-                best, best_bins = [*path, (items, n)], bins
-            continue
+        items, n, barred = choice
+        take(items, n)
         # the waste so far and the least the rest needs can't beat the incumbent
-        if bins + max(-(-left // capacity), int(after[capacity // 2 + 1 :].sum())) >= best_bins:
+        if left and used + max(-(-left // capacity), large) < best_bins:
+            path.append((items, n))
+            stack.append(options(barred))
             continue
-        path.append((items, n))
-        stack.append((after, bins, iter(choices(after))))
-    return Plan(best, best_bins, bound)
+        if not left and used < best_bins:
+            best, best_bins = [*path, (items, n)], used
+        take(items, -n)
+    return Plan(best, best_bins, bound, best_bins == bound or (not stack and budget.left >= 0))
 
 
 def places(plan: Plan) -> np.ndarray:
@@ -247,7 +319,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", per_b
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[length] = n
-    table = places(complete_bins(counts, capacity))
+    plan = complete_bins(counts, capacity)
+    if not plan.proven:
+        _log.warning("%d sequences; none has been proven to need more than %d", plan.bins, plan.bound)
+    table = places(plan)
     buckets = int(counts.sum()) // per_bucket + 1
     dealt = pieces.withColumn("b", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(buckets)))
     within = Window.partitionBy("length", "b").orderBy(F.col(key), "piece", "ids_crc32")
