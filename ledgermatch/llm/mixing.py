@@ -9,8 +9,8 @@ until every source meets the tolerance; a source that can't meet it is an error.
 buckets of documents from the largest down, so what a source takes stays within the smallest documents of its target.
 
 Defined results: a null or empty text has size 0 and takes nothing.  The null source is a source, the last one.  A source
-without words has target 0.  Rows of one key and text get the same
-copies.  Equal inputs give equal results.  An empty table gives an empty mix.
+without words has target 0.  Rows of one key, text and source get the
+same copies; one key and text in several sources is a row of each, with that source's rate.  Equal inputs give equal results.  An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import WORD, cut
+from ledgermatch.llm.common import WORD, cut, named, release
 
 WEIGHTS = (1.0, 2.0, 3.0)
 CAP = 3.0
@@ -69,18 +69,19 @@ def dual(counts: DataFrame, goals: DataFrame, cap: float = CAP, patience: int =
     """
     scale = F.col("source_squares") / F.col("source_size")
     solve = goals.where((F.col("source_size") > 0) & (F.col("target") < cap * F.col("source_size")))
-    state = cut(solve.select("sid", "target", scale.alias("scale"), F.lit(0.0).alias("lam"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"), F.lit(False).alias("done"), F.lit(False).alias("stuck")), "dual")
+    start = {"lam": F.lit(0.0), "low": F.lit(float("-inf")), "high": F.lit(float("inf")), "done": F.lit(False), "stuck": F.lit(False)}
+    state = cut(solve.select("sid", "target", scale.alias("scale"), *[v.alias(k) for k, v in start.items()]), "dual")
     z = F.col("size") / F.col("scale")
     tilted = F.exp(F.least(F.col("lam") * z, F.lit(float(np.log(cap)))))
-    turn = 0
-    while not state.where(~F.col("done")).isEmpty():
+    turn, open_ = 0, True
+    while open_:
         free = tilted < cap
         # places enough for the tolerance of a source of few words
-        sums = counts.join(state, "sid").groupBy("sid").agg(
+        columns = ["sid", "target", "scale", "lam", "low", "high", "done"]
+        step = counts.join(state.select(columns), "sid").groupBy(columns).agg(
             exact_sum(F.col("n") * F.col("size") * tilted, 12).alias("got"),
             exact_sum(F.when(free, F.col("n") * F.col("size") * z * tilted).otherwise(0.0), 12).alias("slope"),
         )
-        step = state.join(sums, "sid")
         off = F.col("got") - F.col("target")
         low, high = F.when(off < 0, F.col("lam")).otherwise(F.col("low")), F.when(off > 0, F.col("lam")).otherwise(F.col("high"))
         newton = F.when(F.col("slope") > 0, F.col("lam") - off / F.col("slope"))
@@ -91,10 +92,13 @@ def dual(counts: DataFrame, goals: DataFrame, cap: float = CAP, patience: int =
         lam = F.when(done, F.col("lam")).when(trusted & (newton > low) & (newton < high), newton).otherwise(middle)
         # all rates are at the cap and too little, or the bracket has closed
         stuck = ~done & (((off < 0) & (F.col("slope") == 0)) | (lam <= low) | (lam >= high))
-        state = cut(step.select("sid", "target", "scale", lam.alias("lam"), low.alias("low"), high.alias("high"), done.alias("done"), stuck.alias("stuck")), "dual")
-        failed = state.where("stuck").select("sid", "target", "lam").head(5)
+        values = {"lam": lam, "low": low, "high": high, "done": done, "stuck": stuck}
+        before, state = state, cut(step.select("sid", "target", "scale", *[v.alias(k) for k, v in values.items()]), "dual")
+        release(before)
+        # one row: how many sources are open, and one that can't be solved if there is any
+        open_, failed = state.agg(F.count_if(~F.col("done")), F.min(F.when(F.col("stuck"), F.struct("sid", "target", "lam")))).first()
         if failed:
-            raise ArithmeticError(f"no tilt meets the target of these sources: {failed}")
+            raise ArithmeticError(f"no tilt meets the target of this source: {failed}")
         turn += 1
     return state.select("sid", "scale", "lam")
 
@@ -112,15 +116,18 @@ def diffuse(size: np.ndarray, rate: np.ndarray) -> np.ndarray:
     return copies
 
 
+def _sid(source: Column) -> Column:
+    """A source's name without nulls, for joins: behind a mark."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
+
+
 def rates(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, cap: float = CAP) -> DataFrame:
-    """Per row: key, h and g (hashes that name the row by key and text), size, sid, source_size, target, docs, rate."""
-    named = [F.xxhash64(docs[key], docs[text]).alias("h"), F.xxhash64(F.lit(7), docs[key], docs[text]).alias("g")]
-    rows = cut(docs.select(docs[key].alias("key"), *named, docs[source].cast("string").alias("source"), size_of(docs[text]).alias("size")), "mix-sizes")
+    """Per row: key, h and g (they name the row by key and text), size, sid, source_size, target, docs, rate."""
+    rows = cut(docs.select(docs[key].alias("key"), *named(docs, key, text), docs[source].cast("string").alias("source"), size_of(docs[text]).alias("size")), "mix-sizes")
     counts = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     mass = F.col("n") * F.col("size")
     per = counts.groupBy("source").agg(F.sum(mass).cast("long").alias("source_size"), exact_sum(mass.cast("double") * F.col("size")).alias("source_squares"), F.sum("n").alias("docs"))
-    # a name without nulls for the joins: the source's behind a mark
-    sid = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
+    sid = _sid(F.col("source"))
     goals = cut(targets(per.select("source", "source_size"), weights, share, cap).withColumn("sid", sid).join(per.select(sid.alias("sid"), "source_squares", "docs"), "sid").drop("source"), "mix-goals")
     lam = dual(counts.where(F.col("size") > 0).select(sid.alias("sid"), "size", "n"), goals, cap)
     tilt = F.exp(F.least(F.col("lam") * F.col("size") / F.col("scale"), F.lit(float(np.log(cap)))))
@@ -131,9 +138,9 @@ def rates(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
 
 
 def copies(rated: DataFrame, per_bucket: int = 5_000) -> DataFrame:
-    """Rows (h, g, copies): rates rounded to whole copies in buckets of a source's documents.
+    """Rows (h, g, sid, copies): rates rounded to whole copies in buckets of a source's documents.
 
-    Rows of one key and text are one unit and get the same copies.
+    Rows of one key, text and source are one unit and get the same copies.
     """
     units = rated.groupBy("h", "g", "sid").agg(F.min("size").alias("size"), F.min("rate").alias("rate"), F.min("docs").alias("docs"), F.count("*").alias("m"))
     dealt = units.withColumn("bucket", F.pmod(F.col("h"), (F.col("docs") / F.lit(per_bucket)).cast("long") + 1))
@@ -141,15 +148,15 @@ def copies(rated: DataFrame, per_bucket: int = 5_000) -> DataFrame:
     def rounded(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.assign(mass=frame["size"] * frame["m"]).sort_values(["mass", "h", "g"], ascending=[False, True, True])
         made = diffuse(frame["mass"].to_numpy().astype(float), frame["rate"].to_numpy())
-        return pd.DataFrame({"h": frame["h"], "g": frame["g"], "copies": made})
+        return pd.DataFrame({"h": frame["h"], "g": frame["g"], "sid": frame["sid"], "copies": made})
 
-    return dealt.select("h", "g", "sid", "bucket", "size", "m", "rate").groupBy("sid", "bucket").applyInPandas(rounded, "h long, g long, copies long")
+    return dealt.select("h", "g", "sid", "bucket", "size", "m", "rate").groupBy("sid", "bucket").applyInPandas(rounded, "h long, g long, sid string, copies long")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, cap: float = CAP) -> DataFrame:
     """Per row: key, size, source_size, target (its source's), rate, copies and taken (words the mix takes from it)."""
     rated = rates(docs, key, source, text, weights, share, cap)
-    out = rated.join(copies(rated), ["h", "g"])
+    out = rated.join(copies(rated), ["h", "g", "sid"])
     return out.select(F.col("key").alias(key), "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -157,6 +164,6 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
     """The documents of the mix: each row as often as its copies, with its own columns."""
     cols = docs.columns
     taken = cut(copies(rates(docs, key, source, text, weights, share, cap)), "mix-copies").where(F.col("copies") > 0)
-    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], F.xxhash64(docs[key], docs[text]).alias("h"), F.xxhash64(F.lit(7), docs[key], docs[text]).alias("g"))
-    repeated = rows.join(taken, ["h", "g"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], *named(docs, key, text), _sid(docs[source]).alias("sid"))
+    repeated = rows.join(taken, ["h", "g", "sid"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])

@@ -37,7 +37,7 @@ _encoders: dict = {}
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=60))
 def test_bin_completion(lengths):
-    plan = packing.complete_bins(np.bincount(lengths, minlength=65), 64, nodes=300)
+    plan = packing.complete_bins(np.bincount(lengths, minlength=65), 64, steps=9_000)
     used = sorted(x for items, n in plan.patterns for _ in range(n) for x in items)
     assert used == sorted(lengths) and all(sum(items) <= 64 for items, _ in plan.patterns)
     assert plan.bound <= plan.bins <= sum(n for _, n in packing.best_fit_decreasing(np.bincount(lengths, minlength=65), 64))
@@ -48,6 +48,45 @@ def test_bin_completion_beats_best_fit():
     assert packing.complete_bins(np.bincount(lengths, minlength=61), 60).bins == 3
 
 
+def fewest_bins(lengths, capacity):
+    """By trying every bin for each item."""
+    best = len(lengths)
+    lengths = sorted(lengths, reverse=True)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms) if r >= lengths[i]}.values():
+            place(i + 1, [*rooms[:k], rooms[k] - lengths[i], *rooms[k + 1 :]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.integers(3, 30), min_size=1, max_size=11))
+def test_bin_completion_is_optimal(lengths):
+    plan = packing.complete_bins(np.bincount(lengths, minlength=41), 40, steps=10_000_000)
+    assert plan.proven and plan.bins == fewest_bins(lengths, 40)
+
+
+def test_fillings():
+    counts = np.zeros(21, np.int64)
+    counts[[3, 5, 7, 12]] = [4, 2, 1, 1]
+    got = list(packing.fillings(counts, 17))
+    assert got[0] == (12, 5) and (7, 5, 5) not in got
+    counts[12] = 0
+    got = list(packing.fillings(counts, 17))
+    assert got[0] == (7, 5, 5) and len(set(got)) == len(got)
+    assert all(sum(f) <= 17 and all(f.count(x) <= counts[x] for x in f) for f in got)
+    assert list(packing.fillings(counts, 2)) == [()]
+
+
 def test_packing(spark):
     rows = some()
     out = packing.pack_documents(docs(spark, rows), WORD).collect()
@@ -142,6 +181,17 @@ def test_mix(spark):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed_documents(docs(spark, [])).count() == 0
 
 
+def test_mix_of_one_text_in_several_sources(spark):
+    rows = [(1, "one two three", "x"), (1, "one two three", "y"), (1, "one two three", None), (1, "one two three", "x"), (2, "four five", "x"), (2, None, "y"), (2, None, None)]
+    out = mixing.mix(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.size) for r in out) == sorted((i, len((t or "").split())) for i, t, _ in rows)
+    want = {}
+    for r in out:
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
+    got = mixing.mixed_documents(docs(spark, rows)).collect()
+    assert len(got) == sum(want.values())
+
+
 def test_dual_with_very_long_documents(spark):
     sizes = {
         "one": {230 + i: 250 for i in range(40)} | {1_000_000: 1},
