@@ -1,18 +1,20 @@
 """Personal data: base patterns, and terms that the corpus shows to reveal what the patterns found, in DataFrame functions alone.
 
 Base spans (emails, IP addresses, payment cards, phone numbers) are protected entities.  Information-theoretic sanitisation then
-looks at all words of the texts that hold them.  For an entity e and a word t in a text with it the corpus gives
+looks at the words of the texts that hold them.  For an entity e and a word t in a text with it the corpus gives
 
     IC(e) = log2(N / n_e)    PMI(t; e) = log2(N * c_te / (c_t * n_e))
 
-with N distinct texts, n_e of them with e, c_t with t, and c_te with both.  A word discloses e
-if PMI(t; e) >= ``disclosure`` * IC(e) and c_te >= ``support``: whoever reads it learns nearly all of e.  Exact copies of a text
-are one text in every count; texts that differ at all are several.  Disclosing words are spans of the kind ``term`` in every
-document that holds e.  An entity in fewer than ``support`` distinct texts has no disclosing words.
+with N distinct texts, n_e of them with e, c_t with t, and c_te with both.  A word discloses e if PMI(t; e) >= ``disclosure`` * IC(e):
+whoever reads it learns nearly all of e.  Exact copies of a text are one text in every count; texts that differ at all are several.
+
+Evidence: an entity in ``support`` distinct texts or more is judged with all words that ``support`` of its texts hold.  One in
+fewer texts is judged too, but as chance alone makes many words of so few texts rare, only with words that are written as names there,
+with a capital inside a sentence.  Disclosing words are spans of the kind ``term`` in every document that holds e.
 
 Defined results: null and empty texts have no spans.  Positions are code points, ends exclusive.  Base matches of a kind are leftmost and
 do not overlap; those that fail their check are dropped and not tried again.  Repeated rows get equal spans.  An
-empty table gives an empty result.
+empty table gives an empty result.  Texts are told apart by their MD5.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut
+from ledgermatch.llm.common import cut, release
 
 #: Each stands for the plain pattern in the comment.  Possessive repeats and lookbehinds keep Java's matcher from recursing and
 #: from trying again inside a run that has failed; the matches are the same.
@@ -34,9 +36,13 @@ PATTERNS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: What every base span has.
+HINT = r"@|[0-9]\.[0-9]|(?:[0-9][\x20-]?){13}|\+[0-9]"
 KINDS = (*PATTERNS, "term")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 DISCLOSURE, SUPPORT = 0.95, 3
+#: A word with a capital after a letter, digit, comma or semicolon and one space: inside a sentence, so written as a name.
+NAME = r"(?<=[\p{L}\p{M}\p{N},;][ ])\p{Lu}[\p{L}\p{M}'-]{3,}(?<=[\p{L}\p{M}])(?![\p{N}@_])"
 TERM = r"(?<![\p{L}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]{3,}(?<=[\p{L}\p{M}])(?![\p{N}@_])"
 
 
@@ -70,21 +76,21 @@ def _matches(kind: str, text: Column) -> Column:
     return F.zip_with(found, F.slice(parts, 1, F.size(found)), lambda m, p: F.struct(F.length(p).alias("gap"), m.alias("match")))
 
 
-def _text_hash(docs: DataFrame, text: str) -> Column:
-    return F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit("")))
+def _text_name(docs: DataFrame, text: str) -> Column:
+    return F.md5(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("th")
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, spans).  rows: rid, key, h; spans: rid, h, th (names the text), k (the kind's place), start, end, entity, for base spans that hold."""
+    """(rows, spans).  rows: rid, key, th (names the text); spans: rid, th, k (the kind's place), start, end, entity, for base spans that hold."""
     clean = F.coalesce(F.col("t"), F.lit(""))
     # a cheap look before each kind's passes
     hint = {"email": clean.contains("@"), "ip": clean.rlike(r"[0-9]\.[0-9]"), "card": clean.rlike("[0-9][ -]?[0-9]"), "phone": clean.contains("+")}
     found = [F.when(hint[k], _matches(k, clean)).alias(k) for k in PATTERNS]
-    named = docs.select(docs[key].alias("key"), F.xxhash64(docs[key], docs[text]).alias("h"), _text_hash(docs, text).alias("th"), docs[text].cast("string").alias("t"))
-    rows = cut(named.select(F.monotonically_increasing_id().alias("rid"), "key", "h", "th", *found), "pii-rows")
+    named = docs.select(docs[key].alias("key"), _text_name(docs, text), docs[text].cast("string").alias("t"))
+    rows = cut(named.select(F.monotonically_increasing_id().alias("rid"), "key", "th", *found), "pii-rows")
     each = None
     for i, k in enumerate(PATTERNS):
-        one = rows.select("rid", "h", "th", F.lit(i).alias("k"), F.posexplode(k).alias("at", "m"))
+        one = rows.select("rid", "th", F.lit(i).alias("k"), F.posexplode(k).alias("at", "m"))
         each = one if each is None else each.union(one)
     order = Window.partitionBy("rid", "k").orderBy("at")
     end = F.sum(F.col("m.gap") + F.length("m.match")).over(order)
@@ -93,57 +99,68 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     for i, k in reversed(list(enumerate(PATTERNS))):
         holds = F.when(F.col("k") == i, _holds(k, F.col("m.match"))).otherwise(holds)
     entity = F.concat_ws(":", F.col("k"), F.when(F.col("k").isin(2, 3), _digits(F.col("m.match"))).otherwise(F.lower("m.match")))
-    spans = placed.where(holds).select("rid", "h", "th", "k", "start", "end", entity.alias("entity"))
-    return rows.select("rid", "key", "h"), cut(spans, "pii-spans")
+    spans = placed.where(holds).select("rid", "th", "k", "start", "end", entity.alias("entity"))
+    return rows.select("rid", "key", "th"), cut(spans, "pii-spans")
 
 
-def _terms(text: Column) -> Column:
+def _terms(text: Column, pattern: str = TERM) -> Column:
     """Distinct words that may disclose something: letters, with marks, apostrophes or hyphens inside; lower-cased, four letters at least, and no part of
     an address or number."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    cased = text if pattern == NAME else F.lower(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(cased, F.lit(pattern), F.lit(0)), F.lower))
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """Rows (entity, term): words of the texts with an entity that reveal it, by counts over all distinct texts."""
+def scores(docs: DataFrame, spans: DataFrame, text: str = "text", support: int = SUPPORT) -> DataFrame:
+    """Rows (entity, term, n, n_e, c_t, c_te, content, pmi) of the words that have the evidence to be judged, by counts over all distinct texts."""
     holders = spans.select("th", "entity").distinct()
-    # no word is in more texts with an entity than the entity
-    texts_with = holders.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
-    judged = cut(holders.join(texts_with, "entity"), "pii-judged")
-    if judged.isEmpty():
-        return judged.select("entity", F.lit("").alias("term"))
-    texts = cut(docs.select(_text_hash(docs, text).alias("th"), _terms(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("terms")).dropDuplicates(["th"]), "pii-texts")
-    total = texts.agg(F.count("*").alias("n"))
-    together = judged.join(texts, "th").select("entity", "n_e", F.explode("terms").alias("term")).groupBy("entity", "n_e", "term").agg(F.count("*").alias("c_te")).where(F.col("c_te") >= support)
-    together = cut(together, "pii-together")
+    held = cut(holders.join(holders.groupBy("entity").agg(F.count("*").alias("n_e")), "entity"), "pii-held")
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    # texts that can't hold an entity are counted, but stay out of the join with entities
+    maybe = body.rlike(HINT)
+    texts = docs.select(_text_name(docs, text), _terms(body).alias("terms"), F.when(maybe, _terms(body, NAME)).alias("names"), maybe.alias("maybe"))
+    texts = cut(texts.dropDuplicates(["th"]), "pii-texts")
+    # a name that TERM doesn't take for a word (there's an address sign before it) is none
+    words = F.when(F.col("n_e") >= support, F.col("terms")).otherwise(F.array_intersect("names", "terms"))
+    together = held.join(texts.where("maybe").drop("maybe"), "th").select("entity", "n_e", F.explode(words).alias("term")).groupBy("entity", "n_e", "term").agg(F.count("*").alias("c_te"))
+    together = cut(together.where((F.col("c_te") >= support) | (F.col("n_e") < support)), "pii-together")
     # counted before the join, so that common words are few rows by then
-    term_texts = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("c_t")).join(together.select("term").distinct(), "term")
-    scored = together.join(term_texts, "term").join(F.broadcast(total))
+    per_term = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("c_t")).join(together.select("term").distinct(), "term")
+    total = texts.agg(F.count("*").alias("n"))  # one row
+    scored = together.join(per_term, "term").join(F.broadcast(total))
     content = F.log2(F.col("n") / F.col("n_e"))
     pmi = F.log2(F.col("n") * F.col("c_te") / (F.col("c_t") * F.col("n_e")))
-    return cut(scored.where((content > 0) & (pmi >= F.lit(disclosure) * content)).select("entity", "term"), "pii-terms")
+    made = cut(scored.select("entity", "term", "n", "n_e", "c_t", "c_te", content.alias("content"), pmi.alias("pmi")), "pii-scores")
+    release(held, texts, together)
+    return made
+
+
+def disclosing(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """Rows (entity, term): words of the texts with an entity that reveal it."""
+    judged = scores(docs, spans, text, support)
+    return judged.where((F.col("content") > 0) & (F.col("pmi") >= F.lit(disclosure) * F.col("content"))).select("entity", "term")
 
 
-def term_spans(docs: DataFrame, spans: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Spans (h, k, start, end) of disclosing words in the documents that hold the entity."""
-    wanted = spans.select("h", "entity").distinct().join(terms, "entity").groupBy("h").agg(F.collect_set("term").alias("terms"))
-    texts = docs.select(F.xxhash64(docs[key], docs[text]).alias("h"), docs[text].cast("string").alias("t")).join(wanted, "h").dropDuplicates(["h"])
+def term_spans(docs: DataFrame, spans: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """Spans (th, k, start, end) of disclosing words in the texts that hold the entity."""
+    wanted = spans.select("th", "entity").distinct().join(terms, "entity").groupBy("th").agg(F.collect_set("term").alias("terms"))
+    texts = docs.select(_text_name(docs, text), docs[text].cast("string").alias("t")).join(wanted, "th").dropDuplicates(["th"])
     # terms are letters with punctuation inside at most, so they are quoted
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.transform(F.sort_array("terms", asc=False), lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E"))), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    found = texts.withColumn("p", pattern).select("h", F.expr("split(t, p, -1)").alias("parts"), F.expr("regexp_extract_all(t, p, 0)").alias("found"))
-    each = found.select("h", F.posexplode(F.zip_with("found", F.slice("parts", 1, F.size("found")), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("n")))).alias("at", "m"))
-    end = F.sum(F.col("m.gap") + F.col("m.n")).over(Window.partitionBy("h").orderBy("at")).cast("long")
-    return each.withColumn("end", end).select("h", F.lit(len(PATTERNS)).alias("k"), (F.col("end") - F.col("m.n")).alias("start"), "end")
+    found = texts.withColumn("p", pattern).select("th", F.expr("split(t, p, -1)").alias("parts"), F.expr("regexp_extract_all(t, p, 0)").alias("found"))
+    each = found.select("th", F.posexplode(F.zip_with("found", F.slice("parts", 1, F.size("found")), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("n")))).alias("at", "m"))
+    end = F.sum(F.col("m.gap") + F.col("m.n")).over(Window.partitionBy("th").orderBy("at")).cast("long")
+    return each.withColumn("end", end).select("th", F.lit(len(PATTERNS)).alias("k"), (F.col("end") - F.col("m.n")).alias("start"), "end")
 
 
 def spans_of(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """Per row: key, h (names key and text) and spans, an array of (k, start, end) in order: base kinds, then terms."""
+    """Per row: key, th (names the text) and spans, an array of (k, start, end) in order: base kinds, then terms."""
     rows, spans = find(docs, key, text)
     terms = disclosing(docs, spans, text, disclosure, support)
     base = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("k", "start", "end"))).alias("base"))
-    more = term_spans(docs, spans, terms, key, text).groupBy("h").agg(F.sort_array(F.collect_set(F.struct("k", "start", "end"))).alias("more"))
+    more = term_spans(docs, spans, terms, text).groupBy("th").agg(F.sort_array(F.collect_set(F.struct("k", "start", "end"))).alias("more"))
     none = F.array().cast("array<struct<k:int,start:bigint,end:bigint>>")
-    joined = rows.join(base, "rid", "left").join(more, "h", "left")
-    return joined.select(F.col("key").alias(key), "h", F.concat(F.coalesce("base", none), F.coalesce("more", none)).alias("spans"))
+    joined = rows.join(base, "rid", "left").join(more, "th", "left")
+    return joined.select(F.col("key").alias(key), "th", F.concat(F.coalesce("base", none), F.coalesce("more", none)).alias("spans"))
 
 
 def _shown(spans: Column) -> Column:
@@ -167,8 +184,8 @@ def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosu
     cols = docs.columns
     found = spans_of(docs, key, text, disclosure, support).where(F.size("spans") > 0)
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["k"].alias("k"))))
-    found = cut(found.select("h", by_start.alias("s")).dropDuplicates(["h"]), "pii-found")
-    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], F.xxhash64(docs[key], docs[text]).alias("h")).join(found, "h", "left")
+    found = cut(found.select("th", by_start.alias("s")).dropDuplicates(["th"]), "pii-found")
+    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], _text_name(docs, text)).join(found, "th", "left")
     body = F.col(f"c{cols.index(text)}")
     names = F.array(*[F.lit(k) for k in KINDS])
     # fold the spans, in order of start: text so far, and where the next piece begins
