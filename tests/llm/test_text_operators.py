@@ -103,9 +103,12 @@ def test_suffix_array(strings):
         assert shared[b] == k
 
 
-@pytest.mark.parametrize("many", [1_000, 2])
-def test_suffix_dedup(spark, monkeypatch, many):
+@pytest.mark.parametrize(("many", "flood", "long"), [(1_000, 20_000, 1 << 24), (2, 20_000, 1 << 24), (2, 3, 800)])
+def test_suffix_dedup(spark, monkeypatch, many, flood, long):
     monkeypatch.setattr(suffix_dedup, "MANY", many)
+    monkeypatch.setattr(suffix_dedup, "FLOOD", flood)
+    monkeypatch.setattr(suffix_dedup, "LONG", long)
+    monkeypatch.setattr(suffix_dedup, "STEP", 200 if long == 800 else suffix_dedup.STEP)
     rng = np.random.default_rng(2)
     word = lambda n: "".join(rng.choice(list("abcdefé 😀"), n))
     p, q = word(300), word(90)
