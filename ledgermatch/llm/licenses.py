@@ -1,50 +1,122 @@
-"""License scans: sparse TF-IDF cosine of license lines to templates, then inheritance from the nearest directory with a license
-file, in DataFrame functions alone.
-
-A license line is a line with one of the cue words.  Each distinct line is a vector over its words (a-z and digits, lower-cased),
-weighted by term frequency and ln((1 + N) / (1 + df)) + 1, with df counted over all license lines.  Cosines have four decimals.  A line takes the template form of
-the greatest cosine if that is at least ``cosine``.  A document's own license is that of its best line.  A license file
-(by name, or a document whose matched lines are at least half of its words) licenses its directory; a document without
-a line of its own inherits from its nearest such ancestor directory.
-
-Defined results: a null or empty text has no lines and may inherit.  A null path is in no directory.  Ties go to the greater
-cosine, then to the license first by name.  Repeated rows get equal results; an empty table gives an empty result.
+"""License scans: sparse TF-IDF cosine of headers, notices and whole licence files to templates, then inheritance from the nearest
+directory with a licence file, in DataFrame functions alone.
+
+A text is compared in units: the whole of it, its paragraphs, lines and sentences (which may run over lines), and NEAR words
+on either side of each cue word, so that a notice inside a long line is a unit too.  A unit is a vector over its words
+(a-z and digits, dots and hyphens inside, so SPDX ids are words), weighted by term frequency and ln((1 + T) / (1 + df)) + 1, with
+df counted over the T templates.  Weights don't depend on the corpus, so a notice scores alike whatever its size.  Cue words weigh BOOST
+times as much: enough that a unit without one can't reach ``cosine`` with any template (``without_cues`` tells how far it can get),
+so texts and units without cue words are left out and nothing is lost.
+
+Cosines have four decimals.  A unit takes the template of the greatest cosine if that is at least ``cosine``.  A document's own
+license is that of its best unit.  A licence file (by name, or a document of which that unit is at least half) licenses its
+directory; a document without a unit of its own inherits from its nearest such ancestor directory.
+
+Defined results: a null or empty text has no units and may inherit.  A null path is in no directory.  Ties go to the greater
+cosine, then to the license first by name.  Repeated rows get equal results; an empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import WORD, cut
+from ledgermatch.llm.common import cut, release
 
-#: Licenses and forms of their notices.
-TEMPLATES = (
+#: Licenses and their SPDX ids, notices, headers and texts; of the long texts the title and what opens them.
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0 Universal."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software under the MIT License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("proprietary", "All rights reserved."),
     ("proprietary", "Copyright. All rights reserved."),
+    ("proprietary", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 )
-CUES = r"(?i)\b(?:licen[sc]e[sd]?|copyright|spdx|all rights reserved|hereby granted|cc by)\b"
+TEMPLATES = NOTICES + tuple((name, f"SPDX-License-Identifier: {name}{more}") for name in sorted({n for n, _ in NOTICES} - {"proprietary"}) for more in (("", "-only", "-or-later") if "GPL" in name else ("",)))
+#: Words that tell a notice from other prose.
+CUES = (
+    "affero", "agpl", "apache", "applicable", "bsd", "bsd-style", "cc", "cc0", "commons", "conditions", "confidential", "copyright", "creative", "disclaimer", "gnu", "gpl", "hereby", "licence", "license", "license-2.0",
+    "licensed", "licenses", "mit", "mozilla", "mpl", "permission", "proprietary", "redistribute", "redistribution", "redistributions", "reserved", "rights", "software", "spdx-license-identifier", "sublicense",
+    "unauthorized", "unencumbered", "warranties", "warranty",
+)
 LICENSE_NAME = r"(?i)^(?:un)?(?:licen[sc]e|copying|notice)(?:[.\-].*)?$"
-COSINE = 0.7
+TOKEN = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
+_BLANK = "\n[ \t]*\n"
+_STOP = "([.!?;])[ \t\n]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COSINE, BOOST = 0.7, 3.0
+#: Words on either side of a cue word that are a unit with it: for short, middling and long notices inside long lines.
+NEAR = (4, 10, 24)
+
+
+def _words(text: str) -> list[str]:
+    return re.findall(TOKEN, text.lower())
+
+
+def idf(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[dict[str, float], float]:
+    """Weights of the templates' words and of any other word (a cue word that no template has weighs BOOST times that)."""
+    df = Counter(w for _, text in templates for w in set(_words(text)))
+    plain = lambda n: math.log((1 + len(templates)) / (1 + n)) + 1
+    return {w: plain(n) * (BOOST if w in CUES else 1.0) for w, n in df.items()}, plain(0)
+
+
+def without_cues(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> float:
+    """The greatest cosine that words without cues can have with any template."""
+    weights, most = idf(templates)[0], 0.0
+    for _, text in templates:
+        parts = {w: (n * weights[w]) ** 2 for w, n in Counter(_words(text)).items()}
+        most = max(most, math.sqrt(sum(v for w, v in parts.items() if w not in CUES) / sum(parts.values())))
+    return most
 
 
-def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+def _forms(templates: tuple[tuple[str, str], ...]) -> list[tuple[int, str, str, float, float]]:
+    """(form, license, word, weight, norm of the form)."""
+    weights, rows = idf(templates)[0], []
+    for i, (name, text) in enumerate(templates):
+        parts = {w: n * weights[w] for w, n in Counter(_words(text)).items()}
+        norm = math.sqrt(sum(v * v for v in parts.values()))
+        rows += [(i, name, w, v, norm) for w, v in parts.items()]
+    return rows
+
+
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
 def _dir_of(path: Column) -> Column:
@@ -52,82 +124,114 @@ def _dir_of(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def _weight(tf: Column, df: Column, total: Column) -> Column:
-    return tf * (F.log((total + 1) / (df + 1)) + 1)
+_CUED = "(?:^|[^a-z0-9.-])(?:" + "|".join(re.escape(c).replace("\\-", "-") for c in CUES) + ")(?:$|[^a-z0-9])"
+
+
+def units(low: Column, words: Column) -> Column:
+    """The distinct units of a text (in lower case, and its words) that hold a cue word: their words, spaced.
+
+    Both must be columns of the frame: as expressions they would be evaluated anew for each word.
+    """
+    parts = F.concat(F.array(low), F.split(low, _BLANK, -1), F.split(low, "\n", -1), F.split(F.regexp_replace(low, _STOP, "$1\u0001"), "\u0001", -1))
+    cues = F.array(*[F.lit(c) for c in CUES])
+    at = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*CUES), i + 1)), lambda i: i.isNotNull())
+
+    def around(n: int) -> Column:
+        return F.transform(at, lambda i: F.slice(words, F.greatest(F.lit(1), i - n), F.least(i, F.lit(n + 1)) + n))
+
+    near = [around(n) for n in NEAR]
+    cued = F.filter(F.concat(F.transform(parts, _tokens), *near), lambda x: F.arrays_overlap(x, cues))
+    return F.array_distinct(F.transform(cued, lambda x: F.array_join(x, " ")))
 
 
-def match_lines(lines: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
-    """For distinct license lines (lid, line, n): rows (lid, license, score) for those that match."""
-    spark = lines.sparkSession
-    terms = cut(lines.select("lid", "n", F.explode(_terms(F.col("line"))).alias("term")).groupBy("lid", "n", "term").agg(F.count("*").alias("tf")), "license-terms")
-    total = lines.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))  # one row
-    df = terms.groupBy("term").agg(F.sum("n").alias("df"))
-    # the templates' vectors: as many rows as the templates have words
-    rows = [(i, name, term, tf) for i, (name, text) in enumerate(templates) for term, tf in Counter(re.findall("[a-z0-9]+", text.lower())).items()]
-    forms = spark.createDataFrame(rows, "form int, license string, term string, ttf long").join(df, "term", "left").join(F.broadcast(total))
-    forms = forms.withColumn("tw", _weight(F.col("ttf"), F.coalesce("df", F.lit(0)), F.col("total"))).withColumn("tnorm", F.sqrt(F.sum(F.col("tw") * F.col("tw")).over(Window.partitionBy("form"))))
-    weighted = terms.join(df, "term").join(F.broadcast(total)).select("lid", "term", _weight(F.col("tf"), F.col("df"), F.col("total")).alias("w"))
-    norms = weighted.groupBy("lid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighted.join(F.broadcast(forms.select("form", "license", "term", "tw", "tnorm")), "term").groupBy("lid", "form", "license", "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = dots.join(norms, "lid").withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 4)).where(F.col("score") >= cosine)
-    best = scored.groupBy("lid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
-    return best.select("lid", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
+def match_units(distinct: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
+    """For distinct units (uid, unit): rows (uid, license, score) for those that match."""
+    spark = distinct.sparkSession
+    weights, other = idf(templates)
+    # as many rows as the templates have words: their size is that of a constant
+    known = F.broadcast(spark.createDataFrame(sorted(weights.items()), "term string, idf double"))
+    forms = F.broadcast(spark.createDataFrame(_forms(templates), "form int, license string, term string, tw double, tnorm double"))
+    counted = distinct.select("uid", F.explode(F.split("unit", " ")).alias("term")).groupBy("uid", "term").agg(F.count("*").alias("tf"))
+    unknown = F.when(F.col("term").isin(*CUES), F.lit(other * BOOST)).otherwise(F.lit(other))
+    weighted = cut(counted.join(known, "term", "left").select("uid", "term", (F.col("tf") * F.coalesce("idf", unknown)).alias("w")), "license-terms")
+    norms = weighted.groupBy("uid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = weighted.join(forms, "term").groupBy("uid", "form", "license", "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = dots.join(norms, "uid").withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 4)).where(F.col("score") >= cosine)
+    best = scored.groupBy("uid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
+    made = cut(best.select("uid", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score")), "license-matched")
+    release(weighted)
+    return made
 
 
 def scan(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
     """Per row: key, path, license, found (``header``, ``inherited`` or null) and score."""
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
-    cued = F.when(body.rlike(CUES), F.filter(F.split(body, "\n"), lambda x: x.rlike(CUES)))
-    rows = cut(docs.select(F.monotonically_increasing_id().alias("rid"), docs[key].alias("key"), path.cast("string").alias("path"), F.regexp_count(body, F.lit(WORD)).alias("words"), cued.alias("lines")), "license-rows")
-    each = rows.select("rid", "words", F.explode("lines").alias("line"))
-    lines = cut(each.groupBy("line").agg(F.count("*").alias("n")).withColumn("lid", F.monotonically_increasing_id()), "license-lines")
-    matched = lines.join(match_lines(lines, templates, cosine), "lid").select("line", "license", "score", F.regexp_count("line", F.lit(WORD)).alias("line_words"))
-    # a row for each license line of a document; a line in very many documents is split by AQE as any skewed join
-    own = each.join(matched, "line").groupBy("rid", "words").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"), F.sum("line_words").alias("covered"))
-    own = cut(own.select("rid", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), (2 * F.col("covered") >= F.col("words")).alias("mostly")), "license-own")
+    named = docs.select(docs[key].alias("key"), path.cast("string").alias("path"), F.translate(body, _UPPER, _LOWER).alias("low"))
+    # texts without a cue word are neither cut into words nor into units
+    worded = named.withColumn("own_words", F.when(F.col("low").rlike(_CUED), _tokens(F.col("low"))))
+    made = F.when(F.col("own_words").isNotNull(), units(F.col("low"), F.col("own_words")))
+    rows = cut(worded.select(F.monotonically_increasing_id().alias("rid"), "key", "path", F.size("own_words").alias("words"), made.alias("units")), "license-rows")
+    each = rows.where(F.col("units").isNotNull()).select("rid", "words", F.explode("units").alias("unit"))
+    distinct = cut(each.select("unit").distinct().withColumn("uid", F.monotonically_increasing_id()), "license-units")
+    matched = cut(distinct.join(match_units(distinct, templates, cosine), "uid").select("unit", "license", "score", F.size(F.split("unit", " ")).alias("unit_words")), "license-lines")
+    # a row for each matched unit of a document; a unit of very many documents is split as any skewed join
+    own = each.join(matched, "unit").groupBy("rid", "words").agg(F.min(F.struct((-F.col("score")).alias("s"), "license", "unit_words")).alias("b"))
+    own = cut(own.select("rid", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), (2 * F.col("b.unit_words") >= F.col("words")).alias("mostly")), "license-own")
+    release(distinct, matched)
 
     name = F.regexp_extract("path", "[^/]*$", 0)
-    files = rows.select("rid", "path").where(F.col("path").isNotNull()).join(own, "rid").where(F.col("mostly") | name.rlike(LICENSE_NAME))
-    dirs = files.groupBy(_dir_of(F.col("path")).alias("dir")).agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
-    # a directory's ancestors are its prefixes that end before a slash, itself and the root
-    parts = F.split(_dir_of(F.col("path")), "/")
+    placed = rows.where(F.col("path").isNotNull()).select("rid", "path", _dir_of(F.col("path")).alias("dir"))
+    files = placed.join(own, "rid").where(F.col("mostly") | name.rlike(LICENSE_NAME))
+    licensed = cut(files.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")).select("dir", F.col("b.license").alias("up_license"), (-F.col("b.s")).alias("up_score")), "license-dirs")
+    # ancestors are looked up once a directory, not once a document: its prefixes that end before a slash, itself and the root
+    parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    seeking = rows.where(F.col("path").isNotNull()).join(own, "rid", "left_anti").select("rid", F.explode(F.array_distinct(above)).alias("dir"))
-    nearest = seeking.join(dirs, "dir").groupBy("rid").agg(F.max(F.struct(F.length("dir").alias("d"), F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))).alias("up"))
-    out = rows.select("rid", "key", "path").join(own.drop("mostly"), "rid", "left").join(nearest, "rid", "left")
+    seeking = placed.select("dir").distinct().select(F.col("dir").alias("of"), F.explode(F.array_distinct(above)).alias("dir"))
+    nearest = seeking.join(licensed, "dir").groupBy("of").agg(F.max(F.struct(F.length("dir").alias("d"), "up_license", "up_score")).alias("up"))
+    nearest = cut(nearest.select(F.col("of").alias("dir"), "up"), "license-nearest")
+    out = rows.select("rid", "key", "path", _dir_of(F.col("path")).alias("dir")).join(own.drop("mostly"), "rid", "left").join(nearest, "dir", "left")
     found = F.when(F.col("license").isNotNull(), "header").when(F.col("up").isNotNull(), "inherited")
-    return out.select(F.col("key").alias(key), "path", F.coalesce("license", "up.license").alias("license"), found.alias("found"), F.coalesce("score", "up.score").alias("score"))
+    return out.select(F.col("key").alias(key), "path", F.coalesce("license", "up.up_license").alias("license"), found.alias("found"), F.coalesce("score", "up.up_score").alias("score"))
 
 
 def oracle(templates: tuple[tuple[str, str], ...] = TEMPLATES, cosine: float = COSINE) -> str:
     """The scan of ``documents`` in SQL, with paths of source / language / hundred of ids / id."""
-    rows = ", ".join(f"({i}, '{name}', '{term}', {tf})" for i, (name, text) in enumerate(templates) for term, tf in Counter(re.findall("[a-z0-9]+", text.lower())).items())
-    weight = lambda tf, df: f"{tf} * (ln((total + 1) / ({df} + 1)) + 1)"
+    weights, other = idf(templates)
+    known = ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in sorted(weights.items()))
+    forms = ", ".join(f"({i}, '{name}', '{w}', {v!r}::DOUBLE, {norm!r}::DOUBLE)" for i, name, w, v, norm in _forms(templates))
+    cues = "[" + ", ".join(f"'{c}'" for c in CUES) + "]"
     return f"""
     WITH docs AS (
-      SELECT row_number() OVER () AS rid, doc_id, COALESCE(text, '') AS t, concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents
+      SELECT row_number() OVER () AS rid, doc_id, translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}') AS t,
+        concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents
+    ), worded AS (SELECT rid, t, regexp_extract_all(t, '{TOKEN}') AS w FROM docs),
+    pieces AS (
+      SELECT rid, unnest(list_concat(
+        list_transform(list_concat([t], list_concat(string_split_regex(t, '\n[ \t]*\n'), list_concat(string_split(t, chr(10)), string_split(regexp_replace(t, '([.!?;])[ \t\n]+', '\1' || chr(1), 'g'), chr(1))))),
+          lambda x: regexp_extract_all(x, '{TOKEN}')),
+        list_transform(list_filter(range(1, {len(NEAR)} * len(w) + 1), lambda i: list_contains({cues}, w[(i - 1) % len(w) + 1])),
+          lambda i: w[greatest(1, (i - 1) % len(w) + 1 - {list(NEAR)}[(i - 1) // len(w) + 1]):(i - 1) % len(w) + 1 + {list(NEAR)}[(i - 1) // len(w) + 1]]))) AS u
+      FROM worded
     ), each AS (
-      SELECT * FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{CUES}')
-    ), lines AS (SELECT line, count(*) AS n FROM each GROUP BY line),
-    terms AS (SELECT line, n, term, count(*) AS tf FROM (SELECT line, n, unnest(regexp_extract_all(lower(line), '[a-z0-9]+')) AS term FROM lines) GROUP BY ALL),
-    totals AS (SELECT COALESCE(sum(n), 0) AS total FROM lines),
-    dfs AS (SELECT term, sum(n) AS df FROM terms GROUP BY term),
-    forms(form, license, term, ttf) AS (VALUES {rows}),
-    tw AS (SELECT form, license, term, {weight("ttf", "COALESCE(df, 0)")} AS w FROM forms LEFT JOIN dfs USING (term), totals),
-    tn AS (SELECT form, sqrt(sum(w * w)) AS tnorm FROM tw GROUP BY form),
-    lw AS (SELECT line, term, {weight("tf", "df")} AS w FROM terms JOIN dfs USING (term), totals),
-    nl AS (SELECT line, sqrt(sum(w * w)) AS norm FROM lw GROUP BY line),
+      SELECT DISTINCT rid, array_to_string(u, ' ') AS unit, len(u) AS unit_words FROM pieces WHERE list_has_any(u, {cues})
+    ), terms AS (
+      SELECT unit, term, count(*) AS tf FROM (SELECT unit, unnest(string_split(unit, ' ')) AS term FROM (SELECT DISTINCT unit FROM each)) GROUP BY ALL
+    ), known(term, idf) AS (VALUES {known}),
+    forms(form, license, term, tw, tnorm) AS (VALUES {forms}),
+    weighted AS (
+      SELECT unit, term, tf * COALESCE(idf, CASE WHEN list_contains({cues}, term) THEN {other * BOOST} ELSE {other} END::DOUBLE) AS w FROM terms LEFT JOIN known USING (term)
+    ), norms AS (SELECT unit, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY unit),
     scored AS (
-      SELECT lw.line AS line, tw.license AS license, round(sum(lw.w * tw.w) / (any_value(norm) * any_value(tnorm)), 4) AS score
-      FROM lw JOIN tw ON lw.term = tw.term JOIN tn ON tn.form = tw.form JOIN nl ON nl.line = lw.line GROUP BY lw.line, tw.form, tw.license
+      SELECT unit, license, round(sum(w * tw) / (any_value(norm) * any_value(tnorm)), 4) AS score
+      FROM weighted JOIN forms USING (term) JOIN norms USING (unit) GROUP BY unit, form, license
     ), best AS (
-      SELECT * FROM scored WHERE score >= {cosine} QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, license) = 1
+      SELECT * FROM scored WHERE score >= {cosine} QUALIFY row_number() OVER (PARTITION BY unit ORDER BY score DESC, license) = 1
     ), own AS (
-      SELECT rid, license, score, sum(len(regexp_extract_all(line, '{WORD}'))) OVER (PARTITION BY rid) AS covered
-      FROM each JOIN best USING (line) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, license) = 1
+      SELECT rid, license, score, unit_words AS covered
+      FROM each JOIN best USING (unit) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, license, unit_words) = 1
     ), dirs AS (
-      SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license, score FROM own JOIN docs USING (rid)
-      WHERE 2 * covered >= len(regexp_extract_all(t, '{WORD}')) OR regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENSE_NAME}')
+      SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license, score FROM own JOIN docs USING (rid) JOIN worded USING (rid)
+      WHERE 2 * covered >= len(w) OR regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENSE_NAME}')
       QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1
     ), up AS (
       SELECT docs.rid AS rid, dirs.license AS license, dirs.score AS score FROM docs JOIN dirs ON starts_with(docs.path, dirs.dir || '/')

@@ -267,8 +267,40 @@ def test_pii_scores(spark):
 
 def test_licenses(spark):
     rows = [("a/x/LICENSE", "Released under the MIT License."), ("a/x/y/one", "nothing here at all"), ("a/z", "plain words"), ("a/x/own", "some words that go on and on and then\nLicensed under the Apache License, Version 2.0."), (None, "plain"), ("b/c", None), ("a/x/deep/er/f", ""), ("r", "the license of this story is rather something else entirely")]
-    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    df = spark.createDataFrame([(i, p, t, "clash", 0.5) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string, license string, score double")
     got = {r.doc_id: (r.license, r.found) for r in licenses.scan(df, df["path"]).collect()}
     assert got == {0: ("MIT", "header"), 1: ("MIT", "inherited"), 2: (None, None), 3: ("Apache-2.0", "header"), 4: (None, None), 5: (None, None), 6: ("MIT", "inherited"), 7: (None, None)}
     empty = df.where("false")
     assert licenses.scan(empty, empty["path"]).count() == 0
+
+
+def cosine(unit, template):
+    """The score of a unit against a template, word by word."""
+    weights, other = licenses.idf()
+    of = lambda words: {w: n * weights.get(w, other * (licenses.BOOST if w in licenses.CUES else 1)) for w, n in collections.Counter(words).items()}
+    a, b = of(licenses._words(unit)), of(licenses._words(template))
+    return sum(v * b.get(w, 0) for w, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+
+
+def test_license_forms(spark):
+    assert licenses.without_cues() < licenses.COSINE
+    gpl = "\n".join(f" * {x}" for x in ("This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."))
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and "sublicense" in t)
+    bsd = next(t for n, t in licenses.TEMPLATES if n == "BSD-2-Clause" and "source code must" in t)
+    words = " ".join(f"w{i}" for i in range(40))
+    cases = {
+        "# SPDX-License-Identifier: Apache-2.0\nimport os": "Apache-2.0", "// SPDX-License-Identifier: MIT": "MIT", "SPDX-License-Identifier: Zlib-acknowledgement": None, "/*\n" + gpl + "\n */\nint main;": "GPL-3.0",
+        f"MIT License\n\nCopyright (c) 2020 Some Author\n\n{mit}\n\nTHE SOFTWARE IS PROVIDED AS IS": "MIT", f"Copyright (c) 2019, X\n\n{bsd}": "BSD-2-Clause", f"{words} Released under the MIT License. {words}": "MIT",
+        f"{words} released under the mit license {words}": "MIT", "Copyright (c) 2020 Some Author. All rights reserved.": "proprietary", words: None, "all the rights of the people were kept by the old law of the land and its king": None,
+        "x " * 50_000 + "\nLicensed under CC BY-NC 4.0.\n" + "y " * 50_000: "CC-BY-NC-4.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\n" + words: "GPL-2.0",
+    }
+    rows = [(i, f"{i}/f", t) for i, t in enumerate(cases)] * 2 + [(100 + i, f"{100 + i}/f", t) for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = collections.defaultdict(set)
+    for r in licenses.scan(df, df["path"]).collect():
+        got[r.doc_id].add((r.license, r.score))
+    assert [next(iter(got[i]))[0] for i in range(len(cases))] == list(cases.values()) and all(len(x) == 1 for x in got.values())
+    # every template is found as itself, whatever the rest of the corpus
+    assert [next(iter(got[100 + i])) for i in range(len(licenses.TEMPLATES))] == [(n, 1.0) for n, _ in licenses.TEMPLATES]
+    unit = "Copyright (c) 2020 Some Author. All rights reserved."
+    assert round(max(cosine(u, t) for u in (unit, "All rights reserved.", "Copyright (c) 2020 Some Author.") for _, t in licenses.TEMPLATES), 4) == next(iter(got[8]))[1]
