@@ -69,10 +69,10 @@ NOTICES = (
     ("proprietary", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 )
 TEMPLATES = NOTICES + tuple((name, f"SPDX-License-Identifier: {name}{more}") for name in sorted({n for n, _ in NOTICES} - {"proprietary"}) for more in (("", "-only", "-or-later") if "GPL" in name else ("",)))
-#: Words that tell a notice from other prose.
+#: Words that tell a notice from other prose.  Ids that are common words of some language (mit, cc) are none.
 CUES = (
-    "affero", "agpl", "apache", "applicable", "bsd", "bsd-style", "cc", "cc0", "commons", "conditions", "confidential", "copyright", "creative", "disclaimer", "gnu", "gpl", "hereby", "licence", "license", "license-2.0",
-    "licensed", "licenses", "mit", "mozilla", "mpl", "permission", "proprietary", "redistribute", "redistribution", "redistributions", "reserved", "rights", "software", "spdx-license-identifier", "sublicense",
+    "affero", "agpl", "apache", "applicable", "bsd", "bsd-style", "cc0", "commons", "conditions", "confidential", "copyright", "creative", "disclaimer", "gnu", "gpl", "hereby", "licence", "license", "license-2.0",
+    "licensed", "licenses", "mozilla", "mpl", "permission", "proprietary", "redistribute", "redistribution", "redistributions", "released", "reserved", "rights", "software", "spdx-license-identifier", "sublicense",
     "unauthorized", "unencumbered", "warranties", "warranty",
 )
 LICENSE_NAME = r"(?i)^(?:un)?(?:licen[sc]e|copying|notice)(?:[.\-].*)?$"
