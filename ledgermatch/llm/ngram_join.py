@@ -43,7 +43,7 @@ COMMON, COMMON_MOST = 32, 200_000
 #: Cells of a class whose leaders it is held against first; this too bears on speed alone.
 LEADERS = 3
 #: Weight of a block of a large cell (bitmaps) or cluster (whole sets), least and most, and shingles that weigh as much as BLOCK classes.
-CELL_BLOCKS, CLUSTER_BLOCKS = (2_000, 20_000), (150, 2_000)
+CELL_BLOCKS, CLUSTER_BLOCKS = (2_000, 20_000), (400, 2_000)
 BLOCK, VOLUME = 2_000, 400_000
 
 
@@ -386,19 +386,25 @@ def _weight(n: Column) -> Column:
     return F.greatest(F.lit(1.0), n * F.lit(BLOCK / VOLUME))
 
 
-def _dealt(rows: DataFrame, group: str, blocks: tuple[int, int], percent: int) -> DataFrame:
-    """Rows (group, cid, n, component, total) with i and j, the task to work them in, in place of ``total``, the group's weight.
+def _dealt(rows: DataFrame, group: str, held: DataFrame, payload: str, blocks: tuple[int, int], percent: int) -> DataFrame:
+    """Rows (group, i, j, cid, component, n, payload) of rows (group, cid, component, total): i and j are the task to work them in, ``total`` the
+    group's weight, ``held`` has n and the payload of each cid.
 
     A small group is one task.  A larger one is cut into blocks of classes of like sizes and dealt as pairs of blocks whose sizes allow a
     link.  Blocks come from counts of (group, n) and a hash, so no group is sorted or ranked in one task.
     """
     least, most = blocks
-    columns = [group, "cid", "n", "component"]
+    columns = [group, "i", "j", "cid", "component"]
     zero = F.lit(0).cast("long")
-    small = rows.where(F.col("total") <= least).select(*columns, zero.alias("i"), zero.alias("j"))
+    placed = rows.where(F.col("total") <= least).select(group, zero.alias("i"), zero.alias("j"), "cid", "component")
     large = rows.where(F.col("total") > least)
-    if large.isEmpty():
-        return small
+    if not large.isEmpty():
+        placed = placed.union(_blocks(large.join(held.select("cid", "n"), "cid"), group, least, most, percent).select(columns))
+    return placed.join(held.select("cid", "n", payload), "cid")
+
+
+def _blocks(large: DataFrame, group: str, least: int, most: int, percent: int) -> DataFrame:
+    """Adds i and j to rows (group, cid, n, total) of large groups."""
     per = large.groupBy(group, "n").agg((F.count("*") * _weight(F.col("n"))).alias("w"), F.first("total").alias("total"))
     upto = Window.partitionBy(group).orderBy("n")  # a row a set size, not a class
     # blocks grow with the root of the group, so that neither tasks nor copies grow with the group itself
@@ -413,16 +419,16 @@ def _dealt(rows: DataFrame, group: str, blocks: tuple[int, int], percent: int) -
     tasks = pairs.select(group, "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("k"))
     share = F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.lit(1 - 1e-9)
     placed = large.join(per.drop("first", "last"), [group, "n"]).withColumn("k", block(share))
-    return small.union(placed.join(tasks, [group, "k"]).select(*columns, "i", "j"))
+    return placed.join(tasks, [group, "k"])
 
 
 def _joined_by_trees(live: DataFrame, members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Links between components that the leaders left apart."""
     of = lambda df: df.join(members, F.col("cid") == F.col("id"), "left").withColumn("component", F.coalesce("component", "cid")).drop("id")
-    placed = of(live.select("token", "cid", "n"))
-    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum(_weight(F.col("n"))).alias("total")).where(F.col("lo") != F.col("hi"))
+    placed = of(live.select("token", "cid"))
+    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("total")).where(F.col("lo") != F.col("hi"))
     mixed = cut(placed.join(apart.select("token", "total"), "token"), "ngram-mixed")
-    tasks = _dealt(mixed, "token", CELL_BLOCKS, percent).join(classes.select("cid", "sig"), "cid")
+    tasks = _dealt(mixed, "token", classes, "sig", CELL_BLOCKS, percent)
     maybe = cut(_by_runs(tasks, ["token", "i", "j"], ["cid", "component", "n", "sig"], _cell_work(percent)).distinct(), "ngram-maybe")
     # components that may be joined, as clusters
     home = of(classes.select("cid", "n"))
@@ -433,7 +439,7 @@ def _joined_by_trees(live: DataFrame, members: DataFrame, classes: DataFrame, do
     rows = home.join(clusters, "component").select("cid", "n", "component", "cluster")
     rows = cut(rows.join(rows.groupBy("cluster").agg(F.sum(_weight(F.col("n"))).alias("total")), "cluster"), "ngram-clustered")
     sets = _sets(rows.select("cid"), classes, docs, key, text, width)
-    tasks = _dealt(rows, "cluster", CLUSTER_BLOCKS, percent).join(sets, "cid")
+    tasks = _dealt(rows.drop("n"), "cluster", sets.join(rows.select("cid", "n"), "cid"), "set", CLUSTER_BLOCKS, percent)
     links = cut(_by_runs(tasks, ["cluster", "i", "j"], ["cid", "component", "n", "set"], _cluster_work(percent)), "ngram-links")
     release(mixed, maybe, clusters, rows, sets)
     return links
@@ -446,7 +452,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     grouped = solid.groupBy("digest").agg(F.min("key").alias("doc"), F.min(F.struct("h", "g")).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
     classes = cut(grouped.select("digest", "doc", "row.h", "row.g", "n", "prefix", "sig").withColumn("cid", F.monotonically_increasing_id()), "ngram-classes")
 
-    cells = classes.select("cid", "n", F.explode("prefix").alias("token"))
+    cells = classes.select("cid", F.explode("prefix").alias("token"))
     shared = cells.groupBy("token").agg(F.min("cid").alias("leader"), F.count("*").alias("size")).where(F.col("size") >= 2)
     live = cut(cells.join(shared, "token"), "ngram-cells")
     by_size = Window.partitionBy("cid").orderBy(F.col("size").desc(), "token")
