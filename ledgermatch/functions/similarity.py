@@ -17,7 +17,11 @@ WEIGHTS = {"address": 25, "owner": 15, "locality": 10, "house_number": 15, "owne
 
 def token_set_ratio(a: Column, b: Column) -> Column:
     """Jaccard of the word sets of two normalised texts, in percent, cut to a whole number; 0 if either is blank."""
-    x, y = words(a), words(b)
+    return word_ratio(words(a), words(b))
+
+
+def word_ratio(x: Column, y: Column) -> Column:
+    """The same of two arrays of distinct words."""
     ratio = (F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)) * 100).cast("int")
     return F.when((F.size(x) > 0) & (F.size(y) > 0), ratio).otherwise(F.lit(0))
 
@@ -36,9 +40,17 @@ def exact_match(a: Column, b: Column) -> Column:
 
 def best_name_score(owner: Column, guardian: Column, owners: Column, guardians: Column, other_owner: Column, other_guardian: Column) -> Column:
     """struct(score, tag): owner, all owners, guardian, all guardians, then the mean of owner and guardian if both reach 50; a later
-    one wins on a greater score alone."""
-    o, ao = token_set_ratio(owner, other_owner), token_set_ratio(owners, other_owner)
-    g, ag = token_set_ratio(guardian, other_guardian), token_set_ratio(guardians, other_guardian)
+    one wins on a greater score alone.
+
+    All names are normalised.  Normalising a list of names turns its pipes into spaces, so all owners (or guardians) are one set of words.
+    """
+    return best_words_score(*map(words, (owner, guardian, owners, guardians, other_owner, other_guardian)))
+
+
+def best_words_score(owner: Column, guardian: Column, owners: Column, guardians: Column, other_owner: Column, other_guardian: Column) -> Column:
+    """The same of arrays of distinct words."""
+    o, ao = word_ratio(owner, other_owner), word_ratio(owners, other_owner)
+    g, ag = word_ratio(guardian, other_guardian), word_ratio(guardians, other_guardian)
     both = F.when((o >= 50) & (g >= 50), ((o + g) / 2).cast("int")).otherwise(F.lit(0))
     best = F.greatest(o, ao, g, ag, both)
     tag = F.when(best == 0, "").when(o == best, "OWNER_MATCH").when(ao == best, "ALL_OWNERS_MATCH").when(g == best, "GUARDIAN_MATCH").when(ag == best, "ALL_GUARDIANS_MATCH").otherwise("OWNER+GUARDIAN_COMBINED")

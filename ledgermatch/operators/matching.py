@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.functions.similarity import meter_tier, name_tier, token_set_ratio
+from ledgermatch.functions.similarity import best_words_score, meter_tier, name_tier, token_set_ratio, word_ratio
 from ledgermatch.functions.text import clean_identifier, first_word, junk_phone, normalize_locality, normalize_phone, words
 
 #: (parcel column, register column, label), in order of precedence.
@@ -50,11 +50,12 @@ def phones(register: DataFrame, parcels: DataFrame, ours: Sequence[str] = ("mobi
     A number that parcels hold more than ``most`` times is nobody's.  The counts are also what keeps the join small: no number has
     more than ``most`` parcels.
     """
-    held = parcels.select("uid", "row_idx", F.col("owner_n").alias("o"), F.col("guardian_n").alias("g"), F.explode(phone_numbers(parcels, theirs)).alias("phone")).where(~junk_phone(F.col("phone")))
+    names = parcels.select("uid", "row_idx", words(F.col("owner_n")).alias("o"), words(F.col("guardian_n")).alias("g"), phone_numbers(parcels, theirs).alias("phones"))
+    held = names.select("uid", "row_idx", "o", "g", F.explode("phones").alias("phone")).where(~junk_phone(F.col("phone")))
     held = held.withColumn("n", F.count("*").over(Window.partitionBy("phone"))).where(F.col("n") <= most)
-    asked = register.select("pid", "owner_n", "guardian_n", F.explode(F.array_distinct(phone_numbers(register, ours))).alias("phone")).where(~junk_phone(F.col("phone")))
-    pairs = asked.join(held, "phone").select("pid", "owner_n", "guardian_n", "uid", "row_idx", "o", "g").distinct()
-    score = F.greatest(token_set_ratio(F.col("owner_n"), F.col("o")), token_set_ratio(F.col("guardian_n"), F.col("g")))
+    asked = register.select("pid", *_name_words(register), F.explode(F.array_distinct(phone_numbers(register, ours))).alias("phone")).where(~junk_phone(F.col("phone")))
+    pairs = asked.join(held, "phone").select("pid", *NAMES, "uid", "row_idx", "o", "g").distinct()
+    score = best_words_score(*[F.col(n) for n in NAMES], F.col("o"), F.col("g"))["score"]
     scored = pairs.withColumn("score", score).groupBy("pid").agg(F.count_distinct("uid").alias("n"), F.min(F.struct((-F.col("score")).alias("s"), "row_idx", "uid")).alias("b"))
     score = -F.col("b.s")
     method = F.when(F.col("n") == 1, "TEXT_MOBILE").when(score >= name_score, "TEXT_MOBILE+NAME").otherwise("TEXT_MOBILE_WEAK")
@@ -81,24 +82,57 @@ def crosswalk(ours: DataFrame, theirs: DataFrame, least: float = 0.7) -> DataFra
 def names_and_localities(register: DataFrame, parcels: DataFrame, pairs: DataFrame, most: int = 500) -> DataFrame:
     """Within a locality (first its own, then those of ``pairs``), the best name tier among the first ``most`` parcels.
 
+    The owner's score is the better of the owner and all owners, the guardian's of the guardian and all guardians.
+
     The limit is part of the layer's definition: parcels in order of exactness, locality and row.
     """
     own = register.select(F.col("locality_n").alias("locality")).where(F.col("locality") != "").distinct().select("locality", F.col("locality").alias("other"), F.lit(0).alias("far"))
     reach = own.unionByName(pairs.where(F.col("locality") != F.col("other")).withColumn("far", F.lit(1)))
     held = parcels.select("uid", F.col("row_idx").alias("p"), F.col("owner_n").alias("o"), F.col("guardian_n").alias("g"), F.col("locality_n").alias("other"))
     near = reach.join(held, "other").withColumn("r", F.row_number().over(Window.partitionBy("locality").orderBy("far", "other", "p"))).where(F.col("r") <= most)
-    tier = name_tier(token_set_ratio(F.col("owner_n"), F.col("o")), token_set_ratio(F.col("guardian_n"), F.col("g")))
-    scored = register.select("pid", "owner_n", "guardian_n", F.col("locality_n").alias("locality")).join(near, "locality").withColumn("tier", tier).where(F.col("tier").isNotNull())
+    near = near.select("locality", "far", "r", "uid", words(F.col("o")).alias("o"), words(F.col("g")).alias("g"))
+    asked = register.select("pid", F.col("locality_n").alias("locality"), *_name_words(register)).where(F.size("w_owner") + F.size("w_guardian") > 0)
+    # every tier takes a ratio of 60 or more on one side: such sets share one of the first words of each, in an order common to both
+    ours = F.array_union(_marked("o", _first(F.col("w_owner")), _first(F.col("w_owners"))), _marked("g", _first(F.col("w_guardian")), _first(F.col("w_guardians"))))
+    theirs = F.array_union(_marked("o", _first(F.col("o"))), _marked("g", _first(F.col("g"))))
+    pairs = asked.withColumn("w", F.explode(ours)).join(near.withColumn("w", F.explode(theirs)), ["locality", "w"])
+    owner = F.greatest(word_ratio(F.col("w_owner"), F.col("o")), word_ratio(F.col("w_owners"), F.col("o")))
+    guardian = F.greatest(word_ratio(F.col("w_guardian"), F.col("g")), word_ratio(F.col("w_guardians"), F.col("g")))
+    scored = pairs.withColumn("tier", name_tier(owner, guardian)).where(F.col("tier").isNotNull())
     method = F.concat(F.lit("TEXT_NAME_"), F.col("tier.tag"), F.when(F.col("far") == 1, "_CROSSWALK").otherwise(""))
     scored = scored.withColumn("match_method", method).withColumn("confidence", F.col("tier.value").cast("double")).withColumnRenamed("uid", "matched_uid")
     return best(scored, "pid", F.col("tier.value"), [F.col("r")], ["matched_uid", "match_method", "confidence"])
 
 
+NAMES = ("w_owner", "w_guardian", "w_owners", "w_guardians")
+
+
+def _name_words(register: DataFrame) -> list[Column]:
+    """Words of the owner, the guardian and, where the register has them, of all owners and all guardians."""
+    columns = dict(zip(NAMES, ("owner_n", "guardian_n", "owners_n", "guardians_n"), strict=True))
+    return [(words(F.col(c)) if c in register.columns else F.array().cast("array<string>")).alias(n) for n, c in columns.items()]
+
+
+def _first(words_: Column, percent: int = 60) -> Column:
+    """The words of a set, longest first, that a set of this ratio or more can't miss all of: n - ceil(ratio * n) + 1."""
+    by_length = F.reverse(F.sort_array(F.transform(words_, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
+    n = F.size(words_)
+    return F.when(n > 0, F.transform(F.slice(by_length, 1, n - F.ceil(n * percent / 100).cast("int") + 1), lambda x: x["w"])).otherwise(F.array().cast("array<string>"))
+
+
+def _marked(side: str, *sets: Column) -> Column:
+    return F.transform(F.flatten(F.array(*sets)), lambda w: F.concat(F.lit(side + ":"), w))
+
+
 def prepared(df: DataFrame, owner: str, guardian: str, locality: str, city: str = "") -> DataFrame:
-    """Adds owner_n, guardian_n and locality_n."""
+    """Adds owner_n, guardian_n and locality_n (of the parsed locality where the table has one), and owners_n and guardians_n of all_ownernames
+    and all_guardiannames where it has them."""
     from ledgermatch.functions.text import normalize_name
 
-    return df.withColumns({"owner_n": normalize_name(F.col(owner)), "guardian_n": normalize_name(F.col(guardian)), "locality_n": normalize_locality(F.col(locality), city)})
+    place = "parsed_locality" if "parsed_locality" in df.columns else locality
+    added = {"owner_n": normalize_name(F.col(owner)), "guardian_n": normalize_name(F.col(guardian)), "locality_n": normalize_locality(F.col(place), city)}
+    lists = {"owners_n": "all_ownernames", "guardians_n": "all_guardiannames"}
+    return df.withColumns(added | {n: normalize_name(F.col(c)) for n, c in lists.items() if c in df.columns})
 
 
 def cascade(register: DataFrame, layers: Sequence[Callable[[DataFrame], DataFrame]], keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgermatch.functions import geo, similarity, text
 from ledgermatch.operators import change, matching, quality, register, schema, spatial, vectors
+from ledgermatch.sources.scratch import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,7 +201,7 @@ def grid_point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_SQL_BOXES}, u AS (SELECT DISTINCT x, y FROM p), d AS (SELECT x, y, uid, sqrt(greatest(x0 - x, 0, x - x0 - w) ** 2 + greatest(y0 - y, 0, y - y0 - w) ** 2) AS d FROM u, b),
 m AS (SELECT * FROM d QUALIFY rank() OVER (PARTITION BY x, y ORDER BY d) = 1) SELECT point_id, uid, round(d, 6) AS distance FROM p JOIN m USING (x, y)""")
 def nearest_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.nearest_polygons(_points(spark, sf_dir), _boxes(spark, sf_dir), 64.0, lambda df: df.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df).withColumn("distance", F.round("distance", 6))
+    return spatial.nearest_polygons(_points(spark, sf_dir), _boxes(spark, sf_dir), 64.0, lambda df: cut(df, "nearest")).withColumn("distance", F.round("distance", 6))
 
 
 @query(None)
@@ -232,6 +233,7 @@ def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("propertyid"),
         F.when(k % 4 == 2, _phone(n)).otherwise("").alias("mobileno"), F.lit("").alias("all_mobilenos"),
         F.when(k % 3 == 0, F.concat(F.lit("Mr "), F.col("c_name"))).otherwise(F.col("c_mktsegment")).alias("ownername"), F.col("c_mktsegment").alias("guardianname"), F.col("c_nationkey").cast("string").alias("localityname"),
+        F.when(k % 5 == 0, F.concat(F.lit("Smt "), F.col("c_name"), F.lit("|"), F.col("c_name"))).otherwise("").alias("all_ownernames"), F.when(k % 7 == 0, F.concat_ws("|", "c_mktsegment", "c_name")).otherwise("").alias("all_guardiannames"),
     )
 
 
@@ -246,7 +248,8 @@ def _parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SQL_CLAIMS = f"""
-r AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, o_orderkey AS row_idx, o_orderkey % 4 AS kind, c_custkey AS c, {_sql_name("CASE WHEN o_orderkey % 3 = 0 THEN 'Mr ' || c_name ELSE c_mktsegment END")} AS owner_n, {_sql_name('c_mktsegment')} AS guardian_n, CAST(c_nationkey AS VARCHAR) AS locality_n
+r AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, o_orderkey AS row_idx, o_orderkey % 4 AS kind, c_custkey AS c, {_sql_name("CASE WHEN o_orderkey % 3 = 0 THEN 'Mr ' || c_name ELSE c_mktsegment END")} AS owner_n, {_sql_name('c_mktsegment')} AS guardian_n,
+  {_sql_name("CASE WHEN o_orderkey % 5 = 0 THEN 'Smt ' || c_name || '|' || c_name ELSE '' END")} AS owners_n, {_sql_name("CASE WHEN o_orderkey % 7 = 0 THEN c_mktsegment || '|' || c_name ELSE '' END")} AS guardians_n, CAST(c_nationkey AS VARCHAR) AS locality_n
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT'),
 g AS (SELECT c_custkey, 'C-' || CAST(c_custkey AS VARCHAR) AS uid, c_custkey AS row_idx, {_SQL_NORMAL.format(c='(' + _SQL_PHONE.format(k='c_custkey') + ')')} AS phone, {_sql_name('c_name')} AS o, {_sql_name('c_mktsegment')} AS g, CAST(c_nationkey AS VARCHAR) AS locality_n, c_custkey % 10 = 0 AS exempt, c_custkey % 3 = 0 AS vacant FROM customer)
 """
@@ -254,13 +257,14 @@ _SQL_DIRECT = "direct AS (SELECT pid, 'C-' || CAST(c AS VARCHAR) AS matched_uid,
 _SQL_JUNK = "({p} = '' OR len(list_distinct(string_split({p}, ''))) <= 2 OR {p} IN ('1234567890', '0123456789', '9876543210') OR NOT regexp_matches({p}, '^[6-9][0-9]{{9}}$'))"
 _SQL_PHONES = f"""
 held AS (SELECT *, count(*) OVER (PARTITION BY phone) AS n FROM g WHERE NOT {_SQL_JUNK.format(p='phone')}),
-pairs AS (SELECT r.pid, held.uid, held.row_idx, greatest({_sql_ratio('owner_n', 'held.o')}, {_sql_ratio('guardian_n', 'held.g')}) AS s FROM r JOIN g own ON own.c_custkey = r.c JOIN held ON held.phone = own.phone WHERE kind = 2 AND held.n <= 5),
+five AS (SELECT r.pid, held.uid, held.row_idx, {_sql_ratio('owner_n', 'held.o')} AS a, {_sql_ratio('owners_n', 'held.o')} AS b, {_sql_ratio('guardian_n', 'held.g')} AS c, {_sql_ratio('guardians_n', 'held.g')} AS d FROM r JOIN g own ON own.c_custkey = r.c JOIN held ON held.phone = own.phone WHERE kind = 2 AND held.n <= 5),
+pairs AS (SELECT pid, uid, row_idx, greatest(a, b, c, d, CASE WHEN a >= 50 AND c >= 50 THEN (a + c) // 2 ELSE 0 END) AS s FROM five),
 picked AS (SELECT *, count(*) OVER (PARTITION BY pid) AS n, row_number() OVER (PARTITION BY pid ORDER BY s DESC, row_idx) AS k FROM pairs),
 phones AS (SELECT pid, uid AS matched_uid, CASE WHEN n = 1 THEN 'TEXT_MOBILE' WHEN s >= 40 THEN 'TEXT_MOBILE+NAME' ELSE 'TEXT_MOBILE_WEAK' END AS match_method, CAST(s AS DOUBLE) AS confidence FROM picked WHERE k = 1 AND (n = 1 OR s > 0))
 """
 _SQL_NAMES = f"""
 near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY locality_n ORDER BY row_idx) AS k FROM g) WHERE k <= 500),
-named AS (SELECT r.pid, near.uid, near.k, {_sql_ratio('owner_n', 'near.o')} AS os, {_sql_ratio('guardian_n', 'near.g')} AS gs FROM r JOIN near ON near.locality_n = r.locality_n WHERE pid NOT IN (SELECT pid FROM direct) AND pid NOT IN (SELECT pid FROM phones)),
+named AS (SELECT r.pid, near.uid, near.k, greatest({_sql_ratio('owner_n', 'near.o')}, {_sql_ratio('owners_n', 'near.o')}) AS os, greatest({_sql_ratio('guardian_n', 'near.g')}, {_sql_ratio('guardians_n', 'near.g')}) AS gs FROM r JOIN near ON near.locality_n = r.locality_n WHERE pid NOT IN (SELECT pid FROM direct) AND pid NOT IN (SELECT pid FROM phones)),
 tiered AS (SELECT *, CASE WHEN os >= 60 AND gs >= 60 THEN 'VERIFIED_BOTH' WHEN os >= 75 AND gs >= 30 THEN 'VERIFIED_OWNER+GUARD' WHEN gs >= 75 AND os >= 30 THEN 'VERIFIED_GUARD+OWNER' WHEN greatest(os, gs) >= 90 THEN 'STRONG_SINGLE' END AS tag,
   CASE WHEN (os >= 60 AND gs >= 60) OR (os >= 75 AND gs >= 30) OR (gs >= 75 AND os >= 30) THEN os + gs ELSE greatest(os, gs) END AS v FROM named),
 names AS (SELECT pid, uid AS matched_uid, 'TEXT_NAME_' || tag AS match_method, CAST(v AS DOUBLE) AS confidence FROM tiered WHERE tag IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pid ORDER BY v DESC, k) = 1)
@@ -276,7 +280,7 @@ def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     r, p = _prepared(spark, sf_dir)
     none = spark.createDataFrame([], "locality string, other string")
     layers = [lambda left: matching.direct_ids(left, p), lambda left: matching.phones(left, p), lambda left: matching.names_and_localities(left, p, none)]
-    return r, p, matching.cascade(r, layers)
+    return r, p, matching.cascade(r, layers, cut)
 
 
 @query(f"WITH {_SQL_CLAIMS}, {_SQL_DIRECT} SELECT * FROM direct")
