@@ -7,12 +7,13 @@ names.  Each query applies the library's operators to whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.functions import geo, similarity, text
-from ledgermatch.operators import change, matching, quality, register, schema, spatial, vectors
+from ledgermatch.operators import change, matching, quality, register, schema, spatial, validate, vectors
 from ledgermatch.sources.scratch import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -382,6 +383,60 @@ def locality_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.crosswalk(p.select(text.normalize_name(F.col("p_name")).alias("locality_n")), p.select(text.normalize_name(F.concat_ws(" ", "p_name", "p_type")).alias("locality_n")))
 
 
+#: What is broken in an output, and the rules that must then fail.
+_BREAKS = {
+    "none": (),
+    "a parcel's key is another's": ("parcel_key_unique", "parcel_key_form", "feature_order"),
+    "a parcel has no id": ("parcel_id_blank", "parcel_key_form"),
+    "a parcel's tax status is unknown": ("tax_status_known", "suspected_total", "tax_status_counts", "feature_tax_counts"),
+    "a parcel's geo status is unknown": ("geo_status_known", "feature_geo_status"),
+    "a parcel is of another month": ("month_form", "month_agrees"),
+    "a parcel is of another run": ("run_id_agrees",),
+    "a parcel has another version": ("version",),
+    "a register row has no id": ("register_key_blank", "register_key_form"),
+    "a register row is lost": ("register_rows",),
+    "a parcel is lost": ("parcel_rows", "tax_status_total", "tax_status_counts", "feature_order", "feature_tax_counts", "feature_geo_status", "suspected_total"),
+    "a feature is lost": ("feature_rows", "feature_order", "feature_tax_counts", "feature_geo_status"),
+    "a feature has no geometry": ("geometry_for_others",),
+    "a feature has one too many": ("no_geometry_for_none",),
+    "the header is of another run": ("feature_run_id",),
+    "the header is of another month": ("feature_month",),
+    "the header has another version": ("feature_version",),
+    "the summary counts another number of rows": ("emitted_rows",),
+}
+
+
+def _bundle(spark: SparkSession, sf_dir: str, broken: str) -> tuple[DataFrame, ...]:
+    """A register of suppliers, parcels of nations, their features, header and summary, with one thing broken; the first nation is SUSPECTED."""
+    hit = lambda case, c, bad: F.when(F.lit(broken == case) & F.col("first"), bad).otherwise(c)
+    k = F.col("n_nationkey")
+    tax = F.when(k % 2 == 0, "SUSPECTED").otherwise("IN_TAX_NET")
+    base = table(spark, sf_dir, "nation").select(k.cast("long").alias("n"), (k == 0).alias("first"), k.cast("string").alias("id"), tax.alias("tax"), F.when(k % 3 == 1, "NONE").otherwise("SHAPE").alias("geo"))
+    own = F.concat(F.lit("GIS:"), "id")
+    parcels = base.select(
+        "n", hit("a parcel has no id", F.col("id"), F.lit("")).alias("gis_uid"), hit("a parcel's key is another's", own, F.lit("GIS:1")).alias("property_uid"), hit("a parcel's tax status is unknown", F.col("tax"), F.lit("?")).alias("tax_status"),
+        hit("a parcel's geo status is unknown", F.col("geo"), F.lit("?")).alias("geo_status"), hit("a parcel is of another month", F.lit("2026-09"), F.lit("2026-13")).alias("month"), hit("a parcel is of another run", F.lit("r1"), F.lit("r2")).alias("run_id"),
+        hit("a parcel has another version", F.lit("1.0"), F.lit("0.9")).alias("schema_version"), "first",
+    ).where(~(F.lit(broken == "a parcel is lost") & F.col("first"))).drop("first")
+    shape = F.when(F.col("geo") != "NONE", "{}")
+    geometry = hit("a feature has no geometry", F.when(F.lit(broken == "a feature has one too many"), "{}").otherwise(shape), F.lit(None).cast("string"))
+    features = base.where(~(F.lit(broken == "a feature is lost") & F.col("first"))).select("n", own.alias("property_uid"), F.col("tax").alias("tax_status"), F.col("geo").alias("geo_status"), geometry.alias("geometry"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), (F.col("s_suppkey") == 1).alias("first"))
+    entries = s.where(~(F.lit(broken == "a register row is lost") & F.col("first"))).select(hit("a register row has no id", F.col("id"), F.lit("")).alias("propertyid"), F.concat(F.lit("PT:"), "id").alias("property_uid"))
+    when = lambda case, good, bad: bad if broken == case else good
+    header = spark.createDataFrame([(when("the header has another version", "1.0", "2.0"), when("the header is of another run", "r1", "r2"), when("the header is of another month", "2026-09", "2026-10"))], "schema_version string, run_id string, month string")
+    counted = base.groupBy("tax").count().agg(F.map_from_entries(F.collect_list(F.struct("tax", "count"))).alias("tax_status_counts"), F.sum("count").alias("total_gis"), F.sum(F.when(F.col("tax") == "SUSPECTED", F.col("count"))).alias("potential_defaulters"))
+    more = {"emitted_gis_rows": F.col("total_gis") + int(broken == "the summary counts another number of rows"), "month": F.lit("2026-09"), "run_id": F.lit("r1"), "schema_version": F.lit("1.0")}
+    return entries, parcels, features, header, counted.withColumns(more).join(F.broadcast(s.agg(F.count("*").alias("total_mseva"))))
+
+
+@query("SELECT c.k AS broken, r.rule AS rule, NOT list_contains(c.fails, r.rule) AS ok FROM (VALUES " + ", ".join("('" + k.replace("'", "''") + "', [" + ", ".join(f"'{x}'" for x in v) + "]::VARCHAR[])" for k, v in _BREAKS.items()) + ") c(k, fails), (SELECT unnest([" + ", ".join(f"'{x}'" for x in validate.RULES) + "]) AS rule) r")
+def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each rule over outputs that are right, and over outputs with one thing broken: every rule is seen to hold and to fail."""
+    made = [validate.reconcile(*_bundle(spark, sf_dir, k)).select(F.lit(k).alias("broken"), "rule", "ok") for k in _BREAKS]
+    return reduce(DataFrame.unionByName, made)
+
+
 # --- vectors ----------------------------------------------------------------------------------------------------------------
 
 
