@@ -161,6 +161,15 @@ def test_urls(url, want):
     assert url_filter.Judge().judge(url)[:4] == want
 
 
+def test_urls_as_rows(spark):
+    rows = [(1, "http://www.example.com/en/x"), (2, None), (3, "no scheme"), (4, ""), (1, "http://www.example.com/en/x"), (None, "https://a.net/fr/"), (5, "http://a.org/" + "casino/" * 40_000 + "free"), (6, "http://xxx.org")]
+    pages = spark.createDataFrame([(*r, "clash", "clash", "clash", "clash") for r in rows], "page_id long, url string, host string, path string, rule string, verdict string")
+    got = sorted(((r.page_id or 0, r.host, r.rule, r.verdict) for r in url_filter.judge_urls(pages).collect()), key=str)
+    want = [(0, "a.net", "net/fr/", "block"), (1, "www.example.com", "www.example.com/en/", "allow"), (1, "www.example.com", "www.example.com/en/", "allow"), (2, "", None, "allow"), (3, "", None, "allow"), (4, "", None, "allow"), (5, "a.org", None, "block"), (6, "xxx.org", None, "block")]
+    assert got == sorted(want, key=str)
+    assert url_filter.judge_urls(pages.where("false")).count() == 0
+
+
 def test_fingerprints(spark):
     rows = [(i, " ".join(f"w{(i // 2 * 40 + j) % 997}" for j in range(3 + i % 5 * 60))) for i in range(40)] + [(90, None), (91, ""), (92, "é😀 a"), (92, "é😀 a"), (None, "no id")]
     got = fingerprints.fingerprint_documents(frame(spark, rows)).collect()
@@ -183,8 +192,12 @@ def test_sketch_algebra(spark):
     a, b = s.where("k = 1").select(F.col("s").alias("a")), s.where("k = 2").select(F.col("s").alias("b"))
     r = a.join(b).select(fingerprints.resemblance(F.col("a"), F.col("b"), 512).alias("r"), fingerprints.containment(F.col("a"), F.col("b"), 512).alias("c"), fingerprints.distinct_count(F.col("a"), 512).alias("n")).first()
     assert abs(r.r - 0.5) < 0.08 and abs(r.c - 2 / 3) < 0.12 and abs(r.n / 3000 - 1) < 0.15
-    whole = fingerprints.corpus_sketch(s, "s", [], 512).first() if False else None
-    assert whole is None
+    # merged sketches are the sketch of the union, by group and as a whole
+    hashes = sorted({h for r in df.select(F.explode(F.transform("x", lambda x: F.xxhash64(x).bitwiseAND((1 << 48) - 1))).alias("h")).collect() for h in [r.h]})
+    merged = fingerprints.corpus_sketch(s.withColumn("g", F.lit("all")), "s", ["g"], 512).first()
+    assert merged.s == hashes[:512]
+    assert {r.k: r.s for r in fingerprints.corpus_sketch(s, "s", ["k"], 512).collect()} == {r.k: r.s for r in s.collect()}
+    assert fingerprints.corpus_sketch(s.where("false"), "s", ["k"], 512).count() == 0
 
 
 PLAIN = {
