@@ -140,3 +140,24 @@ def test_stream(spark, tmp_path):
     q = snapshots.run_batches(snapshots.landing(spark, str(tmp_path / "in"), "id long", 100), lambda d: d.where("id > 2"), str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_validation_of_missing_and_empty_outputs(spark):
+    from ledgermatch.operators import validate
+
+    assert validate.missing_columns(["propertyid", "month"], validate.REGISTER_COLUMNS[:2]) == ["matched_uid"]
+    entries = spark.createDataFrame([("1", "PT:1"), (None, "PT:2")], "propertyid string, property_uid string")
+    parcels = spark.createDataFrame([(0, "a", "GIS:a", "EXEMPT", "NONE", "2026-09", "r", "1.0")], "n long, gis_uid string, property_uid string, tax_status string, geo_status string, month string, run_id string, schema_version string")
+    features = spark.createDataFrame([], "n long, property_uid string, tax_status string, geo_status string, geometry string")
+    header = spark.createDataFrame([("1.0", "r", "2026-09")], "schema_version string, run_id string, month string")
+    totals = spark.createDataFrame([(1, 1, 2, 0, {"EXEMPT": 1}, "2026-09", "r", "1.0")], "total_gis long, emitted_gis_rows long, total_mseva long, potential_defaulters long, tax_status_counts map<string,long>, month string, run_id string, schema_version string")
+    failed = {r.rule for r in validate.reconcile(entries, parcels, features, header, totals).collect() if not r.ok}
+    assert failed == {"feature_rows", "register_key_blank", "register_key_form"}
+
+
+def test_names_of_co_owners(spark):
+    reg = spark.createDataFrame([("1", 1, "someone else", "", "ram lal|sita devi", "n"), ("2", 2, "", "", "", "n")], "pid string, row_idx long, ownername string, guardianname string, all_ownernames string, locality string")
+    par = spark.createDataFrame([("A", 1, "ram lal sita devi", "", "n"), ("B", 2, "someone", "", "m")], "uid string, row_idx long, owner_name string, guardian string, locality string")
+    reg, par = matching.prepared(reg, "ownername", "guardianname", "locality"), matching.prepared(par, "owner_name", "guardian", "locality")
+    got = matching.names_and_localities(reg, par, spark.createDataFrame([], "locality string, other string")).collect()
+    assert [(r.pid, r.matched_uid, r.match_method) for r in got] == [("1", "A", "TEXT_NAME_STRONG_SINGLE")]
