@@ -10,18 +10,48 @@ from pyspark.sql import functions as F
 
 from ledgermatch.functions.text import SENTINELS, blank
 
-#: Logical fields of a tax register and the headers they may have, first match wins.
-REGISTER_FIELDS = {
-    "propertyid": ("propertyid", "property_id", "pid"), "oldpropertyid": ("oldpropertyid", "old_property_id"), "surveyid": ("surveyid", "survey_id"),
-    "ownername": ("ownername", "owner_name", "owner"), "guardianname": ("guardianname", "guardian_name", "father_name"), "mobileno": ("mobileno", "mobile_no", "mobile"),
-    "all_ownernames": ("all_ownernames",), "all_guardiannames": ("all_guardiannames",), "all_mobilenos": ("all_mobilenos",), "localityname": ("localityname", "locality_name", "locality"),
-    "address": ("address", "full_address"), "ward": ("ward", "ward_no"), "latitude": ("latitude", "lat"), "longitude": ("longitude", "lon", "long"),
-}
-PARCEL_FIELDS = {
-    "uid": ("uid", "gis_uid"), "uid_old": ("old_uid", "uid_old"), "owner": ("owner_name", "owner"), "guardian": ("father_hus", "father_husband_name"), "mobile": ("mobile_no",),
-    "mobile2": ("mobile_no_",), "locality": ("locality", "colony"), "ward_id": ("ward_no", "ward_id"), "electricity": ("electricity",), "exempt": ("exempted", "exemption", "taxable"),
-    "property_usage": ("property_u", "property_usage"), "property_type": ("property_t", "property_type"), "present_status": ("present_st", "present_status"),
-}
+#: Logical fields and the headers they go by in the sources, compared in lower case; the first that a table has wins.
+HEADERS = {
+    "owner": ("ownername", "owner_name", "owner_nam", "property_o", "name", "owner"),
+    "guardian": ("guardianname", "guardian_name", "father_hus", "guardianna", "father_name", "father_nam", "husband_na", "guardian", "fathername"),
+    "mobile": ("mobileno", "mobile_no", "mobile", "phone", "contact"),
+    "address": ("proper_address", "formatted_address", "full_address", "address", "property address", "address_1", "propertyaddress"),
+    "locality": ("localityname", "locality_name", "locality", "localityna", "locality_n", "mohalla", "colony"),
+    "ward": ("ward", "wardname", "ward_no", "blockname", "zonename", "ward_number"),
+    "property_id": ("propertyid", "property_id", "prop_id", "propertytaxuniqueid"),
+    "old_property_id": ("oldpropertyid", "old_property_id", "old_uid", "old uid", "oldpropert"),
+    "survey_id": ("surveyid", "survey_id"),
+    "uid": ("uid", "unique_id"),
+    "uid_old": ("uid_old", "old_uid", "old uid"),
+    "latitude": ("latitude", "lat", "y"),
+    "longitude": ("longitude", "lon", "lng", "long", "x"),
+    "all_owners": ("all_ownernames", "all_owners"),
+    "all_guardians": ("all_guardiannames", "all_guardians"),
+    "all_mobiles": ("all_mobilenos", "all_mobiles"),
+    "geocode_accuracy": ("geocode_accuracy", "accuracy", "location_type"),
+    "electricity": ("electricity", "elec_conn", "electric_m", "meter"),
+    "occupancy": ("occupancy", "occup_stat", "status"),
+    "exempted": ("exempted", "exempt", "tax_status", "taxable", "exempted_c"),
+    "property_usage": ("usages_typ", "usage_typ", "property_u", "property_usage", "land_use", "usage_type", "property_use"),
+    "property_type": ("bldg_type", "building_type", "type_of_pr", "property_type", "type", "property_t"),
+    "present_status": ("present_st", "present_status", "current_status", "status_present"),
+}
+
+
+def _fields(**names: str) -> dict[str, tuple[str, ...]]:
+    return {ours: HEADERS[field] for ours, field in names.items()}
+
+
+#: The library's own names of a register's and a parcel layer's columns.
+REGISTER_FIELDS = _fields(
+    propertyid="property_id", oldpropertyid="old_property_id", surveyid="survey_id", ownername="owner", guardianname="guardian", mobileno="mobile", all_ownernames="all_owners",
+    all_guardiannames="all_guardians", all_mobilenos="all_mobiles", localityname="locality", address="address", ward="ward", latitude="latitude", longitude="longitude",
+    geocode_accuracy="geocode_accuracy",
+)
+PARCEL_FIELDS = _fields(
+    uid="uid", uid_old="uid_old", property_id="property_id", owner_name="owner", guardian="guardian", mobile="mobile", locality="locality", ward_id="ward", electricity="electricity",
+    occupancy="occupancy", exempt="exempted", property_usage="property_usage", property_type="property_type", present_status="present_status",
+) | {"mobile2": ("mobile_no_",)}
 
 
 def detect_columns(names: Sequence[str], patterns: dict[str, Sequence[str]], overrides: dict[str, str] | None = None) -> dict[str, str]:

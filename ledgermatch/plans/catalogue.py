@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.functions import geo, similarity, text
-from ledgermatch.operators import change, matching, quality, register, schema, spatial, validate, vectors
+from ledgermatch.operators import change, layers, matching, quality, register, schema, spatial, validate, vectors
 from ledgermatch.sources.scratch import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -437,6 +437,125 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, made)
 
 
+# --- layers by place --------------------------------------------------------------------------------------------------------
+
+#: A square of 60 m for each customer, 200 m apart, so a disc of 30 m touches one square at most.
+_LATTICE, _SIDE = 200, 60
+
+
+def _lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as parcels on a lattice; the owner of every ninth is another's."""
+    n = F.col("c_custkey")
+    x, y = ((n % 1000) * _LATTICE).cast("double"), (F.floor(n / 1000) * _LATTICE).cast("double")
+    owner = F.concat(F.lit("Own"), F.when(n % 9 == 0, n + 1).otherwise(n).cast("string"), F.lit(" "), "c_mktsegment")
+    shape = geo.box(x, y, x + _SIDE, y + _SIDE)
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("C-"), n.cast("string")).alias("uid"), n.alias("row_idx"), text.normalize_name(owner).alias("owner_n"), shape.alias("rings"))
+
+
+def _meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A meter for each customer, inside the square, 10 m or 40 m beside it, or nowhere; and suppliers' meters of the same holders."""
+    n = F.col("c_custkey")
+    held = F.concat(F.lit("Own"), n.cast("string"), F.lit(" "), "c_mktsegment")
+    name = F.when(n % 5 == 0, held).otherwise(F.concat(held, F.when(n % 3 == 0, " W/O ").otherwise(" S/O "), F.lit("Kin"), (n % 97).cast("string")))
+    at = F.when(n % 4 == 0, 30.0).when(n % 4 == 1, 70.0).when(n % 4 == 2, 100.0)
+    first = table(spark, sf_dir, "customer").select((n * 2).alias("meter_idx"), name.alias("name"), ((n % 1000) * _LATTICE + at).alias("x"), (F.floor(n / 1000) * _LATTICE + 30.0).alias("y"))
+    s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "customer"), F.col("s_suppkey") == n)
+    second = s.select((n * 2 + 1).alias("meter_idx"), held.alias("name"), F.lit(30.0).alias("x"), F.lit(30.0).alias("y"))
+    h = text.holder(F.col("name"))
+    plain = text.normalize_name(F.substring_index("name", " S/O ", 1))
+    return first.unionByName(second).withColumns({"owner_n": text.normalize_name(h["owner"]), "relative_n": text.normalize_name(h["relative"]), "plain_n": plain})
+
+
+def _holders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as claims of the meters' holders; every seventh names one word of the owner."""
+    k, n = F.col("o_orderkey"), F.col("c_custkey")
+    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == n)
+    owner = F.concat(F.lit("Own"), n.cast("string"), F.when(k % 7 == 0, "").otherwise(F.concat(F.lit(" "), "c_mktsegment")))
+    return rows.select(k.cast("string").alias("pid"), k.alias("row_idx"), text.normalize_name(owner).alias("owner_n"), F.concat(F.lit("kin"), (n % 97).cast("string")).alias("guardian_n"))
+
+
+_SQL_METERS = f"""
+c AS (SELECT c_custkey AS n, lower(c_mktsegment) AS seg, (c_custkey % 1000) * {_LATTICE} AS x0, (c_custkey // 1000) * {_LATTICE} AS y0 FROM customer),
+lots AS (SELECT n, 'C-' || CAST(n AS VARCHAR) AS uid, 'own' || CAST(CASE WHEN n % 9 = 0 THEN n + 1 ELSE n END AS VARCHAR) || ' ' || seg AS owner_n, x0, y0 FROM c),
+meters AS (SELECT n * 2 AS meter_idx, 'own' || CAST(n AS VARCHAR) || ' ' || seg AS owner_n, CASE WHEN n % 5 = 0 THEN '' ELSE 'kin' || CAST(n % 97 AS VARCHAR) END AS relative_n,
+    'own' || CAST(n AS VARCHAR) || ' ' || seg || CASE WHEN n % 5 <> 0 AND n % 3 = 0 THEN ' w o kin' || CAST(n % 97 AS VARCHAR) ELSE '' END AS plain_n,
+    x0 + CASE n % 4 WHEN 0 THEN 30 WHEN 1 THEN 70 WHEN 2 THEN 100 END AS x, y0 + 30 AS y FROM c
+  UNION ALL SELECT n * 2 + 1, 'own' || CAST(n AS VARCHAR) || ' ' || seg, '', 'own' || CAST(n AS VARCHAR) || ' ' || seg, 30, 30 FROM c JOIN supplier ON s_suppkey = n),
+claims AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, 'own' || CAST(n AS VARCHAR) AS w, 'own' || CAST(n AS VARCHAR) || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE ' ' || seg END AS owner_n, 'kin' || CAST(n % 97 AS VARCHAR) AS guardian_n FROM orders JOIN c ON o_custkey = n),
+scored AS (SELECT pid, meter_idx, plain_n, x, y, {_sql_ratio('k.owner_n', 'm.owner_n')} AS o, CASE WHEN relative_n <> '' THEN {_sql_ratio('k.guardian_n', 'm.relative_n')} ELSE 0 END AS g FROM claims k JOIN meters m ON split_part(m.owner_n, ' ', 1) = w),
+tagged AS (SELECT *, CASE WHEN o >= 60 AND g >= 60 THEN 'ELEC_BOTH' WHEN o >= 80 AND g >= 30 THEN 'ELEC_OWNER+GUARD' WHEN o >= 90 THEN 'ELEC_OWNER_STRONG' END AS tag, CASE WHEN (o >= 60 AND g >= 60) OR (o >= 80 AND g >= 30) THEN o + g ELSE o END AS v FROM scored),
+chosen AS (SELECT * FROM tagged WHERE tag IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pid ORDER BY v DESC, meter_idx) = 1),
+near AS (SELECT chosen.*, uid, lots.owner_n, x BETWEEN x0 AND x0 + {_SIDE} AS inside FROM chosen JOIN lots ON x BETWEEN x0 - 30 AND x0 + {_SIDE} + 30 AND y BETWEEN y0 AND y0 + {_SIDE})
+"""
+
+
+@query(f"""WITH {_SQL_METERS} SELECT pid, uid AS matched_uid, CASE WHEN inside THEN 'ELEC_PIP_' ELSE 'ELEC_BUFFER_' END || tag AS match_method, CAST(0 AS DOUBLE) AS confidence
+FROM near WHERE inside OR {_sql_ratio('plain_n', 'owner_n')} >= 40""")
+def meter_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers.meter_layer(_holders(spark, sf_dir), _meters(spark, sf_dir), _lots(spark, sf_dir), keep=cut)
+
+
+@query("SELECT c.k AS header, c.f AS field, n_name FROM nation, (VALUES " + ", ".join(f"('{h}', '{f}')" for f, hs in schema.HEADERS.items() for h in hs) + ") c(k, f)")
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every header that a source may use leads to its field, in any case and with blanks around it."""
+    names = sorted({h for hs in schema.HEADERS.values() for h in hs})
+    source = table(spark, sf_dir, "nation").select(*[F.col("n_name").alias(f" {h.upper()} ") for h in names])
+    found = [(h, f, schema.detect_columns(["other", f" {h.upper()} "], schema.HEADERS)[f]) for f, hs in schema.HEADERS.items() for h in hs]
+    rows = F.array(*[F.struct(F.lit(h).alias("header"), F.lit(f).alias("field"), F.col(f"`{actual}`").alias("n_name")) for h, f, actual in found])
+    return source.select(F.inline(rows))
+
+
+def _addressed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Claims and parcels with addresses made of part names, some garbled, some another's, and the centres of the parcels' localities."""
+    n, part = F.col("c_custkey"), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("c_custkey"), "p_name")
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("locality"), F.concat(F.lit("Mohalla "), "n_name").alias("place"))
+    placed = table(spark, sf_dir, "customer").select("c_custkey").join(part, "c_custkey", "left")
+    lots = _parcels(spark, sf_dir).join(placed.withColumnRenamed("c_custkey", "row_idx"), "row_idx").join(nation, "locality")
+    k = F.col("row_idx")
+    lots = lots.drop("locality").withColumn("address", F.concat(F.lit("House No. "), (k % 997).cast("string"), F.lit(", "), F.coalesce("p_name", F.lit(""))))
+    lots = lots.withColumns({"latitude": (k * 29 % 911).cast("double"), "longitude": (k * 13 % 907).cast("double"), "survey_id": F.col("uid")}).withColumnRenamed("place", "locality").drop("p_name")
+    # a claim's address: its parcel's, without its last word, or the address of another parcel
+    shown = lots.select(F.col("uid").alias("shown"), F.col("address").alias("told"))
+    own = F.concat(F.lit("C-"), F.when(k % 6 == 5, F.regexp_extract("customer_id", r"(\d+)$", 1).cast("long") + 1).otherwise(F.regexp_extract("customer_id", r"(\d+)$", 1).cast("long")).cast("string"))
+    claims = _claims(spark, sf_dir).withColumn("shown", own).join(shown, "shown", "left").drop("shown").join(nation.withColumnRenamed("locality", "localityname"), "localityname")
+    claims = claims.drop("localityname").withColumnRenamed("place", "localityname")
+    told = F.when(k % 3 == 0, F.col("told")).when(k % 3 == 1, F.regexp_replace("told", r" \w+$", "")).otherwise(F.replace("told", F.lit("House No."), F.lit("H.No")))
+    # every fifth claim names no address that a parcel has; some of these are a meter's holder instead
+    claims = claims.withColumn("address", F.when(k % 5 == 2, "Near canal bridge, gate no 4").otherwise(told)).drop("told")
+    n = F.regexp_extract("customer_id", r"(\d+)$", 1).cast("long")
+    held = (k % 20 == 7) & (F.floor(k / 20) % 2 == 0)
+    claims = claims.withColumns({"ownername": F.when(held, F.concat(F.lit("Own"), n.cast("string"), F.lit(" "), "guardianname")).otherwise(F.col("ownername")), "guardianname": F.when(held, F.concat(F.lit("Kin"), (n % 97).cast("string"))).otherwise(F.col("guardianname"))})
+    lots = layers.addressed(lots, "owner_name", "guardian", "locality", "address", "survey_id", "uid_old")
+    claims = layers.addressed(claims, "ownername", "guardianname", "localityname", "address", "surveyid", "oldpropertyid")
+    shapes = spatial.locality_shapes(lots.select(F.col("f_locality").alias("locality"), F.col("longitude").alias("x"), F.col("latitude").alias("y")))
+    centres = shapes.select("locality", F.xxhash64("locality").alias("row_idx"), F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"))
+    return cut(claims, "claims"), cut(lots, "lots"), cut(centres, "centres")
+
+
+@query(None)
+def geocoded_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed grams stand in for a sentence model, so SQL can't choose the candidates; the tests hold the layer against brute force."""
+    made = layers.geocoded(*_addressed(spark, sf_dir), keep=cut)
+    return made.select("pid", "Matched_UID", "Match_Type", F.round("Latitude", 6).alias("Latitude"), F.round("Longitude", 6).alias("Longitude"), "Match_Score", "Confidence", "GIS_Owner", "GIS_Locality")
+
+
+@query(None)
+def all_layers_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The register after all layers: ids and addresses, phones, meters, names with the crosswalk of the two sides' localities."""
+    claims, lots, centres = _addressed(spark, sf_dir)
+    r, p = matching.prepared(claims, "ownername", "guardianname", "localityname"), matching.prepared(lots, "owner_name", "guardian", "locality")
+    p = p.join(_lots(spark, sf_dir).select("uid", "rings"), "uid")
+    pairs = cut(matching.crosswalk(r, p), "crosswalk")
+    chain = [
+        lambda left: matching.matches_of(layers.geocoded(left, lots, centres, keep=cut)),
+        lambda left: matching.phones(left, p),
+        lambda left: layers.meter_layer(left, _meters(spark, sf_dir), p, keep=cut),
+        lambda left: matching.names_and_localities(left, p, pairs),
+    ]
+    made = register.match_register(r, matching.cascade(r, chain, cut), p)
+    return made.select("pid", "matched_uid", "match_method", "gis_owner_name", "property_uid")
+
+
 # --- vectors ----------------------------------------------------------------------------------------------------------------
 
 

@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermatch.operators import change, matching, quality, register, schema, spatial, vectors
+from ledgermatch.operators import change, layers, matching, quality, register, schema, spatial, vectors
 from ledgermatch.sources import shapefile, sinks, tables
+from ledgermatch.sources.scratch import cut
 from ledgermatch.streaming import snapshots
 
 
@@ -161,3 +162,109 @@ def test_names_of_co_owners(spark):
     reg, par = matching.prepared(reg, "ownername", "guardianname", "locality"), matching.prepared(par, "owner_name", "guardian", "locality")
     got = matching.names_and_localities(reg, par, spark.createDataFrame([], "locality string, other string")).collect()
     assert [(r.pid, r.matched_uid, r.match_method) for r in got] == [("1", "A", "TEXT_NAME_STRONG_SINGLE")]
+
+
+LOTS = "uid string, row_idx long, owner string, guardian string, locality string, address string, survey_id string, uid_old string, latitude double, longitude double"
+CLAIMS = "pid string, row_idx long, ownername string, guardianname string, localityname string, address string, surveyid string, oldpropertyid string, propertyid string"
+LOT_ROWS = [
+    ("A", 0, "Ram Lal", "Shyam", "Model Town", "House No. 12, Main Road", "S1", "O1", 30.0, 75.0),
+    ("B", 1, "Sita Devi", "Mohan", "Model Town", "House No. 14, Main Road", "S2", "O2", 30.1, 75.1),
+    ("C", 2, "", "Nobody", "Model Town", "Plot 99 Canal Colony", "", "", 30.2, 75.2),
+    ("D", 3, "Gita Rani", None, "Green Park", None, None, None, 30.3, 75.3),
+    ("E", 4, "Ram Lal", "Shyam", "Model Town", "House No. 12, Main Road", "", "", 30.4, 75.4),
+    ("F", 5, "Karam Singh", "Dev", "Old City", "SCO-7 Bazaar " + "x" * 600, "", "", 30.5, 75.5),
+]
+CLAIM_ROWS = [
+    ("1", 0, "Ram Lal", "Shyam", "Model Town", "House Number 12, Main Road", "", "", ""),  # A and E score the same: the nearer, then the first
+    ("2", 1, "Mohan", "Sita Devi", "Model Town", "H No 14 Main Road", "", "", ""),  # owner and guardian swapped
+    ("3", 2, "Nobody At All", "", "Modl Town", "Plot 99 Canal Colony", "", "", ""),  # its parcel has no owner
+    ("4", 3, None, None, None, None, None, None, None),
+    ("5", 4, "zz", "qq", "kk", "vv", "", "", ""),
+    ("6", 5, "x", "", "", "", "F", "", ""),
+    ("1", 6, "Karam Singh", "Dev", "Old City", "SCO-7 Bazaar", "", "", ""),  # a pid again: its first row speaks
+    ("7", 7, "Gita Rani", "", "Green Park", "", "", "", ""),
+    (None, 8, "", "", "", "", "", "", ""),
+]
+CENTRES = [("model town", 0, 1.0, 2.0), ("model towm", 1, 3.0, 4.0), ("green park", 2, 5.0, 6.0), (None, 3, 7.0, 8.0)]
+
+
+def _geocoded(spark, claims=CLAIM_ROWS, lots=LOT_ROWS, centres=CENTRES, **search):
+    c = layers.addressed(spark.createDataFrame(claims, CLAIMS), "ownername", "guardianname", "localityname", "address", "surveyid", "oldpropertyid")
+    lot = layers.addressed(spark.createDataFrame(lots, LOTS).withColumn("property_id", F.lit("")), "owner", "guardian", "locality", "address", "survey_id", "uid_old")
+    return layers.geocoded(cut(c, "c"), cut(lot, "l"), spark.createDataFrame(centres, "locality string, row_idx long, x double, y double"), keep=cut, **search)
+
+
+def _slow_ratio(a, b):
+    """Twice the longest common subsequence over both lengths, of the words in order, by the textbook table."""
+    a, b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
+    if not a or not b:
+        return 0.0
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0] * (len(b) + 1)
+        for j, y in enumerate(b, 1):
+            row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
+    return 200.0 * row[-1] / (len(a) + len(b))
+
+
+def _slow_score(a, b):
+    """The weighted score of two rows of features, from its definition."""
+    overlap = lambda x, y: round(len(set(x) & set(y)) / max(len(set(x)), len(set(y))) * 100, 2) if x and y else 0.0
+    same = lambda x, y: 100.0 if x and x.strip().lower() == y.strip().lower() else 0.0
+    scores = [
+        (25, _slow_ratio(a.f_address, b.f_address)), (15, _slow_ratio(a.f_owner, b.f_owner)), (10, _slow_ratio(a.f_locality, b.f_locality)), (15, same(a.f_house, b.f_house)),
+        (10, overlap(a.f_owner_tokens, b.f_owner_tokens)), (5, overlap(a.f_address_tokens, b.f_address_tokens)), (10, same(a.f_survey, b.f_survey)), (5, same(a.f_old, b.f_old)),
+        (10, max(_slow_ratio(a.f_guardian, b.f_guardian), _slow_ratio(a.f_guardian, b.f_owner), _slow_ratio(a.f_owner, b.f_guardian))),
+    ]
+    live = [(w, s) for w, s in scores if s > 0]
+    return round(sum(w * s for w, s in live) / sum(w for w, _ in live), 2) if live else 0.0
+
+
+@pytest.mark.parametrize("k", [20, 2])
+def test_addresses(spark, k):
+    claims = layers.addressed(spark.createDataFrame(CLAIM_ROWS, CLAIMS), "ownername", "guardianname", "localityname", "address", "surveyid", "oldpropertyid").withColumn("v", vectors.gram_vectors(F.col("full"))).orderBy("row_idx").collect()
+    lots = layers.addressed(spark.createDataFrame(LOT_ROWS, LOTS), "owner", "guardian", "locality", "address", "survey_id", "uid_old").withColumn("v", vectors.gram_vectors(F.col("full"))).orderBy("row_idx").collect()
+    want = {"6": ("F", "DIRECT_SURVEY_ID", 100.0)}
+    for c in claims:
+        near = sorted(lots, key=lambda b: (-float(np.dot(c.v, b.v)), b.row_idx))[:k]
+        scored = [(_slow_score(c, b), b) for b in near if b.f_owner]
+        if c.pid in want or not scored or max(s for s, _ in scored) == 0:
+            continue
+        top, b = max(scored, key=lambda x: x[0])
+        if top >= 70:
+            want[c.pid] = (b.uid, "TOP5_WEIGHTED" if top >= 80 else "TOP10_WEIGHTED", top)
+        else:
+            like = [(_slow_ratio(c.f_locality, n[0]), n) for n in CENTRES if n[0]]
+            if max(r for r, _ in like) >= 75:
+                want[c.pid] = ("", "LOCALITY_CENTROID", top)
+    got = _geocoded(spark, k=k).collect()
+    assert len(got) == len(CLAIM_ROWS) and want["1"][0] == "A" and want["3"][1] == "LOCALITY_CENTROID" and want["2"][0] == "B"
+    assert {(r.pid, r.Matched_UID, r.Match_Type, r.Match_Score) for r in got if r.Match_Type != "UNMATCHED"} == {(p, *w) for p, w in want.items()}
+    rest = [r for r in got if r.Match_Type == "UNMATCHED"]
+    assert {r.pid for r in rest} >= {"5", None} and all((r.Matched_UID, r.Match_Score, r.Confidence, r.Latitude) == ("", 0.0, "", None) for r in rest)
+    assert {(r.Latitude, r.Longitude) for r in got if r.pid == "3"} == {(2.0, 1.0)}
+    assert {r.pid: r.matched_uid for r in matching.matches_of(_geocoded(spark, k=k)).collect()} == {p: w[0] for p, w in want.items() if w[0]}
+
+
+def test_addresses_of_nothing(spark):
+    assert _geocoded(spark, claims=[]).count() == 0
+    assert {r.Match_Type for r in _geocoded(spark, lots=[], centres=[]).collect()} == {"UNMATCHED"}
+
+
+def test_meter_layer(spark):
+    square = lambda x: [[(x, 0.0), (x + 50.0, 0.0), (x + 50.0, 50.0), (x, 50.0)]]
+    lots = spark.createDataFrame([("A", 0, "ram lal", square(0.0)), ("B", 1, "sita devi", square(200.0)), ("C", 2, None, square(400.0)), ("N", 3, "x", None)], "uid string, row_idx long, owner_n string, rings array<array<struct<x:double,y:double>>>")
+    meters = spark.createDataFrame(
+        [(0, "Ram Lal S/O Shyam Das", 25.0, 25.0), (1, "Ram Lal S/O Shyam Das", 25.0, 25.0), (2, "Sita Devi W/O Mohan Lal", 260.0, 25.0), (3, "Gita Rani", 460.0, 25.0), (4, "Karam Singh", None, None), (5, None, 1.0, 1.0), (6, "Jai Dev", 320.0, 25.0)],
+        "meter_idx long, name string, latitude double, longitude double",
+    )
+    made = layers.prepared_meters(meters, 43).drop("x", "y").join(meters.select("meter_idx", F.col("latitude").alias("x"), F.col("longitude").alias("y")), "meter_idx")
+    claims = spark.createDataFrame([("1", "ram lal", "shyam das"), ("2", "sita devi", "mohan lal"), ("3", "gita rani", ""), ("4", "karam singh", ""), ("5", "", ""), ("6", None, None), ("7", "jai dev", ""), ("8", "ram kumar", "x")], "pid string, owner_n string, guardian_n string")
+    got = {r.pid: (r.matched_uid, r.match_method) for r in layers.meter_layer(claims, made, lots).collect()}
+    # 3 stands beside a parcel of another name, 4 has no place, 7 is out of reach; 2 counts its husband's name among its own, and still agrees
+    assert got == {"1": ("A", "ELEC_PIP_ELEC_BOTH"), "2": ("B", "ELEC_BUFFER_ELEC_BOTH")}
+    assert layers.meter_layer(claims, made.limit(0), lots).count() == 0 == layers.meter_layer(claims, made, lots.limit(0)).count()
+    register_ = spark.createDataFrame([(30.0, 75.0), (30.2, None), (30.1, 75.1)], "latitude double, longitude double")
+    around = spark.createDataFrame([(0, 30.05, 75.05), (1, 30.16, 75.0), (2, 29.96, 74.96), (3, None, 75.0)], "meter_idx long, latitude double, longitude double")
+    assert {r.meter_idx for r in layers.within_bounds(around, register_).collect()} == {0, 2}
+    assert layers.within_bounds(around, register_.limit(0)).count() == 4 == layers.within_bounds(around, register_.drop("latitude")).count()
