@@ -10,6 +10,8 @@ than k shingles are compared exactly.  Repeated rows get equal sketches; an empt
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,9 +80,11 @@ def corpus_sketch(frame: DataFrame, sketches: str, by: list[str], k: int = K) ->
     return ranked.groupBy(*by).agg(F.sort_array(F.collect_list("x")).alias(sketches))
 
 
-def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None = None) -> DataFrame:
+def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None = None, derive: Callable[[DataFrame], DataFrame] = lambda df: df, derived: Sequence[str] = ()) -> DataFrame:
     """Adds ``next_<c>`` for each column: its value in the next row by descending key (null last), the last row's next being the first.
 
+    ``derive`` adds the columns ``derived``, functions of the others, once a row; they get their ``next_<c>`` too.
+
     Rows are dealt to ranges of the key; the first row of each range, a row a range, is put behind the range before it, so that
     one window over ranges suffices.  Rows of one key follow each other by a hash of ``columns``.
     """
@@ -98,8 +102,8 @@ def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None =
     behind = rows.join(F.broadcast(heads), (F.col("__b") == F.col("hb")) & F.col(key).eqNullSafe(F.col("hk")) & (F.col("__h") == F.col("hh")))
     behind = behind.dropDuplicates(["__b"]).select(key, *columns, "__h", F.col("to").alias("__b"), F.lit(1).alias("__last"))
     window = Window.partitionBy("__b").orderBy(F.col("__last"), F.col(key).desc_nulls_last(), F.col("__h").desc())
-    both = rows.withColumn("__last", F.lit(0)).unionByName(behind)
-    led = both.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in columns])
+    both = derive(rows.withColumn("__last", F.lit(0)).unionByName(behind))
+    led = both.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in (*columns, *derived)])
     return led.where(F.col("__last") == 0).drop("__h", "__b", "__last")
 
 
@@ -109,7 +113,7 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     The edited text has its last floor(n_chars / 2) characters replaced by the first as many of the next document.
     """
     rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_next(sketch(rows, "text", "own", k), key, ["text", "own"])
+    rows = with_next(rows, key, ["text"], derive=lambda df: sketch(df, "text", "own", k), derived=["own"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
