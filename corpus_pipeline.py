@@ -48,7 +48,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Newton iterations, tokenization and bin completion are not SQL; the tests hold the stages against brute force.
+#: Newton iterations, tokenization and bin completion are not SQL; tests hold the operators against brute force, and of the stages the first.
 ORACLE_SQL = None
 
 
