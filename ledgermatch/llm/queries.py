@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm import fingerprints, licenses, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_files, url_filter
+from ledgermatch.llm import fingerprints, licenses, main_text, merkle, mixing, ngram_join, oracles, packing, pii, prefix_trie, quality, suffix_dedup, token_files, url_filter
 from ledgermatch.llm.common import WORD, table
 
 
@@ -63,8 +63,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_mix_sources, op3_token_files, op4_suffix_array_dedup, op5_ngram_jaccard_join, op6_quality_rules, op7_license_scan, op8_fingerprints, op9_url_filter, op10_pii)
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing, op2_mix_sources, op3_token_files, op4_suffix_array_dedup, op5_ngram_jaccard_join, op6_quality_rules, op7_license_scan, op8_fingerprints, op9_url_filter, op10_pii,
+        op11_merkle_manifest, op12_prefix_trie, op13_main_text,
+    )
 }
 
 _QUALITY = f"""
@@ -113,3 +129,4 @@ SELECT doc_id, COALESCE(n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x =
 """
 
 ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": _NGRAM, "op6_quality_rules": _QUALITY, "op7_license_scan": licenses.oracle(), "op9_url_filter": url_filter.oracle()}
+ORACLES |= {"op11_merkle_manifest": oracles.merkle(), "op12_prefix_trie": oracles.TRIE, "op13_main_text": oracles.MAIN_TEXT}
