@@ -80,15 +80,19 @@ def on_edge(x: Column, y: Column, e: Column) -> Column:
     return (cross == 0) & x.between(F.least(p["x"], q["x"]), F.greatest(p["x"], q["x"])) & y.between(F.least(p["y"], q["y"]), F.greatest(p["y"], q["y"]))
 
 
-def covers(rings: Column, x: Column, y: Column) -> Column:
-    """Inside or on the boundary, by casting a ray."""
+def covered_by(all_edges: Column, x: Column, y: Column) -> Column:
+    """Inside the polygon of these edges or on one of them, by casting a ray to the right."""
     crossed = lambda e: ((e["p"]["y"] > y) != (e["q"]["y"] > y)) & (
         x < (e["q"]["x"] - e["p"]["x"]) * (y - e["p"]["y"]) / F.nullif(e["q"]["y"] - e["p"]["y"], F.lit(0.0)) + e["p"]["x"]
     )
-    all_edges = edges(rings)
     return F.exists(all_edges, lambda e: on_edge(x, y, e)) | (F.size(F.filter(all_edges, crossed)) % 2 == 1)
 
 
+def covers(rings: Column, x: Column, y: Column) -> Column:
+    """Inside or on the boundary."""
+    return covered_by(edges(rings), x, y)
+
+
 def signed_area(ring: Column) -> Column:
     return F.aggregate(edges(F.array(ring)), F.lit(0.0), lambda s, e: s + e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]) / 2
 
@@ -145,6 +149,16 @@ def project(rings: Column, zone: Column) -> Column:
     return F.transform(rings, lambda r: F.transform(r, point))
 
 
+def to_utm(rings: Column, zone: Column) -> Column:
+    """Rings from longitude (x) and latitude (y) to UTM."""
+
+    def point(p: Column) -> Column:
+        g = wgs84_to_utm(p["y"], p["x"], zone)
+        return F.struct(g["easting"].alias("x"), g["northing"].alias("y"))
+
+    return F.transform(rings, lambda r: F.transform(r, point))
+
+
 def box(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     """Rings of a rectangle."""
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))

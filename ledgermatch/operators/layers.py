@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 
 from ledgermatch.functions import geo, text
 from ledgermatch.functions.similarity import exact_match, token_overlap, token_set_ratio, token_sort_ratio, weighted_score
+from ledgermatch.operators import vector_index
 from ledgermatch.operators.matching import best, direct_ids, meter_candidates
-from ledgermatch.operators.spatial import largest_overlaps, points_in_polygons
+from ledgermatch.operators.polygons import points_in_polygons
+from ledgermatch.operators.spatial import confirmations, largest_overlaps
 from ledgermatch.operators.vectors import gram_vectors, top_k
 
 Keep = Callable[[DataFrame, str], DataFrame]
+#: Cells of the index that a search of addresses looks into; the tests measure its recall.
+PROBES = 16
 
 
 def _as_is(frame: DataFrame, name: str) -> DataFrame:
@@ -48,10 +52,11 @@ def prepared_meters(meters: DataFrame, zone: int) -> DataFrame:
     return meters.select(
         "meter_idx", text.normalize_name(h["owner"]).alias("owner_n"), text.normalize_name(h["relative"]).alias("relative_n"),
         text.normalize_name(F.substring_index(F.coalesce("name", F.lit("")), " S/O ", 1)).alias("plain_n"), at["easting"].alias("x"), at["northing"].alias("y"),
+        "latitude", "longitude", (F.coalesce("account", F.lit("")) if "account" in meters.columns else F.lit("")).alias("account"), F.coalesce("name", F.lit("")).alias("holder"),
     )
 
 
-def meter_layer(register: DataFrame, meters: DataFrame, parcels: DataFrame, size: float = 50.0, radius: float = 30.0, least: int = 40, keep: Keep = _as_is) -> DataFrame:
+def meter_layer(register: DataFrame, meters: DataFrame, parcels: DataFrame, radius: float = 30.0, least: int = 40, keep: Keep = _as_is) -> DataFrame:
     """A claim's best meter by name, and the parcel that it stands in; else the parcel that takes most of a disc of ``radius`` around it, if
     the names agree by ``least``.
 
@@ -61,7 +66,7 @@ def meter_layer(register: DataFrame, meters: DataFrame, parcels: DataFrame, size
     found = keep(meter_candidates(register, meters).select("pid", "meter_idx", F.col("tier.tag").alias("tag")), "meter-claims")
     placed = meters.where(F.col("x").isNotNull() & F.col("y").isNotNull()).join(found.select("meter_idx").distinct(), "meter_idx", "left_semi")
     placed = placed.select("meter_idx", "plain_n", "x", "y")
-    inside = keep(points_in_polygons(placed, parcels, size, "meter_idx").select("meter_idx", "uid"), "meters-inside")
+    inside = keep(points_in_polygons(placed, parcels, lambda df: keep(df, "parcels-cover"), "meter_idx").select("meter_idx", "uid"), "meters-inside")
     outside = placed.join(inside, "meter_idx", "left_anti")
     owners = parcels.groupBy("uid").agg(F.min_by("owner_n", "row_idx").alias("owner_n"))
     beside = largest_overlaps(outside, parcels, radius, "meter_idx").join(outside.select("meter_idx", "plain_n"), "meter_idx").join(owners, "uid")
@@ -70,6 +75,17 @@ def meter_layer(register: DataFrame, meters: DataFrame, parcels: DataFrame, size
     return found.join(how, "meter_idx").select("pid", F.col("uid").alias("matched_uid"), F.concat("how", "tag").alias("match_method"), F.lit(0.0).alias("confidence"))
 
 
+def meter_evidence(register: DataFrame, left: DataFrame, meters: DataFrame, parcels: DataFrame, matches: DataFrame, keep: Keep = _as_is) -> tuple[DataFrame, DataFrame]:
+    """(matches of the meter layer, parcels that meters confirm as occupied).
+
+    The layer takes the claims ``left`` by the layers before it and the meters within the bounds of the register's places; a parcel that no layer matched and that any
+    meter stands in is occupied (``spatial.confirmations``).  Meters: as ``prepared_meters`` makes them, with latitude, longitude, account and holder.
+    """
+    found = keep(meter_layer(left, within_bounds(meters, register), parcels, keep=keep), "meter-matches")
+    matched = matches.select("matched_uid").unionByName(found.select("matched_uid"))
+    return found, confirmations(meters.select("meter_idx", "x", "y", "account", "holder"), parcels, matched, lambda df: keep(df, "meters-cover"))
+
+
 # --- addresses --------------------------------------------------------------------------------------------------------------
 
 FEATURES = ("owner", "guardian", "locality", "address", "house", "owner_tokens", "address_tokens", "survey", "old")
@@ -118,19 +134,20 @@ def like_localities(names: DataFrame, localities: DataFrame, least: float = 75.0
 
 
 def by_address(
-    register: DataFrame, parcels: DataFrame, localities: DataFrame, k: int = 20, sure: float = 80.0, likely: float = 70.0, encode: Callable[[Column], Column] = gram_vectors, keep: Keep = _as_is
+    register: DataFrame, parcels: DataFrame, localities: DataFrame, k: int = 20, sure: float = 80.0, likely: float = 70.0, encode: Callable[[Column], Column] = gram_vectors, keep: Keep = _as_is, probes: int | None = None
 ) -> DataFrame:
     """The best of the ``k`` parcels whose addresses' vectors are nearest: pid, uid, type, latitude, longitude, score, owner and locality.
 
     From ``sure`` TOP5_WEIGHTED, from ``likely`` TOP10_WEIGHTED, below it the centre of the locality most like the claim's (no uid), if there is one.
     Parcels without an owner are no candidates, but take their places among the ``k``.  Equal addresses are searched once.  The search is
-    exact: blocks of distinct addresses against blocks of parcels, each handing on ``k`` rows an address.
+    exact: blocks of distinct addresses against blocks of parcels, each handing on ``k`` rows an address.  With ``probes`` it goes through an index of
+    the parcels' vectors instead, and looks into the cells of that many centroids.
     """
     asked = keep(register.groupBy("full").agg(F.min("row_idx").alias("vec_id")), "addresses")
-    near = keep(
-        top_k(asked.select("vec_id", encode(F.col("full")).alias("embedding")), parcels.select(F.col("row_idx").alias("vec_id"), encode(F.col("full")).alias("embedding")), k)
-        .select(F.col("query_id").alias("vec_id"), F.col("match_id").alias("parcel"), "rank"), "nearest",
-    )
+    ours, theirs = asked.select("vec_id", encode(F.col("full")).alias("embedding")), parcels.select(F.col("row_idx").alias("vec_id"), encode(F.col("full")).alias("embedding"))
+    step = lambda df: keep(df, "index")
+    found = top_k(ours, theirs, k) if probes is None else vector_index.search(vector_index.build(theirs, step), ours, step, k, probes)
+    near = keep(found.select(F.col("query_id").alias("vec_id"), F.col("match_id").alias("parcel"), "rank"), "nearest")
     features = lambda df: F.struct(*[c for c in df.columns if c.startswith("f_")])
     ours = register.join(asked, "full").select("pid", "row_idx", "vec_id", features(register).alias("a"))
     theirs = parcels.where(F.trim("f_owner") != "").select(F.col("row_idx").alias("parcel"), "uid", "latitude", "longitude", features(parcels).alias("b"))

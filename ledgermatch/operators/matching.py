@@ -63,12 +63,20 @@ def phones(register: DataFrame, parcels: DataFrame, ours: Sequence[str] = ("mobi
 
 
 def meter_candidates(register: DataFrame, meters: DataFrame) -> DataFrame:
-    """The best meter of each pid: first words block, tiers score.  Meters: meter_idx, owner_n, relative_n and their place."""
-    asked = register.select("pid", "owner_n", "guardian_n", F.explode(F.array_distinct(F.array(first_word(F.col("owner_n")), first_word(F.col("guardian_n"))))).alias("w")).where(F.col("w").isNotNull())
-    held = meters.select("meter_idx", F.col("owner_n").alias("mo"), F.col("relative_n").alias("mr"), first_word(F.col("owner_n")).alias("w"), "x", "y").where(F.col("w").isNotNull())
+    """The best meter of each pid: first words block, tiers score.  Meters: meter_idx, owner_n, relative_n and their place.
+
+    Each pair of names is compared once, whatever the claims and meters that have it; of meters of one pair the first speaks.  Every tier takes a ratio of 60 or more of the owners,
+    so beside the first word they share one of the longest words of each, and a common first word alone brings nothing together.
+    """
+    asked = register.select("owner_n", "guardian_n").distinct()
+    asked = asked.withColumn("w", F.explode(F.array_distinct(F.array(first_word(F.col("owner_n")), first_word(F.col("guardian_n")))))).where(F.col("w").isNotNull())
+    asked = asked.withColumn("p", F.explode(_first(words(F.col("owner_n")))))
+    held = meters.groupBy(F.col("owner_n").alias("mo"), F.col("relative_n").alias("mr")).agg(F.min(F.struct("meter_idx", "x", "y")).alias("m"))
+    held = held.select("mo", "mr", "m.*", first_word(F.col("mo")).alias("w"), F.explode(_first(words(F.col("mo")))).alias("p")).where(F.col("w").isNotNull())
     tier = meter_tier(token_set_ratio(F.col("owner_n"), F.col("mo")), F.when(F.col("mr") != "", token_set_ratio(F.col("guardian_n"), F.col("mr"))).otherwise(0))
-    scored = asked.join(held, "w").withColumn("tier", tier).where(F.col("tier").isNotNull())
-    return best(scored, "pid", F.col("tier.value"), [F.col("meter_idx")], ["meter_idx", "tier", "x", "y"])
+    scored = asked.join(held, ["w", "p"]).withColumn("tier", tier).where(F.col("tier").isNotNull()).withColumn("names", F.struct("owner_n", "guardian_n"))
+    found = best(scored, "names", F.col("tier.value"), [F.col("meter_idx")], ["meter_idx", "tier", "x", "y"])
+    return register.select("pid", F.struct("owner_n", "guardian_n").alias("names")).join(found, "names").drop("names")
 
 
 def crosswalk(ours: DataFrame, theirs: DataFrame, least: float = 0.7) -> DataFrame:

@@ -40,8 +40,8 @@ def parcel_register(parcels: DataFrame, matches: DataFrame, confirmed: DataFrame
     rows = parcels.join(claimed, "uid", "left")
     seen: Column = F.lit(False)
     if confirmed is not None:
-        rows = rows.join(confirmed, "uid", "left")
-        seen = F.col("electricity_account_no").isNotNull()
+        rows = rows.join(confirmed.withColumn("seen", F.lit(True)), "uid", "left")
+        seen = F.coalesce("seen", F.lit(False))
     claimed_, exempt_ = F.coalesce("claimed", F.lit(False)), exempt(F.col("exempt"))
     status = F.when(exempt_, "EXEMPT").when(claimed_, "MATCHED").when(seen, "CONFIRMED_OCCUPIED").otherwise("POTENTIAL")
     tax = F.when(exempt_, "EXEMPT").when(claimed_, "IN_TAX_NET").otherwise("SUSPECTED")
@@ -50,7 +50,9 @@ def parcel_register(parcels: DataFrame, matches: DataFrame, confirmed: DataFrame
         added["present_status"] = present_status(F.col("present_status"))
     if "rings" in parcels.columns:
         added["geo_status"] = F.when(F.col("rings").isNotNull(), "SHAPE").otherwise("NONE")
-    return rows.withColumns(added).drop("claimed")
+    if confirmed is not None:  # a meter speaks for parcels alone that are taxed and that nobody claims
+        added |= {c: F.when(seen & ~exempt_ & ~claimed_, F.coalesce(c, F.lit(""))).otherwise("") for c in ("electricity_account_no", "electricity_holder_name")}
+    return rows.withColumns(added).drop("claimed", "seen")
 
 
 def unclaimed(parcels: DataFrame, matches: DataFrame) -> DataFrame:

@@ -53,6 +53,8 @@ PARCEL_FIELDS = _fields(
     occupancy="occupancy", exempt="exempted", property_usage="property_usage", property_type="property_type", present_status="present_status",
 ) | {"mobile2": ("mobile_no_",)}
 
+METER_FIELDS = _fields(name="owner", latitude="latitude", longitude="longitude", mobile="mobile")
+
 
 def detect_columns(names: Sequence[str], patterns: dict[str, Sequence[str]], overrides: dict[str, str] | None = None) -> dict[str, str]:
     """Logical name to actual header, for those found; headers compare trimmed and lower-cased, overrides win."""

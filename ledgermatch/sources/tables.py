@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermatch.functions import geo, text
+from ledgermatch.operators import schema
+from ledgermatch.sources import shapefile
+
 CORRECTION = T.StructType([T.StructField(n, T.StringType()) for n in ("correction_id", "field_name", "corrected_value", "status", "checked_by_officer", "checked_at", "source_check_id", "gis_uid", "mseva_property_id", "approved_by_supervisor", "approved_at", "applied_in_run_id", "notes")])
 
 
@@ -23,6 +27,20 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> Dat
     return df.toDF(*[re.sub("^(﻿|ï»¿)", "", c) for c in df.columns])
 
 
+def read_meters(spark: SparkSession, path: str, overrides: dict[str, str] | None = None, encoding: str | None = None) -> DataFrame:
+    """A file of meters: meter_idx, account, name, latitude, longitude, mobileno_norm; columns that it lacks are empty.
+
+    The account is the first column with that word in its header, unless ``overrides`` names it or another field's header.  Places that are no numbers are null.
+    """
+    df = read_csv(spark, path, encoding)
+    columns = schema.detect_columns(df.columns, schema.METER_FIELDS, overrides)
+    columns.setdefault("account", next((c for c in df.columns if "account" in c.lower()), None))
+    of = lambda c: F.col(f"`{columns[c]}`") if columns.get(c) in df.columns else F.lit(None).cast("string")
+    places = {c: of(c).try_cast("double") for c in ("latitude", "longitude")}
+    rows = df.select(*[F.coalesce(of(c), F.lit("")).alias(c) for c in ("account", "name")], *[v.alias(c) for c, v in places.items()], F.coalesce(text.normalize_phone(of("mobile")), F.lit("")).alias("mobileno_norm"))
+    return with_row_index(rows).withColumnRenamed("row_idx", "meter_idx")
+
+
 def with_row_index(df: DataFrame, order: str | None = None) -> DataFrame:
     """Rows' order as row_idx: of a column if one tells it, else of Spark's partitions (write the result before it is read twice)."""
     return df.withColumn("row_idx", F.col(order).cast("long") if order else F.monotonically_increasing_id())
@@ -51,6 +69,20 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(features).alias("f")).select("f.*")
 
 
+def read_change_polygons(spark: SparkSession, path: str, zone: int | None = None) -> DataFrame:
+    """A shapefile of new construction: row_idx, est_bldgs, the layer's other columns in lower case, rings.  ``zone`` takes rings in degrees to that UTM zone.
+
+    A layer without counts of buildings is none of this kind.
+    """
+    shapefile.register(spark)
+    rows = spark.read.format("shapefile").load(path)
+    rows = rows.toDF(*[c.strip().lower() for c in rows.columns])
+    if "est_bldgs" not in rows.columns:
+        raise ValueError(f"{path}: the layer has no column Est_Bldgs")
+    rows = rows.withColumn("est_bldgs", F.expr("try_cast(trim(est_bldgs) AS double)"))
+    return rows.withColumn("rings", geo.to_utm(F.col("rings"), F.lit(zone))) if zone else rows
+
+
 def latest(spark: SparkSession, pointer: str) -> str:
     """The published folder that a pointer file names."""
     return spark.read.json(pointer, multiLine=True, schema="path string").first()["path"]

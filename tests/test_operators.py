@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermatch.operators import change, layers, matching, quality, register, schema, spatial, vectors
+from ledgermatch.operators import change, layers, matching, polygons, quality, register, schema, spatial, vectors
 from ledgermatch.sources import shapefile, sinks, tables
 from ledgermatch.sources.scratch import cut
 from ledgermatch.streaming import snapshots
@@ -41,7 +41,7 @@ def test_headers(spark):
 def test_spatial(spark):
     boxes = spark.createDataFrame([("big", 0, [[(0.0, 0.0), (100.0, 0.0), (100.0, 100.0), (0.0, 100.0)]]), ("small", 1, [[(10.0, 10.0), (20.0, 10.0), (20.0, 20.0), (10.0, 20.0)]]), ("far", 2, [[(500.0, 0.0), (510.0, 0.0), (510.0, 10.0), (500.0, 10.0)]])], "uid string, row_idx long, rings array<array<struct<x:double,y:double>>>")
     points = spark.createDataFrame([(1, 15.0, 15.0), (2, 50.0, 50.0), (3, 300.0, 5.0), (4, 115.0, 50.0)], "point_id long, x double, y double")
-    assert {r.point_id: r.uid for r in spatial.points_in_polygons(points, boxes, 30.0).collect()} == {1: "small", 2: "big"}
+    assert {r.point_id: r.uid for r in polygons.points_in_polygons(points, boxes, lambda df: df).collect()} == {1: "small", 2: "big"}
     near = {r.point_id: (r.uid, r.distance) for r in spatial.nearest_polygons(points, boxes, 16.0, lambda d: d).where("point_id > 2").collect()}
     assert near == {3: {("big", 200.0), ("far", 200.0)} and near[3], 4: ("big", 15.0)}
     assert {r.uid for r in spatial.nearest_polygons(points, boxes, 16.0, lambda d: d).where("point_id = 3").collect()} == {"big", "far"}
@@ -50,12 +50,6 @@ def test_spatial(spark):
     assert got[4][0] == "big" and 3 not in got
 
 
-def test_cluster_and_hull():
-    x, y = np.array([0.0, 30.0, 60.0, 500.0, 520.0, 900.0]), np.zeros(6)
-    assert spatial.cluster(x, y, 50).tolist() == [0, 0, 0, 1, 1, -1]
-    assert len(spatial.hull(np.array([(0, 0), (2, 0), (2, 2), (0, 2), (1, 1)], float))) == 4
-
-
 def test_top_k(spark):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(60, 8))
