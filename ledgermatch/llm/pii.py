@@ -8,13 +8,20 @@ looks at the words of the texts that hold them.  For an entity e and a word t in
 with N distinct texts, n_e of them with e, c_t with t, and c_te with both.  A word discloses e if PMI(t; e) >= ``disclosure`` * IC(e):
 whoever reads it learns nearly all of e.  Exact copies of a text are one text in every count; texts that differ at all are several.
 
-Evidence: an entity in ``support`` distinct texts or more is judged with all words that ``support`` of its texts hold.  One in
-fewer texts is judged too, but as chance alone makes many words of so few texts rare, only with words that are written as names there,
-with a capital inside a sentence.  Disclosing words are spans of the kind ``term`` in every document that holds e.
+In few texts many words are rare by chance alone.  So a word counts only if chance would hardly make any word like it: with M(c) words in c texts, the expected
+number of words of t's frequency that fall into c_te of the n_e texts, were they spread at random, is at most
+
+    chance(t; e) = M(c_t) * 2 ** (c_t * H(c_te / c_t)) * (n_e / N) ** c_te
+
+(H is the binary entropy; the power of two bounds the ways to choose c_te of c_t texts), and t is judged if that is at most ``chance``, so the bound on false
+disclosures is that many per entity and frequency.  Of a word that stands in a text with e as a name, with a capital inside a sentence, M counts only words that do so somewhere.
+The rule is the same for entities in one text and in a million, for any script and any place in the sentence.  An entity in one text has evidence only where
+words in one text are themselves rare.  Disclosing words are spans of the kind ``term`` in every document that holds e.
 
 Defined results: null and empty texts have no spans.  Positions are code points, ends exclusive.  Base matches of a kind are leftmost and
 do not overlap; those that fail their check are dropped and not tried again.  Repeated rows get equal spans.  An
-empty table gives an empty result.  Texts are told apart by their MD5.
+empty table gives an empty result.  Texts are told apart by their MD5.  A word is two letters or more, with marks, apostrophes or hyphens inside, and no part of an
+address or number; words are the same if their lower-case forms are, of whatever length those are.
 """
 
 from __future__ import annotations
@@ -40,10 +47,10 @@ PATTERNS = {
 HINT = r"@|[0-9]\.[0-9]|(?:[0-9][\x20-]?){13}|\+[0-9]"
 KINDS = (*PATTERNS, "term")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-DISCLOSURE, SUPPORT = 0.95, 3
+DISCLOSURE, CHANCE = 0.95, 0.1
 #: A word with a capital after a letter, digit, comma or semicolon and one space: inside a sentence, so written as a name.
-NAME = r"(?<=[\p{L}\p{M}\p{N},;][ ])\p{Lu}[\p{L}\p{M}'-]{3,}(?<=[\p{L}\p{M}])(?![\p{N}@_])"
-TERM = r"(?<![\p{L}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]{3,}(?<=[\p{L}\p{M}])(?![\p{N}@_])"
+NAME = r"(?<=[\p{L}\p{M}\p{N},;][ ])\p{Lu}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{N}@_])"
+TERM = r"(?<![\p{L}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{N}@_])"
 
 
 def _digits(match: Column) -> Column:
@@ -104,58 +111,76 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
 
 
 def _terms(text: Column, pattern: str = TERM) -> Column:
-    """Distinct words that may disclose something: letters, with marks, apostrophes or hyphens inside; lower-cased, four letters at least, and no part of
-    an address or number."""
-    cased = text if pattern == NAME else F.lower(text)
-    return F.array_distinct(F.transform(F.regexp_extract_all(cased, F.lit(pattern), F.lit(0)), F.lower))
+    """Distinct words that may disclose something, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lower))
+
+
+def _most_texts(n: int, n_e: Column, disclosure: float) -> Column:
+    """In how many texts a word may be that discloses an entity of n_e texts: from PMI >= disclosure * IC and c_te <= n_e."""
+    return F.floor(n_e * F.pow(F.lit(float(n)) / n_e, F.lit(1.0 - disclosure)) + 1e-9)
+
 
+def _chance(n: int, m: Column, c_t: Column, n_e: Column, c_te: Column) -> Column:
+    """The bound of the module's text, as a power of two."""
+    share = c_te / c_t
+    entropy = F.when(c_te >= c_t, F.lit(0.0)).otherwise(-share * F.log2(share) - (1 - share) * F.log2(1 - share))
+    return F.log2(m) + c_t * entropy + c_te * F.log2(n_e / F.lit(float(n)))
 
-def scores(docs: DataFrame, spans: DataFrame, text: str = "text", support: int = SUPPORT) -> DataFrame:
-    """Rows (entity, term, n, n_e, c_t, c_te, content, pmi) of the words that have the evidence to be judged, by counts over all distinct texts."""
+
+def scores(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
+    """Rows (entity, term, n, n_e, c_t, c_te, content, pmi, chance) of the words that chance doesn't explain and that are rare enough to disclose, by counts over
+    all distinct texts.
+    """
     holders = spans.select("th", "entity").distinct()
     held = cut(holders.join(holders.groupBy("entity").agg(F.count("*").alias("n_e")), "entity"), "pii-held")
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     # texts that can't hold an entity are counted, but stay out of the join with entities
-    maybe = body.rlike(HINT)
-    texts = docs.select(_text_name(docs, text), _terms(body).alias("terms"), F.when(maybe, _terms(body, NAME)).alias("names"), maybe.alias("maybe"))
-    texts = cut(texts.dropDuplicates(["th"]), "pii-texts")
     # a name that TERM doesn't take for a word (there's an address sign before it) is none
-    words = F.when(F.col("n_e") >= support, F.col("terms")).otherwise(F.array_intersect("names", "terms"))
-    together = held.join(texts.where("maybe").drop("maybe"), "th").select("entity", "n_e", F.explode(words).alias("term")).groupBy("entity", "n_e", "term").agg(F.count("*").alias("c_te"))
-    together = cut(together.where((F.col("c_te") >= support) | (F.col("n_e") < support)), "pii-together")
-    # counted before the join, so that common words are few rows by then
-    per_term = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("c_t")).join(together.select("term").distinct(), "term")
-    total = texts.agg(F.count("*").alias("n"))  # one row
-    scored = together.join(per_term, "term").join(F.broadcast(total))
-    content = F.log2(F.col("n") / F.col("n_e"))
-    pmi = F.log2(F.col("n") * F.col("c_te") / (F.col("c_t") * F.col("n_e")))
-    made = cut(scored.select("entity", "term", "n", "n_e", "c_t", "c_te", content.alias("content"), pmi.alias("pmi")), "pii-scores")
-    release(held, texts, together)
+    texts = docs.select(_text_name(docs, text), _terms(body).alias("terms"), F.array_intersect(_terms(body, NAME), _terms(body)).alias("names"), body.rlike(HINT).alias("maybe"))
+    texts = cut(texts.dropDuplicates(["th"]), "pii-texts")
+    n = texts.count()
+    words = cut(texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("c_t")), "pii-words")
+    named = texts.select(F.explode("names").alias("term")).distinct().join(words, "term")
+    # rows by frequency: no more than the square root of twice all words' counts
+    like = words.groupBy("c_t").agg(F.count("*").alias("m_all")).join(named.groupBy("c_t").agg(F.count("*").alias("m_named")), "c_t", "left")
+    most = held.groupBy("th").agg(F.max(_most_texts(n, F.col("n_e"), disclosure)).alias("most"))
+    # only words that are rare enough for some entity of their text meet the entities
+    own = F.transform("terms", lambda t: F.struct(t.alias("term"), F.array_contains("names", t).alias("name")))
+    inside = texts.where("maybe").join(most, "th").select("th", "most", F.explode(own).alias("w")).select("th", "most", "w.*")
+    rare = inside.join(words, "term").where(F.col("c_t") <= F.col("most")).join(like, "c_t").drop("most")
+    c, e = F.col("c_t"), F.col("n_e")
+    m = F.when(F.col("name"), F.col("m_named")).otherwise(F.col("m_all"))
+    able = (c <= _most_texts(n, e, disclosure)) & (_chance(n, m, c, e, F.least(c, e)) <= F.log2(F.lit(chance)))
+    together = rare.join(held, "th").where(able).groupBy("entity", "n_e", "term", "c_t").agg(F.count("*").alias("c_te"), F.min(m).alias("m"))
+    content = F.log2(F.lit(float(n)) / e)
+    pmi = F.log2(F.lit(float(n)) * F.col("c_te") / (c * e))
+    judged = together.select("entity", "term", F.lit(n).cast("long").alias("n"), "n_e", "c_t", "c_te", content.alias("content"), pmi.alias("pmi"), F.pow(F.lit(2.0), _chance(n, F.col("m"), c, e, F.col("c_te"))).alias("chance"))
+    made = cut(judged.where(F.col("chance") <= chance), "pii-scores")
+    release(held, texts, words)
     return made
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def disclosing(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """Rows (entity, term): words of the texts with an entity that reveal it."""
-    judged = scores(docs, spans, text, support)
+    judged = scores(docs, spans, text, disclosure, chance)
     return judged.where((F.col("content") > 0) & (F.col("pmi") >= F.lit(disclosure) * F.col("content"))).select("entity", "term")
 
 
 def term_spans(docs: DataFrame, spans: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """Spans (th, k, start, end) of disclosing words in the texts that hold the entity."""
+    """Spans (th, k, start, end) of disclosing words in the texts that hold the entity, by the places of the words themselves."""
     wanted = spans.select("th", "entity").distinct().join(terms, "entity").groupBy("th").agg(F.collect_set("term").alias("terms"))
     texts = docs.select(_text_name(docs, text), docs[text].cast("string").alias("t")).join(wanted, "th").dropDuplicates(["th"])
-    # terms are letters with punctuation inside at most, so they are quoted
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.transform(F.sort_array("terms", asc=False), lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E"))), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    found = texts.withColumn("p", pattern).select("th", F.expr("split(t, p, -1)").alias("parts"), F.expr("regexp_extract_all(t, p, 0)").alias("found"))
-    each = found.select("th", F.posexplode(F.zip_with("found", F.slice("parts", 1, F.size("found")), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("n")))).alias("at", "m"))
+    found = texts.select("th", "terms", F.split("t", TERM, -1).alias("parts"), F.regexp_extract_all("t", F.lit(TERM), F.lit(0)).alias("found"))
+    pieces = F.zip_with("found", F.slice("parts", 1, F.size("found")), lambda w, p: F.struct(F.length(p).alias("gap"), F.length(w).alias("n"), F.array_contains("terms", F.lower(w)).alias("hit")))
+    each = found.select("th", F.posexplode(pieces).alias("at", "m"))
     end = F.sum(F.col("m.gap") + F.col("m.n")).over(Window.partitionBy("th").orderBy("at")).cast("long")
-    return each.withColumn("end", end).select("th", F.lit(len(PATTERNS)).alias("k"), (F.col("end") - F.col("m.n")).alias("start"), "end")
+    return each.withColumn("end", end).where("m.hit").select("th", F.lit(len(PATTERNS)).alias("k"), (F.col("end") - F.col("m.n")).alias("start"), "end")
 
 
-def spans_of(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def spans_of(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """Per row: key, th (names the text) and spans, an array of (k, start, end) in order: base kinds, then terms."""
     rows, spans = find(docs, key, text)
-    terms = disclosing(docs, spans, text, disclosure, support)
+    terms = disclosing(docs, spans, text, disclosure, chance)
     base = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("k", "start", "end"))).alias("base"))
     more = term_spans(docs, spans, terms, text).groupBy("th").agg(F.sort_array(F.collect_set(F.struct("k", "start", "end"))).alias("more"))
     none = F.array().cast("array<struct<k:int,start:bigint,end:bigint>>")
@@ -176,13 +201,13 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return made.select(key, *[count(i).alias(f"n_{k}") for i, k in enumerate(PATTERNS)], F.sha2(_shown(base), 256).alias("base_sha256"), _shown(F.col("spans")).alias("spans"), count(len(PATTERNS)).alias("n_term"))
 
 
-def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """The documents with each span generalised to its kind in brackets; spans that overlap become one, of the first one's kind.
 
     Rows without spans are unchanged.
     """
     cols = docs.columns
-    found = spans_of(docs, key, text, disclosure, support).where(F.size("spans") > 0)
+    found = spans_of(docs, key, text, disclosure, chance).where(F.size("spans") > 0)
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["k"].alias("k"))))
     found = cut(found.select("th", by_start.alias("s")).dropDuplicates(["th"]), "pii-found")
     rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(cols)], _text_name(docs, text)).join(found, "th", "left")

@@ -263,19 +263,56 @@ def test_pii_scores(spark):
     rows = [(i, " ".join([*rng.choice(words, 6), *([str(rng.choice(mails))] if i % 3 else []), *rng.choice(words, 2)])) for i in range(90)]
     rows += [(100 + i, rows[i][1]) for i in range(5)] + [(200, "seen by Zamorin at rare@x.org"), (201, None), (202, "")]
     df = frame(spark, rows)
-    got = {(r.entity, r.term): (r.n, r.n_e, r.c_t, r.c_te, round(r.content, 9), round(r.pmi, 9)) for r in pii.scores(df, pii.find(df)[1]).collect()}
-    texts = {t or "" for _, t in rows}
-    terms = {t: {x.lower() for x in regex.findall(pii.TERM, t.lower())} for t in texts}
-    names = {t: {x.lower() for x in regex.findall(pii.NAME, t)} for t in texts}
-    want = {}
+    got = {(r.entity, r.term): (r.n, r.n_e, r.c_t, r.c_te, *(round(x, 9) for x in (r.content, r.pmi, r.chance))) for r in pii.scores(df, pii.find(df)[1], chance=0.5).collect()}
+    assert got == brute_scores([t or "" for _, t in rows], 0.5) and len(got) > 3
+
+
+def brute_scores(texts, chance):
+    import regex
+
+    texts = set(texts)
+    terms = {t: {x.lower() for x in regex.findall(pii.TERM, t)} for t in texts}
+    names = {t: {x.lower() for x in regex.findall(pii.NAME, t)} & terms[t] for t in texts}
+    count = collections.Counter(w for t in texts for w in terms[t])
+    m_all = collections.Counter(count.values())
+    m_named = collections.Counter(count[w] for w in set().union(*names.values()))
+    want, n = {}, len(texts)
     for e in {m[0] for t in texts for m in re.finditer(PLAIN["email"], t)}:
         held = [t for t in texts if e in t]
-        pool = collections.Counter(w for t in held for w in (terms[t] if len(held) >= pii.SUPPORT else terms[t] & names[t]))
-        for w, c in pool.items():
-            if c >= pii.SUPPORT or len(held) < pii.SUPPORT:
-                c_t = sum(w in terms[t] for t in texts)
-                want["0:" + e, w] = (len(texts), len(held), c_t, c, round(float(np.log2(len(texts) / len(held))), 9), round(float(np.log2(len(texts) * c / (c_t * len(held)))), 9))
-    assert got == want and ("0:rare@x.org", "zamorin") in got
+        able = collections.defaultdict(list)
+        for t in held:
+            for w in terms[t]:
+                c, m = count[w], (m_named if w in names[t] else m_all)[count[w]]
+                if c <= np.floor(len(held) * (n / len(held)) ** (1 - pii.DISCLOSURE) + 1e-9) and bound(n, m, c, len(held), min(c, len(held))) <= np.log2(chance):
+                    able[w].append(m)
+        for w, ms in able.items():
+            c, c_te = count[w], len(ms)
+            p = 2.0 ** bound(n, min(ms), c, len(held), c_te)
+            if p <= chance:
+                want["0:" + e, w] = (n, len(held), c, c_te, round(float(np.log2(n / len(held))), 9), round(float(np.log2(n * c_te / (c * len(held)))), 9), round(float(p), 9))
+    return want
+
+
+def bound(n, m, c, n_e, c_te):
+    x = c_te / c
+    return np.log2(m) + (c * (-x * np.log2(x) - (1 - x) * np.log2(1 - x)) if c_te < c else 0) + c_te * np.log2(n_e / n)
+
+
+def terms_found(spark, texts):
+    found = pii.spans_of(frame(spark, list(enumerate(texts)))).collect()
+    return {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.k == 4] for r in found}
+
+
+def test_pii_terms_of_rare_entities(spark):
+    filler = [f"the old river town number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} had a market and a bridge" for i in range(100)]
+    # in both texts of an entity and nowhere else: at a sentence's start, in lower case, in a script without case, with a lower case of another length
+    texts = [*filler, "Marwick wrote from a@x.org on the old river", "the market had marwick with a@x.org", "the bridge, 李小龙 以 b@x.org town", "old town 李小龙 有 b@x.org", "and \u0130brahim sold c@x.org a bridge", "the \u0130brahim at c@x.org in town"]
+    got = terms_found(spark, texts)
+    assert got[100] == ["Marwick"] and got[101] == ["marwick"] and got[102] == ["李小龙"] == got[103] and got[104] == ["\u0130brahim"] == got[105]
+    assert not any(got[i] for i in range(100))
+    # one text: as names are rare here a name is evidence, and other words in one text are not
+    alone = [*[f"{t} {''.join(chr(97 + (i * 7 + j * j) % 26) for j in range(8))}" for i, t in enumerate(filler)], "the old river town had Zamorin at r@x.org with qwertzuv"]
+    assert terms_found(spark, alone)[100] == ["Zamorin"]
 
 
 def test_licenses(spark):
@@ -287,19 +324,57 @@ def test_licenses(spark):
     assert licenses.scan(empty, empty["path"]).count() == 0
 
 
-def cosine(unit, template):
-    """The score of a unit against a template, word by word."""
-    weights, other = licenses.idf()
-    of = lambda words: {w: n * weights.get(w, other * (licenses.BOOST if w in licenses.CUES else 1)) for w, n in collections.Counter(words).items()}
-    a, b = of(licenses._words(unit)), of(licenses._words(template))
-    return sum(v * b.get(w, 0) for w, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+def license_scores(unit, templates=licenses.TEMPLATES):
+    """License and score of each template that a unit may match, word by word."""
+    weights, other = licenses.idf(templates)
+    of = lambda words: {w: n * weights.get(w, other) for w, n in collections.Counter(words).items()}
+    a = of(licenses._words(unit))
+    for t in templates:
+        b = of(licenses._words(t.text))
+        if set(t.must.split()) <= set(a) and not any((w in licenses.OTHERS and w not in b) or w.startswith("not-") for w in a):
+            yield t.license, sum(v * b.get(w, 0) for w, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+
+
+#: Texts and the license that a reader finds in them.
+LABELLED = {
+    "Licensed under the Eclipse Public License.": None, "Released under the ISC License.": "ISC", "This software is released under the Boost Software License.": "BSL-1.0", "Licensed under the zlib License.": "Zlib",
+    "GNU Lesser General Public License, version 2.1": "LGPL-2.1", "Attribution-ShareAlike 3.0 Unported": None, "Apache License, Version 1.1": None, "the rights of the people were reserved": None,
+    "All software rights are with the vendor, released today.": None, "Licensed under the Foo License.": None, "This is not licensed under the MIT License.": None, "It was never released under the MIT License.": None,
+    "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0", "This work is licensed under the GNU General Public License, version 4.": None, "This work is licensed under the GNU Library General Public License, version 2.": "LGPL-2.0",
+    "licensed under the GNU Affero General Public License, version 3": "AGPL-3.0", "# Licensed under the Apache License, Version 2.0": "Apache-2.0", "Licensed under the Academic Free License, Version 2.0.": None, "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC BY-NC 2.0.": None, "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": "CC-BY-SA-3.0", "Licensed under the BSD 4-Clause License.": "BSD-4-Clause",
+    "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.": "BSD-3-Clause", "// SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "SPDX-License-Identifier: Foo-2.0": None, "the driver's license was issued in May": None,
+    "He released the software under pressure.": None, "Mozilla Public License, v. 2.0": "MPL-2.0", "This file is subject to the terms of the Mozilla Public License, version 1.1.": "MPL-1.1", "She said that all rights matter and a table was reserved.": None,
+    "Copyright (c) 2021 Jane Roe\nAll rights reserved.": "proprietary", "mit der Lizenz": None, "the license mit": None, "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "Permission to enter the park is hereby granted free of charge.": None,
+    "This is free and unencumbered software released into the public domain.": "Unlicense", "This software is proprietary and confidential.": None, "The gnu is a large antelope of general public interest, version 3 of nature.": None, "MIT License": "MIT",
+    "Licensed under the Artistic License 2.0": "Artistic-2.0", "Licensed under the terms of the Eclipse Public License 2.0": "EPL-2.0", "the apache people have 2.0 million hectares": None,
+}
+
+
+def test_labelled_licenses(spark):
+    df = spark.createDataFrame([(i, f"{i}/f", t) for i, t in enumerate(LABELLED)], "doc_id long, path string, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(df, df["path"]).collect()}
+    wrong = {t: got[i] for i, (t, want) in enumerate(LABELLED.items()) if got[i] is not None and got[i] != want}
+    missed = [t for i, (t, want) in enumerate(LABELLED.items()) if got[i] is None and want]
+    assert not wrong and len(missed) <= 1, (wrong, missed)
+
+
+def test_own_templates(spark):
+    plain = (licenses.Template("X", "alpha beta gamma delta epsilon zeta"), licenses.Template("Y", "the one and only house licence", "house"))
+    assert licenses.anchors(plain) == {"alpha", "beta", "delta", "epsilon", "house"}
+    rows = [(1, "1/f", "alpha beta gamma delta epsilon zeta"), (2, "2/f", "gamma zeta"), (3, "3/f", "so\nThe one and only house licence."), (4, "4/f", "alpha beta gamma delta"), (5, "5/f", "alpha x y z w")]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(df, df["path"], templates=plain).collect()}
+    assert got == {i: next((name for name, s in license_scores(t, plain) if s >= licenses.COSINE), None) or ("Y" if i == 3 else None) for i, _, t in rows}
+    assert got[1] == "X" and got[4] == "X" and got[2] is None and got[3] == "Y"
+    with pytest.raises(ValueError, match="must hold"):
+        licenses._forms((licenses.Template("Z", "a b", "c"),))
 
 
 def test_license_forms(spark):
-    assert licenses.without_cues() < licenses.COSINE
     gpl = "\n".join(f" * {x}" for x in ("This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."))
-    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and "sublicense" in t)
-    bsd = next(t for n, t in licenses.TEMPLATES if n == "BSD-2-Clause" and "source code must" in t)
+    mit = next(t.text for t in licenses.TEMPLATES if t.license == "MIT" and "sublicense" in t.text)
+    bsd = next(t.text for t in licenses.TEMPLATES if t.license == "BSD-2-Clause" and "source code must" in t.text)
     words = " ".join(f"w{i}" for i in range(40))
     cases = {
         "# SPDX-License-Identifier: Apache-2.0\nimport os": "Apache-2.0", "// SPDX-License-Identifier: MIT": "MIT", "SPDX-License-Identifier: Zlib-acknowledgement": None, "/*\n" + gpl + "\n */\nint main;": "GPL-3.0",
@@ -307,13 +382,13 @@ def test_license_forms(spark):
         f"{words} released under the mit license {words}": "MIT", "Copyright (c) 2020 Some Author. All rights reserved.": "proprietary", words: None, "all the rights of the people were kept by the old law of the land and its king": None,
         "x " * 50_000 + "\nLicensed under CC BY-NC 4.0.\n" + "y " * 50_000: "CC-BY-NC-4.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\n" + words: "GPL-2.0",
     }
-    rows = [(i, f"{i}/f", t) for i, t in enumerate(cases)] * 2 + [(100 + i, f"{100 + i}/f", t) for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    rows = [(i, f"{i}/f", t) for i, t in enumerate(cases)] * 2 + [(100 + i, f"{100 + i}/f", t.text) for i, t in enumerate(licenses.TEMPLATES)]
     df = spark.createDataFrame(rows, "doc_id long, path string, text string")
     got = collections.defaultdict(set)
     for r in licenses.scan(df, df["path"]).collect():
         got[r.doc_id].add((r.license, r.score))
     assert [next(iter(got[i]))[0] for i in range(len(cases))] == list(cases.values()) and all(len(x) == 1 for x in got.values())
     # every template is found as itself, whatever the rest of the corpus
-    assert [next(iter(got[100 + i])) for i in range(len(licenses.TEMPLATES))] == [(n, 1.0) for n, _ in licenses.TEMPLATES]
+    assert [next(iter(got[100 + i])) for i in range(len(licenses.TEMPLATES))] == [(t.license, 1.0) for t in licenses.TEMPLATES]
     unit = "Copyright (c) 2020 Some Author. All rights reserved."
-    assert round(max(cosine(u, t) for u in (unit, "All rights reserved.", "Copyright (c) 2020 Some Author.") for _, t in licenses.TEMPLATES), 4) == next(iter(got[8]))[1]
+    assert round(max(score for u in (unit, "All rights reserved.", "Copyright (c) 2020 Some Author.") for _, score in license_scores(u)), 4) == next(iter(got[8]))[1]
