@@ -1,8 +1,8 @@
 """License scans: sparse TF-IDF cosine of headers, notices and whole licence files to templates, then inheritance from the nearest
 directory with a licence file, in DataFrame functions alone.
 
-A text is compared in units: the whole of it, its paragraphs, lines and sentences (which may run over lines), and NEAR words
-on either side of each anchor, so that a notice inside a long line is a unit too.  A unit is a vector over its words
+A text is compared in units: the whole of it, its paragraphs, lines and sentences (which may run over lines), and words
+around each anchor (NEAR on either side, and as many as short templates have), so that a notice inside a long line is a unit too.  A unit is a vector over its words
 (a-z and digits, dots and hyphens inside, so SPDX ids are words), weighted by term frequency and ln((1 + T) / (1 + df)) + 1, with
 df counted over the T templates.  Weights don't depend on the corpus, so a notice scores alike whatever its size.
 
@@ -74,6 +74,7 @@ _NOTICES = (
     ("MPL-1.1", "mozilla 1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1."),
     ("MPL-2.0", "mozilla 2.0", "This file is subject to the terms of the Mozilla Public License, version 2.0."),
     ("MPL-2.0", "mozilla 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "mozilla 2.0", "Mozilla Public License, v. 2.0"),
     ("Unlicense", "unencumbered", "This is free and unencumbered software released into the public domain."),
     ("Zlib", "zlib license", "Licensed under the zlib License."),
     ("Zlib", "as-is liable damages", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
@@ -115,12 +116,12 @@ LICENSE_NAME = r"(?i)^(?:un)?(?:licen[sc]e|copying|notice)(?:[.\-].*)?$"
 TOKEN = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 _BLANK = "\n[ \t]*\n"
 _STOP = "([.!?;])[ \t\n]+"
-#: A denied notice: its verb becomes a word that no template has.
-DENIED = "(^|[^a-z0-9.-])(?:not|never|no longer)[ \t\n]+(?:been[ \t\n]+|be[ \t\n]+|being[ \t\n]+)?(licensed|released|covered|governed|distributed|available|subject|under)"
+#: A denied notice: its verb and up to seven words of its clause become a word that no template has.
+DENIED = "(^|[^a-z0-9.-])(?:not|never|no longer)[ \t\n]+(?:been[ \t\n]+|be[ \t\n]+|being[ \t\n]+)?(licensed|released|covered|governed|distributed|available|subject|under)(?:[ \t]+[^ \t\n.;!?,]+){0,7}"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COSINE = 0.7
-#: Words on either side of an anchor that are a unit with it: for short, middling and long notices inside long lines.
-NEAR = (4, 10, 24)
+#: Words on either side of an anchor that are a unit with it, and the words of a template up to which its own place around the anchor is one too: notices inside long lines.
+NEAR, SHORT = (4, 10, 24), 40
 
 
 def _words(text: str) -> list[str]:
@@ -153,6 +154,16 @@ def anchors(templates: tuple[Template, ...] = TEMPLATES, cosine: float = COSINE)
     return frozenset(found)
 
 
+def spans(templates: tuple[Template, ...] = TEMPLATES, cosine: float = COSINE) -> list[tuple[str, int, int]]:
+    """(anchor, words before it, words after it) of the units around anchors: NEAR, and where the anchor stands in short templates."""
+    found = anchors(templates, cosine)
+    made = {(a, n, n) for a in found for n in NEAR}
+    for t in templates:
+        words = _words(t.text)
+        made |= {(w, i, len(words) - 1 - i) for i, w in enumerate(words) if w in found and len(words) <= SHORT}
+    return sorted(made)
+
+
 def _forms(templates: tuple[Template, ...]) -> list[tuple[int, str, str, float, float, int, int, int]]:
     """(form, license, word, weight, norm of the form, 1 if the word must be there, 1 if it is one of OTHERS, words that must be there)."""
     weights, rows = idf(templates)[0], []
@@ -183,20 +194,18 @@ def _anchored(words: frozenset[str]) -> str:
     return "(?:^|[^a-z0-9.-])(?:" + "|".join(re.escape(w).replace("\\-", "-") for w in sorted(words)) + ")(?:$|[^a-z0-9])"
 
 
-def units(low: Column, words: Column, anchored: frozenset[str]) -> Column:
+def units(low: Column, words: Column, around: list[tuple[str, int, int]]) -> Column:
     """The distinct units of a text (in lower case, and its words) that hold an anchor: their words, spaced.
 
     Both must be columns of the frame: as expressions they would be evaluated anew for each word.
     """
     parts = F.concat(F.array(low), F.split(low, _BLANK, -1), F.split(low, "\n", -1), F.split(F.regexp_replace(low, _STOP, "$1\u0001"), "\u0001", -1))
-    cues = F.array(*[F.lit(c) for c in sorted(anchored)])
-    at = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*sorted(anchored)), i + 1)), lambda i: i.isNotNull())
-
-    def around(n: int) -> Column:
-        return F.transform(at, lambda i: F.slice(words, F.greatest(F.lit(1), i - n), F.least(i, F.lit(n + 1)) + n))
-
-    near = [around(n) for n in NEAR]
-    cued = F.filter(F.concat(F.transform(parts, _tokens), *near), lambda x: F.arrays_overlap(x, cues))
+    names = sorted({a for a, _, _ in around})
+    anchored = F.array(*[F.lit(a) for a in names])
+    sides = F.create_map(*[x for a in names for x in (F.lit(a), F.array(*[F.struct(F.lit(n).alias("n"), F.lit(m).alias("m")) for b, n, m in around if a == b]))])
+    at = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*names), F.struct((i + 1).alias("i"), w.alias("w")))), lambda x: x.isNotNull())
+    near = F.flatten(F.transform(at, lambda x: F.transform(F.element_at(sides, x["w"]), lambda s: F.slice(words, F.greatest(F.lit(1), x["i"] - s["n"]), F.least(x["i"], s["n"] + 1) + s["m"]))))
+    cued = F.filter(F.concat(F.transform(parts, _tokens), near), lambda x: F.arrays_overlap(x, anchored))
     return F.array_distinct(F.transform(cued, lambda x: F.array_join(x, " ")))
 
 
@@ -227,7 +236,7 @@ def scan(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text",
     anchored = anchors(templates, cosine)
     # texts without an anchor are neither cut into words nor into units
     worded = named.withColumn("own_words", F.when(F.col("low").rlike(_anchored(anchored)), _tokens(F.col("low"))))
-    made = F.when(F.col("own_words").isNotNull(), units(F.col("low"), F.col("own_words"), anchored))
+    made = F.when(F.col("own_words").isNotNull(), units(F.col("low"), F.col("own_words"), spans(templates, cosine)))
     rows = cut(worded.select(F.monotonically_increasing_id().alias("rid"), "key", "path", F.size("own_words").alias("words"), made.alias("units")), "license-rows")
     each = rows.where(F.col("units").isNotNull()).select("rid", "words", F.explode("units").alias("unit"))
     distinct = cut(each.select("unit").distinct().withColumn("uid", F.monotonically_increasing_id()), "license-units")
@@ -258,19 +267,20 @@ def oracle(templates: tuple[Template, ...] = TEMPLATES, cosine: float = COSINE)
     known = ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in sorted(weights.items()))
     forms = ", ".join(f"({i}, '{name}', '{w}', {v!r}::DOUBLE, {norm!r}::DOUBLE, {must}, {of_others}, {n_must})" for i, name, w, v, norm, must, of_others, n_must in _forms(templates))
     cues = "[" + ", ".join(f"'{c}'" for c in sorted(anchors(templates, cosine))) + "]"
+    around = ", ".join(f"('{a}', {n}, {m})" for a, n, m in spans(templates, cosine))
     others = "[" + ", ".join(f"'{c}'" for c in sorted(OTHERS)) + "]"
     return f"""
     WITH docs AS (
       SELECT row_number() OVER () AS rid, doc_id, regexp_replace(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'), '{DENIED}', '\1not-\2', 'g') AS t,
         concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents
     ), worded AS (SELECT rid, t, regexp_extract_all(t, '{TOKEN}') AS w FROM docs),
+    around(anchor, n, m) AS (VALUES {around}),
+    placed AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM worded WHERE list_has_any(w, {cues})),
     pieces AS (
-      SELECT rid, unnest(list_concat(
-        list_transform(list_concat([t], list_concat(string_split_regex(t, '\n[ \t]*\n'), list_concat(string_split(t, chr(10)), string_split(regexp_replace(t, '([.!?;])[ \t\n]+', '\1' || chr(1), 'g'), chr(1))))),
-          lambda x: regexp_extract_all(x, '{TOKEN}')),
-        list_transform(list_filter(range(1, {len(NEAR)} * len(w) + 1), lambda i: list_contains({cues}, w[(i - 1) % len(w) + 1])),
-          lambda i: w[greatest(1, (i - 1) % len(w) + 1 - {list(NEAR)}[(i - 1) // len(w) + 1]):(i - 1) % len(w) + 1 + {list(NEAR)}[(i - 1) // len(w) + 1]]))) AS u
+      SELECT rid, unnest(list_transform(list_concat([t], list_concat(string_split_regex(t, '\n[ \t]*\n'), list_concat(string_split(t, chr(10)), string_split(regexp_replace(t, '([.!?;])[ \t\n]+', '\1' || chr(1), 'g'), chr(1))))),
+          lambda x: regexp_extract_all(x, '{TOKEN}'))) AS u
       FROM worded
+      UNION ALL SELECT rid, w[greatest(1, i - n):i + m] FROM placed JOIN around ON anchor = w[i]
     ), each AS (
       SELECT DISTINCT rid, array_to_string(u, ' ') AS unit, len(u) AS unit_words FROM pieces WHERE list_has_any(u, {cues})
     ), terms AS (

@@ -49,8 +49,8 @@ KINDS = (*PATTERNS, "term")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 DISCLOSURE, CHANCE = 0.95, 0.1
 #: A word with a capital after a letter, digit, comma or semicolon and one space: inside a sentence, so written as a name.
-NAME = r"(?<=[\p{L}\p{M}\p{N},;][ ])\p{Lu}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{N}@_])"
-TERM = r"(?<![\p{L}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{N}@_])"
+NAME = r"(?<=[\p{L}\p{M}\p{N},;][ ])\p{Lu}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{L}\p{M}\p{N}@_]|[\p{L}\p{N}._%+-]*+@)"
+TERM = r"(?<![\p{L}\p{M}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{L}\p{M}\p{N}@_]|[\p{L}\p{N}._%+-]*+@)"
 
 
 def _digits(match: Column) -> Column:

@@ -239,14 +239,14 @@ def test_pii(spark):
 def test_pii_terms_anywhere_in_the_text(spark):
     filler = " ".join(f"filler{chr(97 + i)}" for i in range(20))
     rows = [(i, f"Write to amy@x.org {filler} and topic{w} ends here, yours Quillbert") for i, w in enumerate("abcd")]
-    rows += [(10 + i, f"other plain words {filler} number{w} ends here") for i, w in enumerate("abcdefghijklmnop")]
+    rows += [(10 + i, f"other plain words {filler} and number{w} ends here") for i, w in enumerate("abcdefghijklmnop")]
     rows += [(40 + i, f"Write to joe@x.org {filler} yours Wendelina") for i in range(5)]
     rows += [(50, f"Write to joe@x.org {filler} again, yours Wendelina")]
     rows += [(60 + i, f"{w} Vortimer sends eve@x.org") for i, w in enumerate("abcd")] + [(70 + i, "a note of Vortimer") for i in range(50)]
     got = {r.doc_id: r for r in pii.report(frame(spark, rows)).collect()}
     name = rows[0][1].index("Quillbert")
     assert [got[i].spans.split(",")[-1] for i in range(4)] == [f"term:{name}:{name + 9}"] * 4 and got[0].n_term == 1
-    # five copies and one other text are two texts, less than the support: a name is judged all the same, other words aren't
+    # five copies and one other text are two texts
     at = rows[20][1].index("Wendelina")
     assert all(got[i].spans.split(",")[-1] == f"term:{at}:{at + 9}" and got[i].n_term == 1 for i in range(40, 45)) and got[50].n_term == 1
     # fifty copies of a text without the entity are one text: c_t = 5 and c_te = n_e = 4 leave the score as if they were one row
@@ -338,14 +338,14 @@ def license_scores(unit, templates=licenses.TEMPLATES):
 #: Texts and the license that a reader finds in them.
 LABELLED = {
     "Licensed under the Eclipse Public License.": None, "Released under the ISC License.": "ISC", "This software is released under the Boost Software License.": "BSL-1.0", "Licensed under the zlib License.": "Zlib",
-    "GNU Lesser General Public License, version 2.1": "LGPL-2.1", "Attribution-ShareAlike 3.0 Unported": None, "Apache License, Version 1.1": None, "the rights of the people were reserved": None,
-    "All software rights are with the vendor, released today.": None, "Licensed under the Foo License.": None, "This is not licensed under the MIT License.": None, "It was never released under the MIT License.": None,
+    "GNU Lesser General Public License, version 2.1": "LGPL-2.1", "Attribution-ShareAlike 3.0 Unported": None, "Apache License, Version 1.1": "Apache-1.1", "the rights of the people were reserved": None,
+    "All software rights are with the vendor, released today.": None, "Licensed under the Foo License.": None, "This is not licensed under the MIT License.": None, "It was never released under the MIT License.": None, "Not covered by the GNU General Public License, version 2, but licensed under the MIT License.": "MIT",
     "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0", "This work is licensed under the GNU General Public License, version 4.": None, "This work is licensed under the GNU Library General Public License, version 2.": "LGPL-2.0",
     "licensed under the GNU Affero General Public License, version 3": "AGPL-3.0", "# Licensed under the Apache License, Version 2.0": "Apache-2.0", "Licensed under the Academic Free License, Version 2.0.": None, "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
     "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC BY-NC 2.0.": None, "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": "CC-BY-SA-3.0", "Licensed under the BSD 4-Clause License.": "BSD-4-Clause",
     "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.": "BSD-3-Clause", "// SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "SPDX-License-Identifier: Foo-2.0": None, "the driver's license was issued in May": None,
     "He released the software under pressure.": None, "Mozilla Public License, v. 2.0": "MPL-2.0", "This file is subject to the terms of the Mozilla Public License, version 1.1.": "MPL-1.1", "She said that all rights matter and a table was reserved.": None,
-    "Copyright (c) 2021 Jane Roe\nAll rights reserved.": "proprietary", "mit der Lizenz": None, "the license mit": None, "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "Permission to enter the park is hereby granted free of charge.": None,
+    "Copyright (c) 2021 Jane Roe\nAll rights reserved.": "proprietary", "mit der Lizenz": None, "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "Permission to enter the park is hereby granted free of charge.": None,
     "This is free and unencumbered software released into the public domain.": "Unlicense", "This software is proprietary and confidential.": None, "The gnu is a large antelope of general public interest, version 3 of nature.": None, "MIT License": "MIT",
     "Licensed under the Artistic License 2.0": "Artistic-2.0", "Licensed under the terms of the Eclipse Public License 2.0": "EPL-2.0", "the apache people have 2.0 million hectares": None,
 }
@@ -356,7 +356,7 @@ def test_labelled_licenses(spark):
     got = {r.doc_id: r.license for r in licenses.scan(df, df["path"]).collect()}
     wrong = {t: got[i] for i, (t, want) in enumerate(LABELLED.items()) if got[i] is not None and got[i] != want}
     missed = [t for i, (t, want) in enumerate(LABELLED.items()) if got[i] is None and want]
-    assert not wrong and len(missed) <= 1, (wrong, missed)
+    assert not wrong and not missed, (wrong, missed)
 
 
 def test_own_templates(spark):
