@@ -228,7 +228,7 @@ _SQL_SITES = f"""s AS (SELECT p_partkey AS row_idx, 1 + p_partkey % 4 AS est_bld
 
 @query(f"WITH {_SQL_SITES} SELECT row_idx, uid, round(sqrt(d), 6) AS distance FROM placed")
 def nearest_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = polygons.nearest_to_polygons(_sites(spark, sf_dir), _boxes(spark, sf_dir), 8.0, lambda df: cut(df, "nearest-polygons"))
+    found = polygons.nearest_to_polygons(_sites(spark, sf_dir), _boxes(spark, sf_dir), 32.0, lambda df: cut(df, "nearest-polygons"))
     return found.withColumn("distance", F.round("distance", 6))
 
 
@@ -241,13 +241,13 @@ def _changes(spark: SparkSession, sf_dir: str) -> change.ChangeReport:
     uid = F.when(k % 5 == 0, None).when(k % 5 == 1, "NaN").when(k % 35 == 2, "").otherwise(k.cast("string"))
     gis = F.when(k % 30 < 20, F.concat(F.lit("L"), ((k % 30 + F.when(k % 4 == 0, 1).otherwise(0)) % 25).cast("string"))).otherwise(" ")
     register = table(spark, sf_dir, "orders").select(uid.alias("matched_uid"), F.when(k % 30 > 27, F.concat(F.lit("L"), (k % 25).cast("string"))).otherwise(place).alias("locality"), gis.alias("gis_locality"))
-    return change.change_report(_sites(spark, sf_dir), parcels, register, lambda df: cut(df, "changes"), 8.0)
+    return change.change_report(_sites(spark, sf_dir), parcels, register, lambda df: cut(df, "changes"), 32.0)
 
 
 _SQL_CHANGES = f"""WITH {_SQL_SITES.replace("FROM supplier", "FROM supplier WHERE s_suppkey % 13 <> 0")},
   reg AS (SELECT CASE WHEN k % 5 IN (0, 1) OR k % 35 = 2 THEN NULL ELSE k END AS matched, CASE WHEN k % 30 > 27 THEN 'L' || k % 25 ELSE 'W' || k % 30 END AS locality,
     CASE WHEN k % 30 < 20 THEN 'L' || (k % 30 + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END) % 25 END AS gis FROM (SELECT o_custkey AS k FROM orders)),
-  pairs AS (SELECT locality, gis FROM reg WHERE matched IS NOT NULL AND gis IS NOT NULL GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY locality ORDER BY count(*) DESC, gis) = 1),
+  pairs AS (SELECT locality, gis FROM reg WHERE matched IS NOT NULL AND gis IS NOT NULL GROUP BY locality, gis QUALIFY row_number() OVER (PARTITION BY locality ORDER BY count(*) DESC, gis) = 1),
   payers AS (SELECT COALESCE(pairs.gis, reg.locality) AS locality, count(*) AS n FROM reg LEFT JOIN pairs USING (locality) WHERE matched IS NULL GROUP BY ALL),
   new AS (SELECT 'L' || nation AS locality, sum(est_bldgs) AS n FROM placed GROUP BY ALL),
   report AS (SELECT locality, CAST(new.n AS BIGINT) AS estimated_new_buildings, COALESCE(payers.n, 0) AS unmatched_paying_citizens, CAST(greatest(new.n - COALESCE(payers.n, 0), 0) AS BIGINT) AS estimated_true_defaulters
@@ -275,10 +275,10 @@ _SQL_HOUSES = """h AS (SELECT c_mktsegment || '-' || c_nationkey AS locality, c_
 
 @query(f"""WITH {_SQL_HOUSES}, stay AS (SELECT DISTINCT h.locality, h.k, h.x, h.y FROM h JOIN h o ON h.locality = o.locality AND h.k <> o.k AND (h.x - o.x) ** 2 + (h.y - o.y) ** 2 <= 2500),
 p AS (SELECT DISTINCT locality, x, y FROM stay WHERE locality IN (SELECT locality FROM stay GROUP BY locality HAVING count(*) >= 3)),
-e AS (SELECT a.locality, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by FROM p a JOIN p b ON a.locality = b.locality AND (a.x <> b.x OR a.y <> b.y) WHERE NOT EXISTS (
+e AS (SELECT a.locality, a.x AS ax, a.y AS ay, b.x AS qx, b.y AS qy FROM p a JOIN p b ON a.locality = b.locality AND (a.x <> b.x OR a.y <> b.y) WHERE NOT EXISTS (
   SELECT 1 FROM p c WHERE c.locality = a.locality AND ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0
     OR ((b.x - a.x) * (c.y - a.y) = (b.y - a.y) * (c.x - a.x) AND (c.x - a.x) * (c.x - b.x) + (c.y - a.y) * (c.y - b.y) > 0)))),
-s AS (SELECT locality, sum(ax * by - bx * ay) / 2 AS area, sum(sqrt((bx - ax) ** 2 + (by - ay) ** 2)) AS around, sum((ax + bx) * (ax * by - bx * ay)) AS mx, sum((ay + by) * (ax * by - bx * ay)) AS my, min(ax) AS minx, min(ay) AS miny, max(ax) AS maxx, max(ay) AS maxy FROM e GROUP BY locality)
+s AS (SELECT locality, sum(ax * qy - qx * ay) / 2 AS area, sum(sqrt((qx - ax) ** 2 + (qy - ay) ** 2)) AS around, sum((ax + qx) * (ax * qy - qx * ay)) AS mx, sum((ay + qy) * (ax * qy - qx * ay)) AS my, min(ax) AS minx, min(ay) AS miny, max(ax) AS maxx, max(ay) AS maxy FROM e GROUP BY locality)
 SELECT locality, 'AUTO_GENERATED' AS source, n AS property_count, round(area, 6) AS area, round(CASE WHEN area = 0 THEN around / 2 ELSE around END, 6) AS perimeter,
   round(CASE WHEN area = 0 THEN (minx + maxx) / 2 ELSE mx / (6 * area) END, 6) AS centroid_x, round(CASE WHEN area = 0 THEN (miny + maxy) / 2 ELSE my / (6 * area) END, 6) AS centroid_y, minx, miny, maxx, maxy
 FROM s JOIN (SELECT locality, count(*) AS n FROM h GROUP BY locality) USING (locality)""")
