@@ -48,6 +48,7 @@ HINT = r"@|[0-9]\.[0-9]|(?:[0-9][\x20-]?){13}|\+[0-9]"
 KINDS = (*PATTERNS, "term")
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 DISCLOSURE, CHANCE = 0.95, 0.1
+SPREAD = 16
 #: A word with a capital after a letter, digit, comma or semicolon and one space: inside a sentence, so written as a name.
 NAME = r"(?<=[\p{L}\p{M}\p{N},;][ ])\p{Lu}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{L}\p{M}\p{N}@_]|[\p{L}\p{N}._%+-]*+@)"
 TERM = r"(?<![\p{L}\p{M}\p{N}@._+-])\p{L}[\p{L}\p{M}'-]+(?<=[\p{L}\p{M}])(?![\p{L}\p{M}\p{N}@_]|[\p{L}\p{N}._%+-]*+@)"
@@ -136,9 +137,12 @@ def scores(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: fl
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     # texts that can't hold an entity are counted, but stay out of the join with entities
     # a name that TERM doesn't take for a word (there's an address sign before it) is none
-    texts = docs.select(_text_name(docs, text), _terms(body).alias("terms"), F.array_intersect(_terms(body, NAME), _terms(body)).alias("names"), body.rlike(HINT).alias("maybe"))
-    texts = cut(texts.dropDuplicates(["th"]), "pii-texts")
+    # words travel as one spaced text, which takes half the room of an array
+    texts = docs.select(_text_name(docs, text), F.array_join(_terms(body), " ").alias("terms"), F.array_join(F.array_intersect(_terms(body, NAME), _terms(body)), " ").alias("names"), body.rlike(HINT).alias("maybe"))
+    kept = texts = cut(texts.dropDuplicates(["th"]), "pii-texts")
     n = texts.count()
+    of = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    texts = texts.select("th", "maybe", of("terms").alias("terms"), of("names").alias("names"))
     words = cut(texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("c_t")), "pii-words")
     named = texts.select(F.explode("names").alias("term")).distinct().join(words, "term")
     # rows by frequency: no more than the square root of twice all words' counts
@@ -147,7 +151,9 @@ def scores(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: fl
     # only words that are rare enough for some entity of their text meet the entities
     own = F.transform("terms", lambda t: F.struct(t.alias("term"), F.array_contains("names", t).alias("name")))
     inside = texts.where("maybe").join(most, "th").select("th", "most", F.explode(own).alias("w")).select("th", "most", "w.*")
-    rare = inside.join(words, "term").where(F.col("c_t") <= F.col("most")).join(like, "c_t").drop("most")
+    # most words are in one text, so frequencies are dealt out SPREAD times
+    like = like.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    rare = inside.join(words, "term").where(F.col("c_t") <= F.col("most")).withColumn("deal", F.pmod(F.xxhash64("th", "term"), F.lit(SPREAD)).cast("int")).join(like, ["c_t", "deal"]).drop("most", "deal")
     c, e = F.col("c_t"), F.col("n_e")
     m = F.when(F.col("name"), F.col("m_named")).otherwise(F.col("m_all"))
     able = (c <= _most_texts(n, e, disclosure)) & (_chance(n, m, c, e, F.least(c, e)) <= F.log2(F.lit(chance)))
@@ -156,7 +162,7 @@ def scores(docs: DataFrame, spans: DataFrame, text: str = "text", disclosure: fl
     pmi = F.log2(F.lit(float(n)) * F.col("c_te") / (c * e))
     judged = together.select("entity", "term", F.lit(n).cast("long").alias("n"), "n_e", "c_t", "c_te", content.alias("content"), pmi.alias("pmi"), F.pow(F.lit(2.0), _chance(n, F.col("m"), c, e, F.col("c_te"))).alias("chance"))
     made = cut(judged.where(F.col("chance") <= chance), "pii-scores")
-    release(held, texts, words)
+    release(held, kept, words)
     return made
 
 
