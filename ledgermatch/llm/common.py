@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
-import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermatch.sources.scratch import cut as written
+from ledgermatch.sources.scratch import path_for as scratch_path
+from ledgermatch.sources.scratch import release
+
+__all__ = ["BATCH_BYTES", "WORD", "cut", "named", "release", "scratch_path", "small_batches", "table"]
+
 #: A word: a maximal run of characters other than space and \t-\r.  The same text serves Java, RE2 and Python patterns.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,51 +43,13 @@ def named(docs: DataFrame, key: str, text: str) -> list[Column]:
     return [F.xxhash64(docs[key], docs[text]).alias("h"), F.xxhash64(F.lit(7), docs[text], docs[key], F.length(docs[text])).alias("g")]
 
 
-_local: dict[int, str] = {}
-
-
-def scratch(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset a temporary folder stands in, but only in local mode, where all tasks run on this machine; the session's settings stay as they are.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = _local.setdefault(os.getpid(), "")
-        if not where:
-            where = _local[os.getpid()] = "file://" + tempfile.mkdtemp(prefix="ledgermatch-")
-            atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
-    return where.rstrip("/") if "://" in where else "file://" + where.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path of its own under the shared folder."""
-    return f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def cut(frame: DataFrame, name: str) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them back: the lineage ends here.
 
     Unlike a local checkpoint the table outlives executors, and unlike ``checkpoint()`` the rows are computed once.  ``release`` deletes it.
     """
-    spark = frame.sparkSession
-    path = scratch_path(spark, name)
-    with small_batches(spark):
-        frame.write.parquet(path)
-    made = spark.read.schema(frame.schema).parquet(path)
-    made.scratch_at = path
-    return made
-
-
-def release(*frames: DataFrame) -> None:
-    """Deletes tables that ``cut`` wrote, when nothing that is still to run reads them."""
-    for frame in frames:
-        if path := getattr(frame, "scratch_at", None):
-            spark = frame.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    with small_batches(frame.sparkSession):
+        return written(frame, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,10 +10,13 @@ than k shingles are compared exactly.  Repeated rows get equal sketches; an empt
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.llm.common import WORD
 
@@ -86,25 +89,77 @@ def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None =
     ``derive`` adds the columns ``derived``, functions of the others, once a row; they get their ``next_<c>`` too.
 
     Rows are dealt to ranges of the key; the first row of each range, a row a range, is put behind the range before it, so that
-    one window over ranges suffices.  Rows of one key follow each other by a hash of ``columns``.
+    one window over ranges suffices.  Rows of one key follow each other by a hash of ``columns``, equal rows in any order; a key or a row that fills more than a range is dealt out by
+    the hash, then by row.  Keys are numbers, texts or anything else that has an order.
     """
     spark = docs.sparkSession
     parts = parts or 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("double").alias("x")).approxQuantile("x", [i / parts for i in range(1, parts)], 1 / (20 * parts))
-    cuts = sorted({float(x) for x in cuts})
-    bucket = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.size(F.filter(F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<double>"), lambda x: x <= F.col(key))))
-    rows = docs.select(F.col(key), *columns).withColumn("__h", F.xxhash64(*columns)).withColumn("__b", bucket)
+    # the last tells equal rows apart; only its spread matters, so it may be another one each time
+    rows = docs.select(F.col(key), *columns).withColumns({"__h": F.xxhash64(*columns), "__r": F.xxhash64(F.monotonically_increasing_id())})
+    rows = rows.withColumn("__b", _dealt(rows, key, parts))
     heads = rows.groupBy("__b").agg(F.max(F.struct(F.col(key).alias("k"), F.col("__h").alias("h"))).alias("head"))
     # a row a range from here on
     order = Window.orderBy(F.col("__b").asc())
     heads = heads.withColumn("to", F.coalesce(F.lead("__b").over(order), F.min("__b").over(Window.partitionBy())))
     heads = heads.select(F.col("__b").alias("hb"), F.col("head.k").alias("hk"), F.col("head.h").alias("hh"), "to")
     behind = rows.join(F.broadcast(heads), (F.col("__b") == F.col("hb")) & F.col(key).eqNullSafe(F.col("hk")) & (F.col("__h") == F.col("hh")))
-    behind = behind.dropDuplicates(["__b"]).select(key, *columns, "__h", F.col("to").alias("__b"), F.lit(1).alias("__last"))
-    window = Window.partitionBy("__b").orderBy(F.col("__last"), F.col(key).desc_nulls_last(), F.col("__h").desc())
+    behind = behind.dropDuplicates(["__b"]).select(key, *columns, "__h", "__r", F.col("to").alias("__b"), F.lit(1).alias("__last"))
+    window = Window.partitionBy("__b").orderBy(F.col("__last"), F.col(key).desc_nulls_last(), F.col("__h").desc(), F.col("__r").desc())
     both = derive(rows.withColumn("__last", F.lit(0)).unionByName(behind))
     led = both.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in (*columns, *derived)])
-    return led.where(F.col("__last") == 0).drop("__h", "__b", "__last")
+    return led.where(F.col("__last") == 0).drop("__h", "__r", "__b", "__last")
+
+
+#: Keys drawn, for each range, where keys are no numbers.
+DRAWN = 100
+
+
+def _cuts(rows: DataFrame, key: str, parts: int) -> list:
+    """Keys that cut the rows into about ``parts`` ranges: approximate quantiles of numbers, those of a bounded draw of other keys.
+
+    A key that is several of the quantiles gets a range of its own, up to the next number or text.
+    """
+    some, kind = rows.where(F.col(key).isNotNull()).select(key), rows.schema[key].dataType
+    if isinstance(kind, T.NumericType):
+        found = [float(x) for x in some.select(F.col(key).cast("double").alias("x")).approxQuantile("x", [i / parts for i in range(1, parts)], 1 / (20 * parts))]
+        after = lambda x: math.nextafter(x, math.inf)
+    else:
+        drawn = sorted(r[0] for r in some.orderBy(F.xxhash64(F.monotonically_increasing_id())).limit(DRAWN * parts).collect())
+        found = [drawn[i * len(drawn) // parts] for i in range(1, parts)] if drawn else []
+        after = lambda x: x + "\0" if isinstance(kind, T.StringType) else x
+    return sorted({*found, *(after(x) for x, n in Counter(found).items() if n > 1)})
+
+
+def _dealt(rows: DataFrame, key: str, parts: int) -> Column:
+    """The range of a row, as a struct in ascending order of key (null first), hash and row.
+
+    Ranges of one key that hold over twice their share are cut by the hash, at even steps and around each hash that alone holds more than a share; what is one hash
+    then is cut by ``__r``.  All cuts together are a few times ``parts``.
+    """
+    cuts = _cuts(rows, key, parts)
+    found = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x <= F.col(key))) if cuts else F.lit(0)
+    b = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(found)
+    held = rows.withColumn("b", b)
+    sizes = held.groupBy("b").agg(F.count("*").alias("n"), F.min(key).eqNullSafe(F.max(key)).alias("one")).collect()
+    share = max(1, sum(r.n for r in sizes) // parts)
+    crowded = {r.b: r.n for r in sizes if r.one and r.n > 2 * share}
+    none = F.lit(0).cast("long")
+    if not crowded:
+        return F.struct(b.alias("b"), none.alias("s"), none.alias("t"))
+    heavy: dict[int, dict[int, int]] = {k: {} for k in crowded}
+    for r in held.where(F.col("b").isin(*crowded)).groupBy("b", "__h").agg(F.count("*").alias("n")).where(F.col("n") > share).collect():
+        heavy[r.b][r["__h"]] = r.n
+    steps, spread = {}, {}
+    for k, n in crowded.items():
+        m = -(-n // share)
+        steps[k] = sorted({-(2**63) + i * 2**64 // m for i in range(1, m)} | set(heavy[k]) | {h + 1 for h in heavy[k] if h + 1 < 2**63})
+        spread |= {(k, sum(c <= h for c in steps[k])): -(-n_h // share) for h, n_h in heavy[k].items()}
+    by_b = F.create_map(*[x for k, v in steps.items() for x in (F.lit(k), F.array(*[F.lit(c).cast("long") for c in v]))])
+    s = F.when(b.isin(*crowded), F.size(F.filter(F.element_at(by_b, b), lambda c: c <= F.col("__h")))).otherwise(0).cast("long")
+    t: Column = none
+    for (k, at), m in spread.items():
+        t = F.when((b == k) & (s == at), F.floor((F.col("__r") / F.lit(2.0**64) + 0.5) * m).cast("long")).otherwise(t)
+    return F.struct(b.alias("b"), s.alias("s"), t.alias("t"))
 
 
 def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ledgermatch.llm.common import WORD
 
 _WORD = re.compile(WORD)
-_LETTERS = re.compile(r"[^\W\d_]+")
 SYMBOLS = "#*$%&|<>"
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_exclamations")

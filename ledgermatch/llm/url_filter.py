@@ -6,8 +6,8 @@ stand between boundaries (no ASCII letter or digit on either side), and a URL is
 ``min_soft`` distinct soft ones.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and is allowed.
-Repeated rows are judged row by row; an empty table gives an empty result.  The rules and the vocabulary are parameters
-of the operator, not data, so their size is fixed.
+Repeated rows are judged row by row; an empty table gives an empty result.  Rules and vocabulary go to every task, so they
+are parameters of a checked size (``MOST_TERMS``); ``read_vocabulary`` takes a vocabulary of one's own from a table of terms.
 """
 
 from __future__ import annotations
@@ -41,6 +41,10 @@ RULES = (
 )
 
 
+#: Terms at most: an automaton of so many, of 20 bytes, takes about 2 GB at worst in a worker.
+MOST_TERMS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Terms of lower-case ASCII letters, digits and inner hyphens."""
@@ -49,6 +53,10 @@ class Vocabulary:
     soft: tuple[str, ...] = ("ads", "adult", "bets", "bonus", "casino", "cheap", "deal", "farm", "free", "loan", "pills", "poker", "sex", "spam", "torrent", "track", "viagra", "win")
     min_soft: int = 2
 
+    def __post_init__(self) -> None:
+        if len(self.strict) + len(self.soft) > MOST_TERMS:
+            raise ValueError(f"a vocabulary of {len(self.strict) + len(self.soft)} terms is more than the {MOST_TERMS} that go to every task")
+
     def automaton(self):
         import ahocorasick
 
@@ -62,6 +70,18 @@ class Vocabulary:
         return found
 
 
+def read_vocabulary(terms: DataFrame, min_soft: int = 2, term: str = "term", strict: str = "strict") -> Vocabulary:
+    """A vocabulary from rows (term, strict), read by Spark from whatever holds them.
+
+    Terms are trimmed and A-Z lower-cased; blank and null ones are none, and of one that comes several times the strict row counts.  More than MOST_TERMS are an error
+    before any reach the driver.
+    """
+    plain = F.translate(F.trim(F.col(term).cast("string")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = terms.select(plain.alias("t"), F.coalesce(F.col(strict).cast("boolean"), F.lit(False)).alias("s")).where("t <> ''").groupBy("t").agg(F.max("s").alias("s"))
+    kept = rows.orderBy("t").limit(MOST_TERMS + 1).collect()
+    return Vocabulary(tuple(r.t for r in kept if r.s), tuple(r.t for r in kept if not r.s), min_soft)
+
+
 _PLAIN = re.compile("[a-z0-9]")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 

@@ -124,6 +124,12 @@ def test_token_file_random_access():
     assert f.bits == 13 and f.doc_ids == [4, None, -7, 9]
     assert [f.document(i).tolist() for i in range(4)] == [d.tolist() for d in documents]
     assert f.ids(60, 70).tolist() == np.concatenate(documents)[60:70].tolist()
+    crc = [zlib.crc32(d.astype("<u4").tobytes()) for d in documents]
+    assert all(list(f.checksums(span)) == crc for span in (1, 50, 64, 10_000))
+    with pytest.raises(ValueError, match="not a token file"):
+        token_files.TokenFile(b"short")
+    with pytest.raises(ValueError, match="beyond the vocabulary"):
+        token_files.encode_file([np.array([5000])], [1], 5000)
 
 
 def test_token_files(spark):
@@ -140,6 +146,16 @@ def test_token_files(spark):
     assert token_files.read(spark, token_files.write(docs(spark, []), BYTE)).count() == 0
 
 
+def test_files_follow_the_volume(spark, monkeypatch):
+    rows = [(i, "some words and more " * 50, "x") for i in range(300)]
+    monkeypatch.setattr(token_files, "FILE_BYTES", 30_000)
+    written = token_files.write(docs(spark, rows), BYTE)
+    made = written.manifest.collect()
+    assert 8 <= len(made) <= 12 and sum(r.n_docs for r in made) == 300 and len({r.file for r in made}) == len(made)
+    ids = np.array(Encoder(BYTE, False).ids(rows[0][1]) + [0], dtype="<u4")
+    assert {(r.n_tokens, r.ids_crc32) for r in token_files.read(spark, written).collect()} == {(len(ids), zlib.crc32(ids.tobytes()))}
+
+
 def test_targets(spark):
     sizes = {"a": 1000, "b": 10, "c": 100, None: 50}
     got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}

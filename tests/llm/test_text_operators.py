@@ -392,3 +392,33 @@ def test_license_forms(spark):
     assert [next(iter(got[100 + i])) for i in range(len(licenses.TEMPLATES))] == [(t.license, 1.0) for t in licenses.TEMPLATES]
     unit = "Copyright (c) 2020 Some Author. All rights reserved."
     assert round(max(score for u in (unit, "All rights reserved.", "Copyright (c) 2020 Some Author.") for _, score in license_scores(u)), 4) == next(iter(got[8]))[1]
+
+
+@pytest.mark.parametrize("kind", ["one", "texts", "numbers"])
+def test_next_rows_of_hot_keys(spark, kind):
+    """Rows of one key, of copies and of other keys: each row is the next of one, in order of keys, and no range holds many shares."""
+    n = 100_000 if kind == "one" else 6_000
+    key = {"one": lambda i: 7, "texts": lambda i: None if i % 50 == 0 else "hot" if i % 3 else f"k{i % 97}", "numbers": lambda i: None if i % 50 == 0 else 5.5 if i % 3 else float(i % 97)}[kind]
+    rows = [(key(i), "copy" if i % 3 == 1 else f"t{i}") for i in range(n)]
+    df = spark.createDataFrame([(k, t, None if k is None else str(k)) for k, t in rows], f"k {'string' if kind == 'texts' else 'long' if kind == 'one' else 'double'}, text string, name string")
+    parts = 12
+    tied = df.withColumns({"__h": F.xxhash64("text", "name"), "__r": F.xxhash64(F.monotonically_increasing_id())})
+    held = [r["count"] for r in tied.groupBy(fingerprints._dealt(tied, "k", parts)).count().collect()]
+    assert max(held) <= 4 * n / parts
+    got = fingerprints.with_next(df, "k", ["text", "name"], parts=parts).collect()
+    assert collections.Counter((r.name, r.text) for r in got) == collections.Counter((r.next_name, r.next_text) for r in got) == collections.Counter((None if k is None else str(k), t) for k, t in rows)
+    order = sorted({k for k, _ in rows if k is not None}, reverse=True) + ([None] if kind != "one" else [])
+    names = [None if k is None else str(k) for k in order]
+    moves = collections.Counter((r.name, r.next_name) for r in got if r.name != r.next_name)
+    assert moves == ({(a, b): 1 for a, b in zip(names, names[1:] + names[:1], strict=True)} if len(names) > 1 else {})
+
+
+def test_vocabulary_of_a_table(spark, monkeypatch):
+    terms = spark.createDataFrame([(" Bad-Word ", True), ("bad-word", False), ("soft", None), ("other", False), ("", True), (None, True)], "term string, strict boolean")
+    vocabulary = url_filter.read_vocabulary(terms, 2)
+    assert (vocabulary.strict, vocabulary.soft) == (("bad-word",), ("other", "soft"))
+    pages = spark.createDataFrame([(1, "http://a.org/bad-word"), (2, "http://a.org/soft"), (3, "http://soft.org/other/"), (4, "http://a.org/porn")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_filter.judge_urls(pages, rules=(), vocabulary=vocabulary).collect()} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+    monkeypatch.setattr(url_filter, "MOST_TERMS", 2)
+    with pytest.raises(ValueError, match="more than the 2"):
+        url_filter.read_vocabulary(terms)
