@@ -103,6 +103,11 @@ def area(rings: Column) -> Column:
     return F.coalesce(F.get(sizes, F.lit(0)), F.lit(0.0)) - F.aggregate(F.slice(sizes, 2, F.greatest(F.size(sizes) - 1, F.lit(0))), F.lit(0.0), lambda s, a: s + a)
 
 
+def oriented_area(rings: Column) -> Column:
+    """Of rings that run counter-clockwise around the polygon and clockwise around its holes, however many parts it has."""
+    return F.aggregate(F.transform(rings, signed_area), F.lit(0.0), lambda s, a: s + a)
+
+
 def centroid(ring: Column) -> Column:
     """struct(x, y) of an outer ring, weighted by area; the mean of its points if it has none."""
     zero = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))

@@ -178,8 +178,24 @@ def junk_address(c: Column) -> Column:
     return t.isin(*JUNK_ADDRESSES) | (F.length(t) < 3) | t.rlike("^[0-9]{1,5}$")
 
 
+@F.pandas_udf(StringType())
+def nfc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for p in parts:
+        yield p.str.normalize("NFC")
+
+
 def clean_address(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"[\s,;:\-./]+", " "))
+    """Composed characters, separators as single spaces.  Only texts with a combining mark go to Python to be composed."""
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    composed = F.coalesce(nfc(F.when(text.rlike(r"\p{M}"), text)), text)
+    return F.trim(F.regexp_replace(composed, r"[\s,;:\-./]+", " "))
+
+
+def duplicated_address(c: Column) -> Column:
+    """Whether the parts between wide gaps are all one text; a text without such gaps is no repetition."""
+    parts = F.split(F.coalesce(c.cast("string"), F.lit("")), r"\s{2,}")
+    said = F.array_distinct(F.filter(F.transform(parts, lambda p: F.lower(F.trim(p))), lambda p: p != ""))
+    return (F.size(parts) >= 2) & (F.size(said) == 1)
 
 
 def address_components(c: Column) -> Column:

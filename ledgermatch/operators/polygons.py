@@ -66,7 +66,7 @@ def ring_distance(a: list[np.ndarray], b: list[np.ndarray]) -> float:
     return least
 
 
-def _rings_of(column: pa.ListArray) -> list[list[np.ndarray]]:
+def rings_of(column: pa.ListArray) -> list[list[np.ndarray]]:
     """Rings of each row of an Arrow column array<array<struct<x, y>>>; null rows and rings have none."""
     rings = column.values
     points = rings.values
@@ -139,7 +139,7 @@ def nearest_to_polygons(left: DataFrame, right: DataFrame, size: float, keep: Ca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = [ring_distance(a, b) for a, b in zip(_rings_of(batch.column(2)), _rings_of(batch.column(3)), strict=True)]
+            d = [ring_distance(a, b) for a, b in zip(rings_of(batch.column(2)), rings_of(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, pa.float64())], ["l", "r", "distance"])
 
     found, reach = None, size
@@ -212,7 +212,7 @@ def cover(polygons: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, rings in enumerate(_rings_of(batch.column(3))):
+            for i, rings in enumerate(rings_of(batch.column(3))):
                 cells = _covered(ring_edges(rings))
                 for k in range(0, len(cells), 1024):
                     part = cells[k : k + 1024]

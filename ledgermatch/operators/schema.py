@@ -128,5 +128,10 @@ def page(df: DataFrame, order: str, offset: int, limit: int) -> DataFrame:
     return df.orderBy(order).offset(offset).limit(limit)
 
 
+def page_with_total(df: DataFrame, order: str, offset: int, limit: int) -> DataFrame:
+    """A page whose rows carry ``total``, the number of all rows; it comes from its own count, so the page itself stays a top-k."""
+    return page(df, order, offset, limit).join(F.broadcast(df.agg(F.count("*").alias("total")))).orderBy(order)
+
+
 def month_ok(month: str) -> bool:
     return bool(re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", month))

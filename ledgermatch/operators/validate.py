@@ -4,7 +4,7 @@ Every relation is one aggregation or one equi-join that ends in a count of what
 
 Inputs of ``reconcile``: register (propertyid, property_uid); parcels (n, their order; gis_uid, property_uid, tax_status, geo_status, month,
 run_id, schema_version); features (n, property_uid, tax_status, geo_status, geometry, null if there is none); header and totals, one row each.  Nulls
-count as blank.  Without features the rules on them hold, except that of their number.
+count as blank; ids are compared without blanks around them, everything else as it stands.  Without features the rules on them hold, except that of their number.
 """
 
 from __future__ import annotations
@@ -43,9 +43,15 @@ def missing_columns(columns: Sequence[str], required: Sequence[str]) -> list[str
 
 
 def _text(c: str) -> Column:
+    """An id, without the blanks around it."""
     return F.coalesce(F.trim(F.col(c).cast("string")), F.lit(""))
 
 
+def _plain(c: str) -> Column:
+    """A status, month, run or version as it stands."""
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
 def _wrong(condition: Column) -> Column:
     """How many rows are wrong; a null is."""
     return F.count_if(F.coalesce(condition, F.lit(True)))
@@ -79,25 +85,26 @@ def reconcile(register: DataFrame, parcels: DataFrame, features: DataFrame, head
         _wrong(_text("property_uid") == "").alias("key_blank"),
         F.count_distinct(_text("property_uid")).alias("keys"),
         _wrong(_text("property_uid") != parcel_key(_text("gis_uid"))).alias("key_form"),
-        _wrong(~_text("tax_status").isin(*TAX_STATUSES)).alias("tax_unknown"),
-        _wrong(~_text("geo_status").isin(*GEO_STATUSES)).alias("geo_unknown"),
-        F.count_if(_text("tax_status") == "SUSPECTED").alias("suspected"),
-        *[f(_text(c)).alias(f"{n}_{c}") for c in per for n, f in (("least", F.min), ("most", F.max))],
+        _wrong(~_plain("tax_status").isin(*TAX_STATUSES)).alias("tax_unknown"),
+        _wrong(~_plain("geo_status").isin(*GEO_STATUSES)).alias("geo_unknown"),
+        F.count_if(_plain("tax_status") == "SUSPECTED").alias("suspected"),
+        *[f(_plain(c)).alias(f"{n}_{c}") for c in per for n, f in (("least", F.min), ("most", F.max))],
     )
     f = features.agg(
         F.count("*").alias("feature_n"),
-        F.count_if((_text("geo_status") == "NONE") & F.col("geometry").isNotNull()).alias("too_many"),
-        F.count_if(_text("geo_status").isin("SHAPE", "DOT") & F.col("geometry").isNull()).alias("too_few"),
+        F.count_if((_plain("geo_status") == "NONE") & F.col("geometry").isNotNull()).alias("too_many"),
+        F.count_if(_plain("geo_status").isin("SHAPE", "DOT") & F.col("geometry").isNull()).alias("too_few"),
     )
-    h = header.select(*[_text(c).alias(f"h_{c}") for c in per])
-    t = totals.select("total_gis", "emitted_gis_rows", "total_mseva", "potential_defaulters", *[_text(c).alias(f"t_{c}") for c in per])
-    status = lambda df: df.groupBy(_text("tax_status").alias("s")).agg(F.count("*").alias("v"))
+    h = header.select(*[_plain(c).alias(f"h_{c}") for c in per])
+    t = totals.select("total_gis", "emitted_gis_rows", "total_mseva", "potential_defaulters", *[_plain(c).alias(f"t_{c}") for c in per])
+    status = lambda df: df.groupBy(_plain("tax_status").alias("s")).agg(F.count("*").alias("v"))
     stated = totals.select(F.explode("tax_status_counts").alias("s", "v"))
-    by_place = lambda df, c: df.select("n", _text(c).alias("v"))
+    by_place = lambda df, c: df.select("n", c.alias("v"))
     one = _one(
         r, p, f, h, t,
         _differ(status(parcels), stated, "s", "counts_off"), _differ(status(parcels), status(features), "s", "feature_counts_off"),
-        _differ(by_place(parcels, "property_uid"), by_place(features, "property_uid"), "n", "order_off"), _differ(by_place(parcels, "geo_status"), by_place(features, "geo_status"), "n", "geo_off"),
+        _differ(by_place(parcels, _text("property_uid")), by_place(features, _plain("property_uid")), "n", "order_off"),
+        _differ(by_place(parcels, _plain("geo_status")), by_place(features, _plain("geo_status")), "n", "geo_off"),
     )
     c = F.col
     alike = lambda x: (c(f"least_{x}") == c(f"most_{x}")) & (c(f"least_{x}") == c(f"t_{x}"))

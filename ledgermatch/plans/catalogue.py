@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.functions import geo, similarity, text
-from ledgermatch.operators import change, clusters, layers, matching, polygons, quality, register, schema, spatial, validate, vector_index, vectors
-from ledgermatch.sources import knowledge
+from ledgermatch.operators import assessment, change, clusters, layers, matching, polygons, quality, raster, register, schema, spatial, validate, validity, vector_index, vectors
+from ledgermatch.sources import checkpoints, knowledge
 from ledgermatch.sources.scratch import cut, folder
 
 #: Cells of the vector index that a search without proof looks into.
@@ -508,6 +508,31 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, made)
 
 
+#: What goes wrong in the second of two bundles: the first parcel's row in lower case in the parcels, but not among their features.
+_SPOILT = ("tax_status_known", "suspected_total", "tax_status_counts", "feature_tax_counts")
+
+
+@query(
+    f"{_SQL_MATCHES}, {_SQL_PARCELS}, ids AS (SELECT arg_min(tax_status, uid) AS tax FROM parcels), "
+    + "b(bundle) AS (VALUES ('as made'), ('a status in lower case')) SELECT bundle, rule, NOT (bundle <> 'as made' AND (rule IN ("
+    + ", ".join(f"'{r}'" for r in _SPOILT if r != "suspected_total") + ") OR (rule = 'suspected_total' AND tax = 'SUSPECTED'))) AS ok FROM b, ids, (SELECT unnest([" + ", ".join(f"'{r}'" for r in validate.RULES) + "]) AS rule)"
+)
+def run_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 26 rules over the outputs of the cascade itself, and over the same with the status of the parcel with the least id in lower case."""
+    r, p, m = _matches(spark, sf_dir)
+    made, parcels = cut(register.match_register(r, m, p), "register"), cut(register.parcel_register(p, m), "parcels")
+    stamp = {"month": F.lit("2026-09"), "run_id": F.lit("run1"), "schema_version": F.lit(validate.VERSION)}
+    counts = register.as_map(register.counts(parcels, "tax_status"), "tax_status").withColumnRenamed("counts", "tax_status_counts")
+    totals = cut(register.summary(made, parcels).withColumn("emitted_gis_rows", F.col("total_gis")).join(F.broadcast(counts)).withColumns(stamp), "totals")
+    entries = made.select(F.col("pid").alias("propertyid"), "property_uid")
+    lots = parcels.select(F.col("row_idx").alias("n"), F.col("uid").alias("gis_uid"), "property_uid", "tax_status", F.lit("NONE").alias("geo_status")).withColumns(stamp)
+    features = lots.select("n", "property_uid", "tax_status", "geo_status", F.lit(None).cast("string").alias("geometry"))
+    header = totals.select(*stamp)
+    spoilt = lots.join(F.broadcast(lots.agg(F.min("gis_uid").alias("least")))).withColumn("tax_status", F.when(F.col("gis_uid") == F.col("least"), F.lower("tax_status")).otherwise(F.col("tax_status"))).drop("least")
+    bundles = {"as made": lots, "a status in lower case": spoilt}
+    return reduce(DataFrame.unionByName, [validate.reconcile(entries, parcels_, features, header, totals).select(F.lit(k).alias("bundle"), "rule", "ok") for k, parcels_ in bundles.items()])
+
+
 # --- layers by place --------------------------------------------------------------------------------------------------------
 
 #: A square of 60 m for each customer, 200 m apart, so a disc of 30 m touches one square at most.
@@ -646,6 +671,98 @@ def all_layers_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("pid", "matched_uid", "match_method", "gis_owner_name", "property_uid")
 
 
+_CHECKPOINTED = "resumed-register"
+
+
+@query(_SQL_MATCHES + " SELECT pid, COALESCE(m.matched_uid, '') AS matched_uid, COALESCE(m.match_method, 'UNMATCHED') AS match_method FROM r LEFT JOIN matches m USING (pid)")
+def resumed_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cascade with its layers kept by a fingerprint of the inputs: a run that stops after two layers, and one that goes on from there."""
+    r, p = _prepared(spark, sf_dir)
+    none = spark.createDataFrame([], "locality string, other string")
+    chain = [lambda left: matching.direct_ids(left, p), lambda left: matching.phones(left, p), lambda left: matching.names_and_localities(left, p, none)]
+    path, mark = f"{folder(spark)}/{_CHECKPOINTED}", knowledge.fingerprint(r, p, parameters={"layers": "ids, phones, names"})
+    matching.cascade(r, chain[:2], checkpoints.Checkpoints(spark, path, mark).keep)
+    made = register.match_register(r, matching.cascade(r, chain, checkpoints.Checkpoints(spark, path, mark).keep), p)
+    return made.select("pid", "matched_uid", "match_method")
+
+
+# --- geometry and quality of the inputs -------------------------------------------------------------------------------------
+
+
+def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A square for each customer, 10 to 19 wide; some twisted, spiked, twice around, holed, of two points, empty or missing."""
+    k = F.col("c_custkey")
+    w = (10 + k % 10).cast("double")
+    at = lambda x, y: F.struct((F.lit(x) * w + k % 1000).cast("double").alias("x"), (F.lit(y) * w + k % 777).cast("double").alias("y"))
+    ring = lambda *p: F.array(*[at(x, y) for x, y in p])
+    square = ring((0, 0), (1, 0), (1, 1), (0, 1))
+    empty = F.array().cast(validity.RINGS)
+    kinds = {
+        1: F.array(ring((0, 0), (1, 1), (1, 0), (0, 1))), 2: F.array(ring((0, 0), (1, 0), (1, 1), (1, 3), (1, 1), (0, 1))), 3: F.array(square, square), 4: F.array(square, ring((0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75))),
+        5: F.array(ring((0, 0), (1, 1))), 6: empty, 7: F.lit(None).cast(validity.RINGS), 8: F.array(ring((0, 0), (1, 0), (0, 1))),
+    }
+    rings = F.array(square)
+    for i, shape in kinds.items():
+        rings = F.when(k % 20 == i, shape.cast(validity.RINGS)).otherwise(rings)
+    return table(spark, sf_dir, "customer").select(k.alias("row_idx"), rings.alias("rings"))
+
+
+_SQL_DRAWN = """WITH d AS (SELECT c_custkey AS row_idx, CAST(10 + c_custkey % 10 AS DOUBLE) ** 2 AS a, c_custkey % 20 AS kind FROM customer),
+p AS (SELECT *, CASE kind WHEN 1 THEN 'self_intersection' WHEN 2 THEN 'spike' WHEN 3 THEN 'self_intersection' WHEN 5 THEN 'few_points' WHEN 6 THEN 'empty' WHEN 7 THEN 'missing' END AS problem FROM d)"""
+
+
+@query(f"{_SQL_DRAWN} SELECT row_idx, problem, CASE WHEN kind IN (3, 5, 6, 7) THEN NULL WHEN kind IN (1, 8) THEN a / 2 WHEN kind = 4 THEN a * 0.75 ELSE a END AS area FROM p")
+def geometry_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = validity.checked(_drawn(spark, sf_dir), fix=True)
+    return made.select("row_idx", "problem", F.round(F.abs(F.when(F.col("problem").isNull(), geo.area(F.col("rings"))).otherwise(geo.oriented_area(F.col("rings")))), 6).alias("area"))
+
+
+@query(f"""{_SQL_DRAWN} SELECT q.problem, count(p.row_idx) AS n, round(count(p.row_idx) / (SELECT count(*) FROM p) * 100, 2) AS pct
+FROM (VALUES {', '.join(f"('{x}')" for x in ('valid', *validity.PROBLEMS))}) q(problem) LEFT JOIN p ON COALESCE(p.problem, 'valid') = q.problem GROUP BY q.problem""")
+def geometry_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validity.shares(validity.checked(_drawn(spark, sf_dir)))
+
+
+def _inspected(spark: SparkSession, sf_dir: str, good: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders as a register, customers as parcels and suppliers as meters; the bad ones have few phones, no usage and many broken shapes."""
+    k, n = F.col("o_custkey"), F.col("c_custkey")
+    phone = F.when(k % (5 if good else 2) != 0, _phone(k) if good else F.lit("12"))
+    address = F.when(k % 4 == 0, "n/a").when(k % 4 == 1, F.concat(F.lit("House No. "), k.cast("string"), F.lit(", Gali 3, Model Colony, Ward 4"))).otherwise(F.concat(F.lit("near   "), k.cast("string"), F.lit(" gali") if good else F.lit(" x")))
+    claims = table(spark, sf_dir, "orders").select(F.when(k % 10 != 0, "o_clerk").alias("ownername"), phone.alias("mobileno"), address.alias("address"))
+    usage = F.when(n % (2 if good else 10) == 0, "Residential").otherwise("NA")
+    lots = table(spark, sf_dir, "customer").join(_drawn(spark, sf_dir).withColumnRenamed("row_idx", "c_custkey"), "c_custkey")
+    lots = lots.select(n.cast("string").alias("uid"), F.when(n % 3 != 0, F.col("c_name")).otherwise("0").alias("owner_name"), _phone(n).alias("mobile"), usage.alias("property_usage"), F.lit("House").alias("property_type"), "rings")
+    s = F.col("s_suppkey")
+    return claims, lots, table(spark, sf_dir, "supplier").select(F.when(s % 4 != 0, s.cast("double")).alias("latitude"), s.cast("double").alias("longitude"))
+
+
+def _sql_inspected(name: str, phone: str, complete: str, usage: int, overlap: str, score: str) -> str:
+    pct = lambda c, t, where="true": f"round(100 * count(*) FILTER (WHERE {c}) / count(*), 1) FROM {t}"
+    rows = {
+        "register_total": "count(*) FROM orders", "register_valid_phone_pct": pct(phone, "orders"), "register_address_junk_pct": pct("o_custkey % 4 = 0", "orders"), "register_address_twice_pct": "0", "phone_overlap_pct": overlap,
+        "register_address_completeness": f"round(avg({complete}) FILTER (WHERE o_custkey % 4 <> 0), 2) FROM orders", "parcels_total": "count(*) FROM customer", "parcels_empty_geometry_pct": pct("c_custkey % 20 IN (6, 7)", "customer"),
+        "parcels_invalid_geometry_pct": pct("c_custkey % 20 IN (1, 2, 3, 5)", "customer"), "meters_total": "count(*) FROM supplier", "meters_gps_pct": pct("s_suppkey % 4 <> 0", "supplier"), "score": score,
+        "ownername": pct("o_custkey % 10 <> 0", "orders"), "owner_name": pct("c_custkey % 3 <> 0", "customer"), "property_usage": pct(f"c_custkey % {usage} = 0", "customer"),
+    }
+    return " UNION ALL ".join(f"SELECT '{name}' AS inputs, '{k}' AS measure, CAST({v.split(' FROM ')[0]} AS DOUBLE) AS value{' FROM ' + v.split(' FROM ', 1)[1] if ' FROM ' in v else ''}" for k, v in rows.items())
+
+
+_SQL_SAID = "CASE WHEN o_custkey % 4 = 1 THEN 1.0 ELSE {x} END"
+
+
+@query(
+    _sql_inspected("good", "o_custkey % 5 <> 0", _SQL_SAID.format(x="0.25"), 2, "100", "90") + " UNION ALL " + _sql_inspected("bad", "false", _SQL_SAID.format(x="0"), 10, "0", "35")
+)
+def quality_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures, shares of filled fields and the score of good and bad inputs; each source is read once, while it is written."""
+    rows = []
+    for name in ("good", "bad"):
+        claims, lots, meters = _inspected(spark, sf_dir, name == "good")
+        found = assessment.assess(claims, lots, cut, meters)
+        rows += [(name, k, float(v)) for k, v in found.measures.items()] + [(name, f, pct) for _, f, _, pct, _ in found.fields if f in ("ownername", "owner_name", "property_usage")]
+    return spark.createDataFrame(rows, "inputs string, measure string, value double")
+
+
 # --- vectors ----------------------------------------------------------------------------------------------------------------
 
 
@@ -788,3 +905,43 @@ def ndvi_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = change.composite(px, ["nir", "red", "swir"])
     ndvi, ndbi = change.normalised_difference(F.col("nir"), F.col("red")), change.normalised_difference(F.col("swir"), F.col("nir"))
     return c.select("x", "y", F.round(ndvi, 6).alias("ndvi"), F.round(ndbi, 6).alias("ndbi"), change.built_mask(2015, ndbi, ndvi).alias("built"))
+
+
+def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pixel for one customer in three, strewn over blocks of 64 by 64 that lie side by side."""
+    k = F.col("c_custkey")
+    at = k * 2531 % 4096
+    return table(spark, sf_dir, "customer").where("c_nationkey < 9").select((at % 64 + F.floor(k / 4096) * 64).alias("x"), F.floor(at / 64).alias("y"))
+
+
+_SQL_MASK = """p AS (SELECT DISTINCT c_custkey * 2531 % 4096 % 64 + c_custkey // 4096 * 64 AS x, c_custkey * 2531 % 4096 // 64 AS y FROM customer WHERE c_nationkey < 9),
+way AS (SELECT a.x, a.y, b.x AS nx, b.y AS ny FROM p a JOIN p b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1),
+reach AS (SELECT x, y, x AS rx, y AS ry FROM p UNION SELECT reach.x, reach.y, way.nx, way.ny FROM reach JOIN way ON way.x = reach.rx AND way.y = reach.ry),
+own AS (SELECT x, y, min({'y': ry, 'x': rx}) AS patch FROM reach GROUP BY x, y),
+border AS (SELECT patch, count(*) AS n FROM own, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) d(dx, dy) WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.x = own.x + dx AND p.y = own.y + dy) GROUP BY patch)"""
+
+
+@query(f"""WITH RECURSIVE {_SQL_MASK} SELECT patch.x AS x, patch.y AS y, count(*) AS pixels, round(count(*) * 0.04, 4) AS area_ha, min(own.x) AS minx, min(own.y) AS miny, max(own.x) AS maxx, max(own.y) AS maxy,
+  CAST(count(*) * 400 AS DOUBLE) AS outlined, CAST(any_value(border.n) * 20 AS DOUBLE) AS perimeter FROM own JOIN border USING (patch) GROUP BY patch HAVING count(*) * 0.04 > 0.1""")
+def raster_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches of over 0.1 ha with their outlines' areas and lengths."""
+    labelled = cut(raster.patches(_mask(spark, sf_dir), lambda df: cut(df, "patches"), tile=32), "patches")
+    large = raster.sizes(labelled, 20.0, 0.1).join(raster.outlines(labelled), "patch")
+    return large.select("patch.x", "patch.y", "pixels", F.round("area_ha", 4).alias("area_ha"), "minx", "miny", "maxx", "maxy", geo.oriented_area(F.col("rings")).alias("outlined"), geo.perimeter(F.col("rings")).alias("perimeter"))
+
+
+@query("""WITH v AS (SELECT a.vec_id, 1 - list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS alpha FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1),
+g AS (SELECT *, vec_id % 17 / 50.0 AS built, vec_id % 11 / 20.0 AS ndvi FROM v)
+SELECT year, CAST(count(*) FILTER (WHERE grown) AS BIGINT) AS pixels, CAST(round(count(*) FILTER (WHERE grown) * 0.0004, 2) AS DOUBLE) AS area_km2 FROM (
+  SELECT 2015 AS year, built > 0.1 AND ndvi < 0.4 AS grown FROM g UNION ALL SELECT 2018, alpha > 0.05 AND built > 0.05 AND ndvi < 0.5 FROM g) GROUP BY year""")
+def urban_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New buildings by both masks: by built-up change alone, and from 2017 on with the change between two years' embeddings, here of neighbouring vectors."""
+    e = table(spark, sf_dir, "embeddings")
+    two = e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("later")), "vec_id")
+    pixels = two.select((F.col("vec_id") % 17 / 50).alias("built"), (F.col("vec_id") % 11 / 20).alias("ndvi"), change.embedding_change(F.col("embedding"), F.col("later")).alias("alpha"))
+    made = None
+    for year in (2015, 2018):
+        grown = change.built_mask(year, F.col("built"), F.col("ndvi"), F.col("alpha"))
+        one = pixels.agg(F.count(F.when(grown, 1)).alias("pixels")).crossJoin(F.broadcast(change.area_km2(pixels, grown))).select(F.lit(year).alias("year"), "pixels", "area_km2")
+        made = one if made is None else made.unionByName(one)
+    return made

@@ -13,7 +13,7 @@ _local: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``.  Where it is unset, a temporary folder, but only in local mode, where all tasks run on this machine."""
+    """``spark.checkpoint.dir``.  Where it is unset, a temporary folder, but only in local mode, where all tasks run on this machine; the session's settings stay as they are."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         master = spark.sparkContext.master
@@ -26,8 +26,24 @@ def folder(spark: SparkSession) -> str:
     return where.rstrip("/") if "://" in where else "file://" + where.rstrip("/")
 
 
+def path_for(spark: SparkSession, name: str) -> str:
+    """A new path of its own under the shared folder."""
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(frame: DataFrame, name: str) -> DataFrame:
-    """Writes the rows and reads them back, so that a plan that uses them several times computes them once, and lost executors lose nothing."""
-    path = f"{folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Writes the rows and reads them back, so that a plan that uses them several times computes them once, and lost executors lose nothing.  ``release`` deletes the table."""
+    spark, path = frame.sparkSession, path_for(frame.sparkSession, name)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    made = spark.read.schema(frame.schema).parquet(path)
+    made.scratch_at = path
+    return made
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes tables that ``cut`` wrote, when nothing that is still to run reads them."""
+    for frame in frames:
+        if path := getattr(frame, "scratch_at", None):
+            spark = frame.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -22,8 +22,8 @@ PUBLISHED = ("{city}_Match_Register", "{city}_Defaulters", "{city}_Defaulters_Se
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """One file only on demand: it puts all rows through one task."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, header=True)
+    """Values as they stand, blanks around them included.  One file only on demand: it puts all rows through one task."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def feature(geometry: Column, properties: Sequence[str]) -> Column:

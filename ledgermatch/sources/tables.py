@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermatch.functions import geo, text
-from ledgermatch.operators import schema
+from ledgermatch.operators import schema, validity
 from ledgermatch.sources import shapefile
 
 CORRECTION = T.StructType([T.StructField(n, T.StringType()) for n in ("correction_id", "field_name", "corrected_value", "status", "checked_by_officer", "checked_at", "source_check_id", "gis_uid", "mseva_property_id", "approved_by_supervisor", "approved_at", "applied_in_run_id", "notes")])
@@ -83,6 +85,34 @@ def read_change_polygons(spark: SparkSession, path: str, zone: int | None = None
     return rows.withColumn("rings", geo.to_utm(F.col("rings"), F.lit(zone))) if zone else rows
 
 
+#: Headers under which a layer of localities may hold their names, the first that it has.
+LOCALITY_HEADERS = ("locality", "locality_name", "colony", "name")
+
+
+def read_localities(spark: SparkSession, path: str, zone: int | None = None) -> DataFrame:
+    """An official shapefile of localities: row_idx, locality (cleaned), rings, repaired where they need it.  Shapes without points are left out; a layer without names is an error."""
+    shapefile.register(spark)
+    rows = spark.read.format("shapefile").load(path)
+    found = next((c for c in rows.columns if c.strip().lower() in LOCALITY_HEADERS), None)
+    if found is None:
+        raise ValueError(f"{path}: the layer names its localities by none of {', '.join(LOCALITY_HEADERS)}")
+    rows = rows.select("row_idx", text.clean_text(F.col(f"`{found}`")).alias("locality"), "rings")
+    whole = validity.checked(rows, fix=True).where(F.size("rings") > 0).drop("problem").join(rows.drop("rings"), "row_idx")
+    whole = whole.withColumn("rings", geo.to_utm(F.col("rings"), F.lit(zone))) if zone else whole
+    return whole.select("row_idx", "locality", "rings")
+
+
+def region(spark: SparkSession, path: str | None, bounds: tuple[float, float, float, float]) -> DataFrame:
+    """The geometry (GeoJSON as text) of a city's file, or the rectangle of its bounds (west, south, east, north) where there is none that can be read."""
+    w, s, e, n = bounds
+    box = spark.createDataFrame([(json.dumps({"type": "Polygon", "coordinates": [[[w, s], [e, s], [e, n], [w, n], [w, s]]]}),)], "geometry string")
+    try:
+        first = read_features(spark, path).where(F.get_json_object("geometry", "$.type").isin("Polygon", "MultiPolygon")).select("geometry").limit(1) if path else None
+        return box if first is None or first.isEmpty() else first
+    except AnalysisException:
+        return box
+
+
 def latest(spark: SparkSession, pointer: str) -> str:
     """The published folder that a pointer file names."""
     return spark.read.json(pointer, multiLine=True, schema="path string").first()["path"]

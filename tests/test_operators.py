@@ -41,10 +41,10 @@ def test_headers(spark):
 def test_spatial(spark):
     boxes = spark.createDataFrame([("big", 0, [[(0.0, 0.0), (100.0, 0.0), (100.0, 100.0), (0.0, 100.0)]]), ("small", 1, [[(10.0, 10.0), (20.0, 10.0), (20.0, 20.0), (10.0, 20.0)]]), ("far", 2, [[(500.0, 0.0), (510.0, 0.0), (510.0, 10.0), (500.0, 10.0)]])], "uid string, row_idx long, rings array<array<struct<x:double,y:double>>>")
     points = spark.createDataFrame([(1, 15.0, 15.0), (2, 50.0, 50.0), (3, 300.0, 5.0), (4, 115.0, 50.0)], "point_id long, x double, y double")
-    assert {r.point_id: r.uid for r in polygons.points_in_polygons(points, boxes, lambda df: df).collect()} == {1: "small", 2: "big"}
-    near = {r.point_id: (r.uid, r.distance) for r in spatial.nearest_polygons(points, boxes, 16.0, lambda d: d).where("point_id > 2").collect()}
+    assert {r.point_id: r.uid for r in polygons.points_in_polygons(points, boxes, lambda df: cut(df, "t")).collect()} == {1: "small", 2: "big"}
+    near = {r.point_id: (r.uid, r.distance) for r in spatial.nearest_polygons(points, boxes, 16.0, lambda d: cut(d, "t")).where("point_id > 2").collect()}
     assert near == {3: {("big", 200.0), ("far", 200.0)} and near[3], 4: ("big", 15.0)}
-    assert {r.uid for r in spatial.nearest_polygons(points, boxes, 16.0, lambda d: d).where("point_id = 3").collect()} == {"big", "far"}
+    assert {r.uid for r in spatial.nearest_polygons(points, boxes, 16.0, lambda d: cut(d, "t")).where("point_id = 3").collect()} == {"big", "far"}
     got = {r.point_id: (r.uid, r.overlap) for r in spatial.largest_overlaps(points, boxes).collect()}
     assert got[2][0] == "big" and abs(got[2][1] - 0.5 * 64 * 900 * np.sin(2 * np.pi / 64)) < 1e-6
     assert got[4][0] == "big" and 3 not in got
@@ -70,7 +70,7 @@ def test_change_and_quality(spark):
     assert {r.locality: r.mapped for r in change.mode_crosswalk(matched).collect()} == {"a": "x", "b": "z"}
 
 
-def _layer(path, polygons, names):
+def _layer(path, polygons, names, name="UID"):
     shp, shx, at = b"", b"", 50
     for i, ring in enumerate(polygons):
         if ring is None:
@@ -84,7 +84,7 @@ def _layer(path, polygons, names):
     head = lambda n: struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + n) // 2) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8)
     path.with_suffix(".shp").write_bytes(head(len(shp)) + shp)
     path.with_suffix(".shx").write_bytes(head(len(shx)) + shx)
-    field = b"UID".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([6]) + b"\0" * 15
+    field = name.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([6]) + b"\0" * 15
     path.with_suffix(".dbf").write_bytes(struct.pack("<BBBBIHH20x", 3, 26, 1, 1, len(names), 65, 7) + field + b"\r" + b"".join(b" " + n.encode().ljust(6) for n in names))
 
 
@@ -96,6 +96,20 @@ def test_shapefile(spark, tmp_path):
     assert [(r.UID, r.rings is None) for r in got] == [("A1", False), ("B2", True), ("C3", False)] and len(got[0].rings[0]) == 4
 
 
+def test_layers_of_change_and_localities(spark, tmp_path):
+    square, bow = [(75.0, 30.0), (75.0, 30.2), (75.2, 30.2), (75.2, 30.0), (75.0, 30.0)], [(75.0, 30.0), (75.2, 30.2), (75.2, 30.0), (75.0, 30.2), (75.0, 30.0)]
+    _layer(tmp_path / "c", [square, square], ["3", "x"], "Est_Bldgs")
+    sites = tables.read_change_polygons(spark, str(tmp_path / "c.shp"), 43).orderBy("row_idx").collect()
+    assert [r.est_bldgs for r in sites] == [3.0, None] and 400_000 < sites[0].rings[0][0].x < 600_000
+    _layer(tmp_path / "l", [square, None, bow], ["Ward A", "B", "C"], "Colony")
+    shapes = {r.locality: len(r.rings) for r in tables.read_localities(spark, str(tmp_path / "l.shp")).collect()}
+    assert sorted(shapes.values()) == [1, 2] and len(shapes) == 2
+    with pytest.raises(ValueError, match="Est_Bldgs"):
+        tables.read_change_polygons(spark, str(tmp_path / "l.shp"))
+    with pytest.raises(ValueError, match="localities"):
+        tables.read_localities(spark, str(tmp_path / "c.shp"))
+
+
 def test_csv_keeps_text(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("﻿propertyid,name\n00123,Ñ\n".encode())
     (tmp_path / "b.csv").write_bytes("propertyid,name\n00123,Ñ\n".encode("latin-1"))
