@@ -727,7 +727,7 @@ def _inspected(spark: SparkSession, sf_dir: str, good: bool) -> tuple[DataFrame,
     """Orders as a register, customers as parcels and suppliers as meters; the bad ones have few phones, no usage and many broken shapes."""
     k, n = F.col("o_custkey"), F.col("c_custkey")
     phone = F.when(k % (5 if good else 2) != 0, _phone(k) if good else F.lit("12"))
-    address = F.when(k % 4 == 0, "n/a").when(k % 4 == 1, F.concat(F.lit("House No. "), k.cast("string"), F.lit(", Gali 3, Model Colony, Ward 4"))).otherwise(F.concat(F.lit("near   "), k.cast("string"), F.lit(" gali") if good else F.lit(" x")))
+    address = F.when(k % 4 == 0, "na").when(k % 4 == 1, F.concat(F.lit("House No. "), k.cast("string"), F.lit(", Gali 3, Model Colony, Ward 4"))).otherwise(F.concat(F.lit("near   "), k.cast("string"), F.lit(" gali") if good else F.lit(" x")))
     claims = table(spark, sf_dir, "orders").select(F.when(k % 10 != 0, "o_clerk").alias("ownername"), phone.alias("mobileno"), address.alias("address"))
     usage = F.when(n % (2 if good else 10) == 0, "Residential").otherwise("NA")
     lots = table(spark, sf_dir, "customer").join(_drawn(spark, sf_dir).withColumnRenamed("row_idx", "c_custkey"), "c_custkey")
