@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's rows to the shared folder and reads
 them back as the next one's documents.  All stages but the last return the columns of documents.
+
+Defined results, stage by stage: a null or empty text fails the quality rules, so only later stages that are run by themselves see one; they keep it (near duplicates: each such row;
+personal data: as it is), except the mix, which takes nothing of a document without words, and packing, where it is the end id alone.  Repeated rows are one document after the
+near duplicates, and each copy that the mix takes is a document of its own.  Ties go by id, then by hashes of the text.  Null ids, languages and sources are values like others.  An empty
+table gives an empty result with its columns.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.llm import mixing, ngram_join, packing, pii, quality
-from ledgermatch.llm.common import cut, table
+from ledgermatch.llm.common import cut, release, table
 from ledgermatch.llm.queries import tokenizer
 
 
@@ -20,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of 0.8 or more join."""
+    """One document of each group that links of 0.8 or more join, the one with the least id; texts without words link with nothing."""
     return ngram_join.one_each(docs)
 
 
@@ -31,7 +36,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them: not at all, or up to three times."""
     return mixing.mixed_documents(docs)
 
 
@@ -48,12 +53,13 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Newton iterations, tokenization and bin completion are not SQL; tests hold the operators against brute force, and of the stages the first.
+#: Newton iterations, tokenization and bin completion are not SQL; the tests hold each stage against a plain version on the rows of the stage before it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
