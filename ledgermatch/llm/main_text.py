@@ -18,6 +18,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,10 +42,16 @@ MARKS = frozenset(
     " popup modal overlay newsletter subscribe subscription signup login sidebar complementary menu menubar nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar"
     " comment comments disqus respond replies share sharing social related recommended recommendations footer contentinfo copyright search widget skip".split()
 )
+# The same within longer names, and at their ends.
+STEMS = ("advert", "banner", "breadcrumb", "comments", "commentlist", "consent", "cookie", "footer", "navbar", "newsletter", "popup", "sidebar", "sponsor", "subscri")
+ENDS = ("nav", "menu", "widget")
+#: Of the names, those that wrappers of the article may have too, for the page's layout.
+LAYOUT = ("banner", "complementary", "header", "masthead", "menu", "menubar", "nav", "navbar", "navigation", "search", "share", "sharing", "sidebar", "skip", "social", "toolbar", "widget")
 #: These mark the page's head, but the title's place within an article.
 HEADS = frozenset("header masthead".split())
-#: Elements whose classes speak of the whole page.
-WHOLE = frozenset("html body article main".split())
+#: Elements whose classes speak of the whole page, and the whole classes that mark an article as none of the page's own.
+WHOLE = frozenset("html body main".split())
+NOT_OWN = frozenset("ad ads advert advertisement comment promo promoted related reply sponsored teaser widget".split())
 
 # Frequent function words.
 STOP_WORDS = {
@@ -142,25 +149,33 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = open_ + 1
 
 
-def _against(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element rules out what it holds."""
+@lru_cache(maxsize=4096)
+def _names(attributes: str) -> tuple[frozenset[str], frozenset[str]]:
+    """The class names, id and role of an element, whole and in parts."""
+    whole = {
+        one for a in _ATTRIBUTE.finditer(attributes) if a[1].lower() in ("class", "id", "role") for one in (a[2] or a[3] or a[4] or "").lower().split() if not one.startswith(("no-", "has-", "with-"))
+    }
+    return frozenset(whole), frozenset(p for one in whole for p in _PARTS.findall(one))
+
+
+def _against(tag: str, attributes: str, inside: bool) -> int:
+    """Whether an element rules out what it holds: 2, 1 if it does so by names of layout alone, or 0."""
     if tag in NEVER or tag == "footer" or (tag == "header" and not inside):
-        return True
+        return 2
     if not attributes or tag in WHOLE:
-        return False
-    parts: set[str] = set()
-    for a in _ATTRIBUTE.finditer(attributes):
-        if a[1].lower() in ("class", "id", "role"):
-            for one in (a[2] or a[3] or a[4] or "").lower().split():
-                if not one.startswith(("no-", "has-", "with-")):
-                    parts.update(_PARTS.findall(one))
-    return not parts.isdisjoint(MARKS) or (not inside and not parts.isdisjoint(HEADS))
+        return 0
+    whole, parts = _names(attributes)
+    if tag == "article":
+        return 0 if whole.isdisjoint(NOT_OWN) else 2
+    marked = [p for p in parts if p in MARKS or p.endswith(ENDS) or any(stem in p for stem in STEMS) or (not inside and (p in HEADS or p.endswith("header")))]
+    return 0 if not marked else 1 if all(p.endswith(LAYOUT) or "sidebar" in p for p in marked) else 2
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page that hold text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # element, ruled out, inside an article, unseen
+    stack: list[tuple[str, int, bool, bool]] = []  # element, ruled out, inside an article, unseen
+    seen: set[str] = set()
     text: list[str] = []
     linked: list[str] = []
     links = 0
@@ -169,7 +184,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal text, linked
         line = " ".join(entities.unescape("".join(text)).split())
         if line:
-            never, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            never, inside = (stack[-1][1] > 0, stack[-1][2]) if stack else (False, False)
             of_links = len(" ".join(entities.unescape("".join(linked)).split()))
             found.append(Block(line, of_links, never, inside, any(e[0] in HEADINGS for e in stack[-3:])))
         text, linked = [], []
@@ -187,6 +202,8 @@ def blocks_of(page: str) -> list[Block]:
                 text.append(" ")
                 continue
             if tag in BLOCKS:
+                while stack and stack[-1][0] not in BLOCKS and stack[-1][0] not in UNSEEN:  # marked inline elements end where blocks begin
+                    stack.pop()
                 flush()
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p" or stack[k][0] in CLOSES.get(tag, ()):
@@ -195,16 +212,25 @@ def blocks_of(page: str) -> list[Block]:
                         break
             if tag in VOID or rest.endswith("/"):
                 continue
-            never, inside, unseen = stack[-1][1:] if stack else (False, False, False)
+            never, inside, unseen = stack[-1][1:] if stack else (0, False, False)
             if tag in BLOCKS or tag in UNSEEN:
-                inside = inside or tag in ("article", "main") or ("role" in rest and re.search(r"role\s*=\s*[\"']?main\b", rest) is not None)
-                never = never or _against(tag, rest, inside)
+                own = tag in ("article", "main") or ("role" in rest and re.search(r"role\s*=\s*[\"']?main\b", rest) is not None)
+                inside = inside or own
+                # names of wrappers may speak of the page's layout, which doesn't hold against its first article
+                kind = "article" if tag == "article" else "main"
+                never = max(0 if own and never == 1 and kind not in seen else never, _against(tag, rest, inside))
+                if own and not never:
+                    seen.add(kind)
                 unseen = unseen or tag in UNSEEN or (bool(rest) and _HIDDEN.search(rest) is not None)
                 stack.append((tag, never, inside, unseen))
             elif tag == "a":
                 links += 1
+            elif rest and _against(tag, rest, inside):
+                stack.append((tag, never, inside, True))
         elif tag == "a":
             links = max(0, links - 1)
+        elif stack and stack[-1][0] == tag and tag not in BLOCKS and tag not in UNSEEN:
+            stack.pop()
         elif tag in BLOCKS or tag in UNSEEN:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:

@@ -158,6 +158,22 @@ def test_main_text_of_marked_articles():
     assert main_text.main_text(page(body))[0].split("\n") == want
 
 
+def test_main_text_among_names():
+    """Names of layout don't hold against the article; names of notices, adverts and comments do, in any element."""
+    body = (
+        f"<div class='page-header'><p>{PROSE}</p></div><div id='leftsidebar'><p>{PROSE}</p></div><div class='content sidebar-right'><article class='post tag-cookie comments-open'><h1>Title</h1>"
+        f"<p>{PROSE} <span class='ad-label'>Advert!</span><i class='x'>so</i></p><ins class='advert-slot'>Buy</ins><p>On <em>and</em> on.</p><div class='topnav'><p>{PROSE}</p></div></article>"
+        f"<div class='commentlist'><article class='comment'><p>{PROSE}</p></article></div><article class='teaser'><p>{PROSE}</p></article></div><div class='sitefooter'>{PROSE}</div>"
+    )
+    assert main_text.main_text(page(body))[0].split("\n") == ["Title", PROSE + " so", "On and on."]
+    nested = f"<main><div class='sidebar-left wide'><article><p>{PROSE}</p></article></div><div class='sidebar'><article><p>{PROSE} Not this.</p></article></div></main>"
+    assert main_text.main_text(page(nested))[0] == PROSE
+    replies = f"<main><div class='post'><p>{PROSE}</p></div><div class='comments'><article><p>{PROSE} Not this.</p></article></div></main>"
+    assert main_text.main_text(page(replies))[0] == PROSE
+    open_ = f"<article><p>{PROSE}<span class='ad'>x<p>After.</p><table><tr><td>1<td>2</table></article>"
+    assert main_text.main_text(page(open_))[0].split("\n") == [PROSE, "After.", "1", "2"]
+
+
 def test_main_text_by_block_figures():
     links = "".join(f"<li><a href='/{i}'>Section number {i} of the site</a></li>" for i in range(6))
     body = f"<div><ul>{links}</ul></div><div><h2>A heading</h2><p>{PROSE}</p><p>Tiny.</p><p>{PROSE} {PROSE}</p></div><div>{links}</div><p>Imprint</p>"
