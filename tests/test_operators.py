@@ -276,3 +276,21 @@ def test_meter_layer(spark):
     around = spark.createDataFrame([(0, 30.05, 75.05), (1, 30.16, 75.0), (2, 29.96, 74.96), (3, None, 75.0)], "meter_idx long, latitude double, longitude double")
     assert {r.meter_idx for r in layers.within_bounds(around, register_).collect()} == {0, 2}
     assert layers.within_bounds(around, register_.limit(0)).count() == 4 == layers.within_bounds(around, register_.drop("latitude")).count()
+
+
+def test_pairs_of_parts_are_scored_by_class(spark, tmp_path):
+    """Copies of a name are scored once, and all their pairs come back."""
+    from ledgermatch.plans import catalogue
+
+    rows = [(i, "hot bolt" if i < 30 else "blue ring", "A", 1) for i in range(40)] + [(40, "hot bolt", "A", 2), (41, None, "A", 2)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    seen = []
+
+    def score(pairs):
+        seen.append(pairs.count())
+        return pairs.select("ca", "cb", (F.col("xn") == F.col("yn")).cast("int").alias("score"))
+
+    got = sorted(map(tuple, catalogue._part_pairs(spark, str(tmp_path), {"n": "p_name"}, score).collect()))
+    name = {k: n for k, n, _, _ in rows}
+    assert got == [(a, b, int(name[a] == name[b])) for a in range(40) for b in range(a + 1, 40)] + [(40, 41, 0)]
+    assert seen == [8]
