@@ -89,3 +89,23 @@ def test_knowledge_base(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         knowledge.load(spark, path, "0" * 64)
     assert knowledge.fingerprint(houses) != knowledge.fingerprint(houses.unionByName(houses)) != knowledge.fingerprint(houses.limit(0))
+
+
+def test_blocks_and_fit_hold_few_scores():
+    """Products of blocks and the fit of centroids never hold all scores at once; ties go by id."""
+    import tracemalloc
+
+    from ledgermatch.operators import vectors
+
+    rng = np.random.default_rng(3)
+    q, c, ids = rng.integers(-2, 3, (300, 3)).astype(float), rng.integers(-2, 3, (900, 3)).astype(float), rng.permutation(900)
+    got = [tuple(r) for part in vectors.best_of_blocks(np.arange(300), list(q), ids, list(c), 20) for r in part.itertuples(index=False)]
+    s = q @ c.T
+    assert got == [(i, ids[j], s[i, j]) for i in range(300) for j in np.lexsort((ids, -s[i]))[:20]]
+    v = rng.normal(size=(20_000, 8))
+    tracemalloc.start()
+    try:
+        vector_index.fit(v, 1000, 1)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
