@@ -109,3 +109,15 @@ def test_blocks_and_fit_hold_few_scores():
         assert tracemalloc.get_traced_memory()[1] < 60e6
     finally:
         tracemalloc.stop()
+
+
+def test_polygons_are_dealt_out(spark):
+    """One partition of many polygons is checked by many tasks; what a batch tells convex has no problem point by point."""
+    from ledgermatch.operators import validity
+
+    one = spark.range(0, 100, 1, 1).select(F.col("id").alias("row_idx"), F.lit(None).cast(validity.RINGS).alias("rings"))
+    assert one.rdd.getNumPartitions() == 1 and validity.checked(one).rdd.getNumPartitions() >= 4
+    rng = np.random.default_rng(4)
+    rings = [[rng.integers(0, 6, (n, 2)).astype(float)] for n in (3, 4) for _ in range(400)] + [None, [], [np.zeros((4, 2))]]
+    told = validity._convex(rings)
+    assert 100 < told.sum() < 700 and all(validity.problem_of(r) is None for r, t in zip(rings, told, strict=True) if t)
