@@ -121,3 +121,29 @@ def test_polygons_are_dealt_out(spark):
     rings = [[rng.integers(0, 6, (n, 2)).astype(float)] for n in (3, 4) for _ in range(400)] + [None, [], [np.zeros((4, 2))]]
     told = validity._convex(rings)
     assert 100 < told.sum() < 700 and all(validity.problem_of(r) is None for r, t in zip(rings, told, strict=True) if t)
+
+
+def test_scan_is_exact(spark, monkeypatch):
+    """Against brute force: equal vectors, cells of fewer than k, and less multiplied than all pairs."""
+    from ledgermatch.operators import vector_scan
+
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(30, 24))
+    v = middles[rng.integers(0, 30, 3000)] + 0.2 * rng.normal(size=(3000, 24))
+    v[::7] = v[0]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    q = np.vstack([v[:150] + 0.05 * rng.normal(size=(150, 24)), rng.normal(size=(20, 24))])
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    monkeypatch.setattr(vector_scan, "ASKED", 64)
+    monkeypatch.setattr(vector_scan, "HELD", 500)
+    frame = lambda m: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "vec_id long, embedding array<double>")
+    for cells in (1, 40):
+        got = vector_scan.top_k(frame(q), frame(v), cut, 20, cells=cells).collect()
+        score = np.round(q @ v.T, vector_scan.DIGITS)
+        want = {(i, int(j), r) for i, s in enumerate(score) for r, j in enumerate(np.lexsort((np.arange(3000), -s))[:20], 1)}
+        assert {(r.query_id, r.match_id, r["rank"]) for r in got} == want
+    assert vector_scan.top_k(frame(q), frame(v[:3]), cut).count() == 3 * len(q) and vector_scan.top_k(frame(q[:0]), frame(v), cut).count() == 0
+    centroids = np.eye(24)[:2]
+    near, far = np.eye(24)[:1], np.eye(24)[1:2]
+    left_out = list(vector_scan._nearest(np.array([1]), near, np.array([0.9]), np.array([2]), np.array([1], dtype=np.int32), far, centroids, 20))
+    assert left_out == []

@@ -59,3 +59,18 @@ def test_common_subsequence(a, b):
             table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
     assert similarity.common_subsequence(a, b) == table[-1, -1]
     assert similarity.token_sort_score(a, a) in (0.0, 100.0)
+
+
+def test_many_scores_at_once():
+    """Pairs by machine words against one pair at a time: blank, equal, long and other texts."""
+    import random
+
+    import pandas as pd
+
+    from ledgermatch.functions import similarity
+
+    rng = random.Random(3)
+    texts = [None, "", "x" * 64, "y" * 65, "ab c\0d", "ring bolt " * 9] + ["".join(rng.choice("abc dé") for _ in range(rng.randint(0, 70))) for _ in range(60)]
+    a, b = [rng.choice(texts) for _ in range(800)], [rng.choice(texts) for _ in range(800)]
+    got = similarity.token_sort_scores(pd.Series(a, dtype=object), pd.Series(b, dtype=object))
+    assert got.tolist() == [similarity.token_sort_score(x, y) for x, y in zip(a, b, strict=True)]
