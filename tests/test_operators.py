@@ -294,3 +294,21 @@ def test_pairs_of_parts_are_scored_by_class(spark, tmp_path):
     name = {k: n for k, n, _, _ in rows}
     assert got == [(a, b, int(name[a] == name[b])) for a in range(40) for b in range(a + 1, 40)] + [(40, 41, 0)]
     assert seen == [8]
+
+
+def test_equal_names_are_scored_once(spark):
+    """Claims of equal names are one question, and of parcels of equal names the first speaks; each claim still gets its row."""
+    reg = spark.createDataFrame([(str(i), i, "ram lal", "dev", "n" if i % 2 else "m") for i in range(40)], "pid string, row_idx long, ownername string, guardianname string, locality string")
+    par = spark.createDataFrame([(f"P{i}", i, "ram lal" if i else "ram lal dev", "dev", "n") for i in range(60)], "uid string, row_idx long, owner_name string, guardian string, locality string")
+    reg, par = matching.prepared(reg, "ownername", "guardianname", "locality"), matching.prepared(par, "owner_name", "guardian", "locality")
+    sizes = {}
+
+    def keep(df, name):
+        made = cut(df, name)
+        sizes[name] = made.count()
+        return made
+
+    got = matching.names_and_localities(reg, par, spark.createDataFrame([("m", "n")], "locality string, other string"), keep=keep).collect()
+    want = {(str(i), "P1", "TEXT_NAME_VERIFIED_BOTH" + ("" if i % 2 else "_CROSSWALK"), 200.0) for i in range(40)}
+    assert {(r.pid, r.matched_uid, r.match_method, r.confidence) for r in got} == want
+    assert sizes["named"] == 2 and sizes["near"] < 12
