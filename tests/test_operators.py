@@ -312,3 +312,22 @@ def test_equal_names_are_scored_once(spark):
     want = {(str(i), "P1", "TEXT_NAME_VERIFIED_BOTH" + ("" if i % 2 else "_CROSSWALK"), 200.0) for i in range(40)}
     assert {(r.pid, r.matched_uid, r.match_method, r.confidence) for r in got} == want
     assert sizes["named"] == 2 and sizes["near"] < 12
+
+
+def test_meters_share_one_cover(spark):
+    from ledgermatch.functions import geo
+
+    claims = spark.createDataFrame([("1", "ram lal", "dev")], "pid string, owner_n string, guardian_n string")
+    made = spark.createDataFrame([(1, "ram lal", "dev", "ram lal", 5.0, 5.0, "A1", "h1"), (2, "sita", "", "sita", 25.0, 5.0, "A2", "h2")], "meter_idx long, owner_n string, relative_n string, plain_n string, x double, y double, account string, holder string")
+    corner = F.col("row_idx") * 20.0
+    lots = spark.createDataFrame([("P", 0, "ram lal"), ("Q", 1, "gita")], "uid string, row_idx long, owner_n string").withColumn("rings", geo.box(corner, F.lit(0.0), corner + 10.0, F.lit(10.0)))
+    names = []
+
+    def keep(df, name):
+        names.append(name)
+        return cut(df, name)
+
+    found, seen = layers.meter_evidence(claims, claims, made, lots, spark.createDataFrame([], "matched_uid string"), keep)
+    assert [(r.pid, r.matched_uid, r.match_method) for r in found.collect()] == [("1", "P", "ELEC_PIP_ELEC_BOTH")]
+    assert [(r.uid, r.electricity_account_no) for r in seen.collect()] == [("Q", "A2")]
+    assert sum("cover" in n for n in names) == 1
