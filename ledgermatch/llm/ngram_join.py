@@ -8,13 +8,14 @@
 4. Signature trees.  A cell whose classes are not yet all in one component gets a tree over its classes' bitmaps: a
    node holds the OR of its token bitmaps, ranges of set size and of components.  A dual traversal drops node pairs whose largest
    possible overlap is too small, and pairs within a component; what is left joins components into clusters, by a spanning forest a cell.
+   Classes that share a passage meet in a cell for each shingle of it: of cells with the same classes one gets a tree.
 5. Clusters.  Within a cluster the same traversal runs over bitmaps of the shingles themselves, where overlaps are exact; links that
    join components come out.
 
 A large cell or cluster is cut into blocks of classes of like sizes and dealt out as pairs of blocks whose sizes allow a link, so no
 task holds more than two blocks; copies grow with the number of blocks, whose size grows with the root of the group's.
 
-All bounds are exact: nothing similar is lost, and no pair counts as a link unless its sets say so.
+All bounds are exact: nothing similar is lost, and no pair counts as a link unless its sets say so.  Cells are told apart by 128 bits of hashes.
 
 Defined results: words are lower-cased in A-Z only.  A text with one to four words has one shingle, its word sequence.  A null or
 empty text has no shingles and links with nothing.  Repeated rows and equal texts are one class.  A row without an id is
@@ -422,12 +423,20 @@ def _blocks(large: DataFrame, group: str, least: int, most: int, percent: int) -
     return placed.join(tasks, [group, "k"])
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Rows (token, cid, component, total) of cells that hold more than one component; of cells with the same classes the one of the least token stays.
+
+    A class is in a cell once, so the exclusive or of hashes of its classes names what a cell holds; counts and hashes combine before they are shuffled.
+    """
+    names = F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "cid")).alias("y")
+    cells = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("total"), *names).where(F.col("lo") != F.col("hi"))
+    return placed.join(cells.groupBy("total", "lo", "hi", "x", "y").agg(F.min("token").alias("token")).select("token", "total"), "token")
+
+
 def _joined_by_trees(live: DataFrame, members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Links between components that the leaders left apart."""
     of = lambda df: df.join(members, F.col("cid") == F.col("id"), "left").withColumn("component", F.coalesce("component", "cid")).drop("id")
-    placed = of(live.select("token", "cid"))
-    apart = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("total")).where(F.col("lo") != F.col("hi"))
-    mixed = cut(placed.join(apart.select("token", "total"), "token"), "ngram-mixed")
+    mixed = cut(_mixed(of(live.select("token", "cid"))), "ngram-mixed")
     tasks = _dealt(mixed, "token", classes, "sig", CELL_BLOCKS, percent)
     maybe = cut(_by_runs(tasks, ["token", "i", "j"], ["cid", "component", "n", "sig"], _cell_work(percent)).distinct(), "ngram-maybe")
     # components that may be joined, as clusters

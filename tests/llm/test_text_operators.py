@@ -81,6 +81,29 @@ def test_ngram_blocks(spark, monkeypatch):
     test_ngram_join(spark)
 
 
+def test_ngram_cells_of_the_same_classes_are_worked_once(spark, monkeypatch):
+    seen, written = [], ngram_join.cut
+
+    def noted(rows, name):
+        made = written(rows, name)
+        if name == "ngram-mixed":
+            seen.append([(r.total, tuple(r.cids)) for r in made.groupBy("token").agg(F.first("total").alias("total"), F.sort_array(F.collect_list("cid")).alias("cids")).collect()])
+        return made
+
+    monkeypatch.setattr(ngram_join, "cut", noted)
+    ngram_join.join(frame(spark, near_texts())).count()
+    (cells,) = seen
+    assert len(cells) > 1 and len(cells) == len({cids for _, cids in cells})
+    assert all(total == len(cids) == len(set(cids)) for total, cids in cells)
+
+
+def test_ngram_cells_that_differ_all_stay(spark):
+    # (token, cid, component): 1 and 2 hold the same classes, 3 others of the same count and components, 4 one more, 5 one component only
+    rows = [(1, 10, 0), (1, 11, 1), (2, 11, 1), (2, 10, 0), (3, 12, 0), (3, 11, 1), (4, 10, 0), (4, 11, 1), (4, 12, 0), (5, 10, 0), (5, 12, 0)]
+    got = ngram_join._mixed(spark.createDataFrame(rows, "token long, cid long, component long")).collect()
+    assert sorted((r.token, r.cid, r.component, r.total) for r in got) == [(1, 10, 0, 2), (1, 11, 1, 2), (3, 11, 1, 2), (3, 12, 0, 2), (4, 10, 0, 3), (4, 11, 1, 3), (4, 12, 0, 3)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.id: r.component for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
