@@ -333,6 +333,48 @@ def test_equal_names_are_scored_once(spark):
     assert sizes["named"] == 2 and sizes["near"] < 12
 
 
+def _best_names(reg, par, reach):
+    """The name layer from its definition: every parcel of a claim's localities, in order of distance, locality and row."""
+
+    def ratio(a, b):
+        x, y = set(a.split()), set(b.split())
+        return int(len(x & y) / len(x | y) * 100) if x and y else 0
+
+    rows = {}
+    for pid, _, owner, guardian, owners, guardians, place in reg:
+        near = sorted((far, other, p[1], p) for far, other in reach.get(place, []) for p in par if p[4] == other) if owner or guardian else []
+        for k, (far, _, _, (uid, _, o, g, _)) in enumerate(near):
+            a, b = max(ratio(owner, o), ratio(owners, o)), max(ratio(guardian, g), ratio(guardians, g))
+            tag = "VERIFIED_BOTH" if min(a, b) >= 60 else "VERIFIED_OWNER+GUARD" if a >= 75 and b >= 30 else "VERIFIED_GUARD+OWNER" if b >= 75 and a >= 30 else "STRONG_SINGLE" if max(a, b) >= 90 else ""
+            value = max(a, b) if tag == "STRONG_SINGLE" else a + b
+            if tag and (pid not in rows or (-value, k) < rows[pid][0]):
+                rows[pid] = ((-value, k), (pid, uid, f"TEXT_NAME_{tag}" + "_CROSSWALK" * far, float(value)))
+    return {row for _, row in rows.values()}
+
+
+def test_all_parcels_of_a_locality(spark):
+    """No parcel of a locality is left out, however many there are; names of few words and of many, against the definition."""
+    rng = np.random.default_rng(11)
+    name = lambda most: " ".join(f"w{w}" for w in rng.integers(0, 12, rng.integers(0, most + 1)))
+    par = [(f"P{i}", i, name(7 if i % 3 == 0 else 4), name(6 if i % 4 == 0 else 3), "abc"[i % 3]) for i in range(600)] + [(f"L{i}", 1000 + i, f"common n{i}", "shared", "e") for i in range(700)]
+    reg = [(str(i), i, name(6 if i % 3 == 0 else 3), name(3), name(8) if i % 4 == 0 else "", name(6) if i % 5 == 0 else "", "abcd"[i % 4]) for i in range(200)]
+    reg += [(f"e{i}", 300 + i, f"common n{i}", "shared" if i % 2 else "", "", "", "e") for i in range(440, 760, 20)]
+    kinds = "row_idx long, owner_n string, guardian_n string"
+    register, parcels = spark.createDataFrame(reg, f"pid string, {kinds}, owners_n string, guardians_n string, locality_n string"), spark.createDataFrame(par, f"uid string, {kinds}, locality_n string")
+    pairs = spark.createDataFrame([("a", "b"), ("d", "c"), ("d", "a")], "locality string, other string")
+    got = {tuple(r) for r in matching.names_and_localities(register, parcels, pairs, keep=cut).collect()}
+    want = _best_names(reg, par, {"a": [(0, "a"), (1, "b")], "b": [(0, "b")], "c": [(0, "c")], "d": [(0, "d"), (1, "a"), (1, "c")], "e": [(0, "e")]})
+    assert got == want and ("e680", "L680", "TEXT_NAME_STRONG_SINGLE", 100.0) in got
+
+
+def test_common_names_make_no_pairs(spark):
+    """Claims and parcels that share a guardian and a word of the owner: as many rows as names, not as many as pairs."""
+    par = spark.createDataFrame([(f"P{i}", i, f"common n{i}", "shared", "e") for i in range(400)], "uid string, row_idx long, owner_n string, guardian_n string, locality_n string")
+    reg = par.select(F.col("uid").alias("pid"), "row_idx", "owner_n", "guardian_n", "locality_n")
+    asked, near = reg.select(F.struct("pid").alias("names"), F.col("locality_n").alias("locality"), *matching._name_words(reg)), par.select(F.col("locality_n").alias("locality"), F.col("row_idx").alias("r"), "uid", F.lit(0).alias("far"), F.split("owner_n", " ").alias("o"), F.split("guardian_n", " ").alias("g"))
+    assert matching._one_by_one(asked, near).count() == 0 and matching._by_shared_words(asked, near).count() < 10 * 400
+
+
 def test_meters_share_one_cover(spark):
     from ledgermatch.functions import geo
 
