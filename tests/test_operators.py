@@ -367,6 +367,21 @@ def test_all_parcels_of_a_locality(spark):
     assert got == want and ("e680", "L680", "TEXT_NAME_STRONG_SINGLE", 100.0) in got
 
 
+def _town(spark, path):
+    """600 customers of one nation, and a claim that names the 552nd."""
+    spark.createDataFrame([(i, f"Customer#{i:09d}", 1, 0.0, "MACHINERY") for i in range(600)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame([(3, 551, "1-URGENT")], "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def test_register_of_a_large_locality(spark, tmp_path):
+    from ledgermatch.plans import catalogue
+
+    got = catalogue.cascade_register(spark, _town(spark, tmp_path)).collect()
+    assert [(r.pid, r.matched_uid, r.match_method) for r in got] == [("3", "C-551", "TEXT_NAME_VERIFIED_BOTH")]
+    assert "k <= 500" not in catalogue.ORACLES["cascade_register"]
+
+
 def test_common_names_make_no_pairs(spark):
     """Claims and parcels that share a guardian and a word of the owner: as many rows as names, not as many as pairs."""
     par = spark.createDataFrame([(f"P{i}", i, f"common n{i}", "shared", "e") for i in range(400)], "uid string, row_idx long, owner_n string, guardian_n string, locality_n string")
