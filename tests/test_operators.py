@@ -382,6 +382,15 @@ def test_register_of_a_large_locality(spark, tmp_path):
     assert "k <= 500" not in catalogue.ORACLES["cascade_register"]
 
 
+def test_actionable_parcels_of_a_large_locality(spark, tmp_path):
+    """The parcel that the claim names is in the net, so it is not actionable; with 500 parcels alone another one was."""
+    from ledgermatch.plans import catalogue
+
+    got = {r.uid for r in catalogue.set1_subset(spark, _town(spark, tmp_path)).collect()}
+    assert got == {f"C-{i}" for i in range(600) if i % 10 and i % 3 and i != 551}
+    assert "k <= 500" not in catalogue.ORACLES["set1_subset"] and all("k <= 500" in catalogue.ORACLES[q] for q in ("name_locality_match", "parcel_register", "summary"))
+
+
 def test_common_names_make_no_pairs(spark):
     """Claims and parcels that share a guardian and a word of the owner: as many rows as names, not as many as pairs."""
     par = spark.createDataFrame([(f"P{i}", i, f"common n{i}", "shared", "e") for i in range(400)], "uid string, row_idx long, owner_n string, guardian_n string, locality_n string")
