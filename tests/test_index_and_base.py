@@ -91,6 +91,25 @@ def test_knowledge_base(spark, tmp_path):
     assert knowledge.fingerprint(houses) != knowledge.fingerprint(houses.unionByName(houses)) != knowledge.fingerprint(houses.limit(0))
 
 
+def test_driver_gathers_no_sample(spark, corpus, monkeypatch):
+    """The driver sees sums of cells, not the vectors that centroids are fitted on, and the index still answers exactly."""
+    seen = []
+    real = type(corpus).toLocalIterator
+
+    def rows(df, *args, **kwargs):
+        for r in real(df, *args, **kwargs):
+            seen.append(r)
+            yield r
+
+    monkeypatch.setattr(type(corpus), "toLocalIterator", rows)
+    monkeypatch.setattr(vector_index, "fit", lambda *_: pytest.fail("fitted by the driver"))
+    known = corpus.where("vec_id is not null and embedding is not null")
+    asked = known.where("vec_id % 100 = 0")
+    index = vector_index.build(corpus, keep)
+    assert 0 < len(seen) < 300 and len(index.centroids) == 54 and (index.radius >= 0).sum() > 20
+    assert rows_of(vector_index.search(index, asked, keep, exact=True)) == rows_of(vectors.top_k(asked, known, 20))
+
+
 def test_blocks_and_fit_hold_few_scores():
     """Products of blocks and the fit of centroids never hold all scores at once; ties go by id."""
     import tracemalloc
